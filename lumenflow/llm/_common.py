@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,16 +19,32 @@ def session(df: DataFrame) -> SparkSession:
     return spark
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder for cut lineage: ``spark.checkpoint.dir``, or a temporary one where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        known = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if known.isEmpty():
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-ckpt-"))
+            known = spark.sparkContext._jsc.sc().getCheckpointDir()
+        folder = known.get()
+    return folder
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a compressed table in the shared folder, for larger intermediate results."""
+    path = f"{checkpoint_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder of the cluster.
 
     The folder is ``spark.checkpoint.dir``; only where that is unset (tests, local
     sessions) a temporary folder is taken.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-ckpt-"))
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
