@@ -52,11 +52,12 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, offsets - lo
 
 
-def words_of(column: pa.Array) -> Words:
-    """Runs of bytes other than white space, row by row."""
+def words_of(column: pa.Array, separators: np.ndarray = SPACES, lower: bool = False) -> Words:
+    """Runs of bytes other than separators, row by row."""
     buf, offsets = column_bytes(column)
     size = int(offsets[-1])
-    inside = ~SPACES[buf[:size]]
+    buf = _LOWER[buf] if lower else buf
+    inside = ~separators[buf[:size]]
     begins = np.zeros(size + 1, bool)
     begins[offsets] = True
     before = np.zeros(size, bool)
@@ -88,6 +89,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
+def hash_prefixes(words: Words, size: int) -> np.ndarray:
+    """A hash of each word's first ``size`` bytes (8 at most), 0 for shorter words."""
+    part = _load8(words.buf, words.starts) & _KEEP[size]
+    return np.where(words.ends - words.starts >= size, mix(part ^ U64(size << 56)), U64(0))
+
+
 def _load8(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.ndarray((len(buf) - 7,), "<u8", buf, 0, (1,))[at]
 

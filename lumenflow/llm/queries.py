@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.llm import chat, decontaminate, license_scan, line_dedup, packing, secrets, simhash, substring_dedup, topk
+from lumenflow.llm import chat, decontaminate, license_scan, line_dedup, packing, secrets, simhash, substring_dedup, topk, toxicity
 from lumenflow.llm._common import table
 
 
@@ -39,6 +39,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_key")
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.perspectives(table(spark, sf_dir, "conversations"))
 
@@ -48,7 +52,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_benchmark_decontamination, op3_substring_dedup, op4_line_dedup, op5_harmonic_packing, op6_voronoi_topk, op7_secret_scan, op9_chat_formatting, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_benchmark_decontamination, op3_substring_dedup, op4_line_dedup, op5_harmonic_packing, op6_voronoi_topk, op7_secret_scan, op8_toxicity, op9_chat_formatting, op10_simhash_near_dedup)}
 
 _WORDS2 = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 _WORDS3 = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
