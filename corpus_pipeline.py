@@ -10,10 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenflow.llm import decontaminate, line_dedup, packing, simhash
+from lumenflow.llm import decontaminate, line_dedup, packing, simhash, toxicity
 from lumenflow.llm._common import table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
@@ -30,7 +34,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("line dedup", line_dedup_stage), ("near dedup", near_dedup), ("decontamination", decontaminate_stage), ("packing", pack)]
+STAGES = [("toxicity", drop_toxic), ("line dedup", line_dedup_stage), ("near dedup", near_dedup), ("decontamination", decontaminate_stage), ("packing", pack)]
 
 #: The toxicity stage is a trained network, which SQL can't express.
 ORACLE_SQL = None
