@@ -27,7 +27,7 @@ from lumenflow.llm import _text as tx
 from lumenflow.llm._common import session, text_key
 
 #: Bound of the labelled sample, and the probability from which a document counts as toxic.
-SAMPLE, THRESHOLD = 6000, 0.7
+SAMPLE, THRESHOLD = 4000, 0.7
 WINDOW, STRIDE = 32, 24
 #: Evidence of lower log-odds, or less far above chance (in standard deviations), is left out.
 LEAST_LOG_ODDS, LEAST_SIGMAS = 1.5, 6.5
