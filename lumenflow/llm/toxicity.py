@@ -104,7 +104,7 @@ def windows(first: np.ndarray, x: np.ndarray):
     start = (chosen - base[rows]) * STRIDE
     length = np.minimum(n[rows] - start, WINDOW)
     grid = first[rows][:, None] + start[:, None] + np.arange(WINDOW)[None, :]
-    inputs = np.where((np.arange(WINDOW)[None, :] < length[:, None])[:, :, None], x[np.minimum(grid, len(x) - 1)] if len(x) else 0, 0).astype(np.float32)
+    inputs = np.where((np.arange(WINDOW)[None, :] < length[:, None])[:, :, None], np.concatenate([x, np.zeros((1, _INPUTS), x.dtype)])[np.minimum(grid, len(x))], 0).astype(np.float32)
     end = n - (count - 1) * STRIDE  # length of each row's last window
     plain = np.zeros((len(n), WINDOW + 1), bool)
     used = np.bincount(rows, minlength=len(n))
