@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenflow.functions.scalars import unmix
-from lumenflow.operators import movies, rois, traces
+from lumenflow.operators import images, movies, rois, signals, traces
 from lumenflow.sources import adapters as views
 
 QUERIES, SQL = {}, {}
@@ -191,3 +191,119 @@ def unmixed_pair(spark: SparkSession, d: str) -> DataFrame:
 @_query("SELECT DISTINCT roi FROM (SELECT roi, sum(b) OVER (PARTITION BY roi ORDER BY t ROWS 1 PRECEDING) AS n FROM (SELECT roi, t, CAST(f < avg(f) OVER w - 1.2 * stddev_pop(f) OVER w AS INT) AS b FROM trace WINDOW w AS (PARTITION BY roi ORDER BY t ROWS 19 PRECEDING))) WHERE n = 2")
 def negative_transients(spark: SparkSession, d: str) -> DataFrame:
     return traces.negative_transients(views.trace(spark, d), 20, 2, 1.2)
+
+
+_EXTENT = "(SELECT max(r) + 1 AS rows, max(c) + 1 AS columns FROM movie)"
+_MIRROR = "CASE WHEN {x} < 0 THEN -1 - ({x}) WHEN {x} >= {n} THEN 2 * {n} - 1 - ({x}) ELSE {x} END"
+
+
+def _median(source: str) -> str:
+    r, c = _MIRROR.format(x="a.r + dr", n="rows"), _MIRROR.format(x="a.c + dc", n="columns")
+    return f"SELECT a.r, a.c, a.t, median(b.v) AS v FROM (SELECT * FROM {source}, {_EXTENT}, range(-1, 2) x(dr), range(-1, 2) y(dc)) a JOIN {source} b ON b.t = a.t AND b.r = {r} AND b.c = {c} GROUP BY a.r, a.c, a.t"
+
+
+@_query(f"SELECT r, c, t, round(v, 6) AS v FROM ({_median('movie')})")
+def median_filtered(spark: SparkSession, d: str) -> DataFrame:
+    return _round(images.median_filter(views.movie(spark, d), 3))
+
+
+@_query(f", slow AS (SELECT r, c, CAST(t // 4 AS INT) AS t, avg(v) AS v FROM movie GROUP BY ALL) SELECT r, c, round(max(v), 6) AS v FROM ({_median('slow')}) GROUP BY r, c")
+def median_filtered_projection(spark: SparkSession, d: str) -> DataFrame:
+    slow = movies.downsample(views.movie(spark, d), 4, ["r", "c"]).select("r", "c", F.col("t_out").alias("t"), F.col("average").alias("v"))
+    return _round(images.median_filter(slow, 3).groupBy("r", "c").agg(F.max("v").alias("v")))
+
+
+_DISK = "(VALUES (0, 0), (-1, 0), (1, 0), (0, -1), (0, 1)) k(dr, dc)"
+_INSIDE = f"r BETWEEN 0 AND {_ROWS - 1} AND c BETWEEN 0 AND {_COLUMNS - 1}"
+
+
+def _dilated(x: str) -> str:
+    return f"SELECT * FROM (SELECT DISTINCT roi, r + dr AS r, c + dc AS c FROM {x}, {_DISK}) WHERE {_INSIDE}"
+
+
+def _eroded(x: str) -> str:
+    return f"SELECT roi, r, c FROM {x} p WHERE NOT EXISTS (SELECT 1 FROM {x} q, {_DISK} WHERE q.roi = p.roi AND q.r = p.r AND q.c = p.c AND p.r + dr BETWEEN 0 AND {_ROWS - 1} AND p.c + dc BETWEEN 0 AND {_COLUMNS - 1} AND (p.roi, p.r + dr, p.c + dc) NOT IN (SELECT (roi, r, c) FROM {x}))"
+
+
+@_query(f", m1 AS ({_dilated('roi_pixels')}), m2 AS ({_eroded('m1')}), m3 AS ({_eroded('m2')}), m4 AS ({_dilated('m3')}) SELECT * FROM m4")
+def closed_and_opened(spark: SparkSession, d: str) -> DataFrame:
+    return images.close_and_open(views.roi_pixels(spark, d), _ROWS, _COLUMNS)
+
+
+@_query("SELECT roi, r, c FROM roi_pixels p WHERE (SELECT count(*) FROM roi_pixels q WHERE q.roi = p.roi AND abs(q.r - p.r) + abs(q.c - p.c) = 1) < 4")
+def roi_contours(spark: SparkSession, d: str) -> DataFrame:
+    return images.contour(views.roi_pixels(spark, d))
+
+
+@_query(""", i AS (SELECT r, c, avg(v) AS v FROM movie GROUP BY ALL),
+g AS (SELECT v, lag(v) OVER y AS n, lead(v) OVER y AS s, lag(v) OVER x AS w, lead(v) OVER x AS e FROM i WINDOW y AS (PARTITION BY c ORDER BY r), x AS (PARTITION BY r ORDER BY c))
+SELECT round(avg(((coalesce(s, v) - coalesce(n, v)) / CASE WHEN n IS NULL OR s IS NULL THEN 1 ELSE 2 END) ** 2 + ((coalesce(e, v) - coalesce(w, v)) / CASE WHEN w IS NULL OR e IS NULL THEN 1 ELSE 2 END) ** 2), 6) AS acutance FROM g""")
+def image_acutance(spark: SparkSession, d: str) -> DataFrame:
+    return _round(images.acutance(movies.projection(views.movie(spark, d)).select("r", "c", F.col("avg_v").alias("v"))))
+
+
+@_query(f"SELECT round(quantile_cont(v, 0.1), 6) AS lo, round(quantile_cont(v, 0.99), 6) AS hi FROM movie, {_EXTENT} WHERE rows <= 6 OR columns <= 6 OR (r >= 3 AND r < rows - 3 AND c >= 3 AND c < columns - 3)")
+def display_limits(spark: SparkSession, d: str) -> DataFrame:
+    return _round(images.display_limits(views.movie(spark, d), 0.1, 0.99, 3))
+
+
+@_query("SELECT a.r, a.c, a.t, round(avg(b.v), 6) AS v FROM (SELECT *, least(greatest(t + o, 0), n - 1) AS p FROM (SELECT *, count(*) OVER (PARTITION BY r, c) AS n FROM movie), range(-2, 2) x(o)) a JOIN movie b ON b.r = a.r AND b.c = a.c AND b.t = a.p GROUP BY a.r, a.c, a.t")
+def boxcar_movie(spark: SparkSession, d: str) -> DataFrame:
+    return _round(signals.boxcar(views.movie(spark, d), 4, ["r", "c"]))
+
+
+_HELD = "m AS (SELECT a.roi, a.t, a.f, median(b.f) AS q FROM (SELECT *, least(greatest(t + o, 0), n - 1) AS p FROM (SELECT *, count(*) OVER (PARTITION BY roi) AS n FROM trace), range(-5, 6) x(o)) a JOIN trace b ON b.roi = a.roi AND b.t = a.p GROUP BY a.roi, a.t, a.f)"
+
+
+@_query(f", {_HELD} SELECT roi, t, round(CASE WHEN abs(f - q) > 20 THEN q + 20 * sign(f - q) ELSE f END, 6) AS f FROM m")
+def clipped_trace(spark: SparkSession, d: str) -> DataFrame:
+    return _round(signals.clip_outliers(views.trace(spark, d), 11, 20.0))
+
+
+@_query(f", {_HELD} SELECT roi, t, round(f - least(q, 2.5 * s), 6) AS f FROM m JOIN (SELECT roi, stddev_pop(f) / 4 AS s FROM trace GROUP BY roi) USING (roi)")
+def detrended_trace(spark: SparkSession, d: str) -> DataFrame:
+    t = views.trace(spark, d)
+    return _round(signals.event_detrend(t, t.groupBy("roi").agg((F.stddev_pop("f") / 4).alias("noise")), 11))
+
+
+@_query("SELECT t, CASE WHEN t < 7 OR t >= n - 9 THEN 0 ELSE x END AS x, CASE WHEN t < 7 OR t >= n - 9 THEN 0 ELSE y END AS y FROM shift, (SELECT max(t) + 1 AS n FROM shift)")
+def trimmed_shift(spark: SparkSession, d: str) -> DataFrame:
+    return signals.reset_trimmed(views.shift(spark, d), 7, 9)
+
+
+@_query("SELECT * FROM movie WHERE t IN (SELECT CAST(i * n // least(n, 11) + 3 AS INT) FROM (SELECT max(t) + 1 - 5 AS n FROM movie), range(11) x(i) WHERE i < n)")
+def spaced_frames(spark: SparkSession, d: str) -> DataFrame:
+    return signals.spaced_frames(views.movie(spark, d), 11, 3, 2)
+
+
+@_query("SELECT roi, round(CASE WHEN r > 1 THEN fill ELSE r END, 6) AS r, r > 1 AS filled FROM (SELECT roi, avg(f) / 50 AS r FROM trace GROUP BY roi), (SELECT CASE WHEN count(*) >= 5 THEN avg(r) ELSE 0.7 END AS fill FROM (SELECT avg(f) / 50 AS r FROM trace GROUP BY roi) WHERE r > 0 AND r <= 1)")
+def refilled_ratios(spark: SparkSession, d: str) -> DataFrame:
+    return _round(signals.refill_ratios(views.trace(spark, d).groupBy("roi").agg((F.avg("f") / 50).alias("r"))))
+
+
+@_query("SELECT round(1 - a, 6) AS m00, round(a, 6) AS m01, round(b, 6) AS m10, round(1 - b, 6) AS m11 FROM (SELECT avg(least(x, 1 - x)) AS a, avg(least(y, 1 - y)) AS b FROM (SELECT roi % 11 / 16.0::DOUBLE AS x, roi % 7 / 8.0::DOUBLE AS y FROM (SELECT DISTINCT roi FROM trace) WHERE roi % 3 <> 0))")
+def mean_mixing(spark: SparkSession, d: str) -> DataFrame:
+    x, y = F.col("roi") % 11 / 16, F.col("roi") % 7 / 8
+    mixing = views.trace(spark, d).select("roi").distinct().select(x.alias("m00"), (1 - x).alias("m01"), y.alias("m10"), (1 - y).alias("m11"), (F.col("roi") % 3 != 0).alias("converged"))
+    return _round(signals.mean_mixing(mixing))
+
+
+@_query("SELECT roi, round(100 * regr_slope(CAST(t AS DOUBLE), f), 6) AS slope, abs(100 * regr_slope(CAST(t AS DOUBLE), f)) > 50 AS outlier FROM trace GROUP BY roi")
+def crosstalk_outliers(spark: SparkSession, d: str) -> DataFrame:
+    return _round(signals.crosstalk_outliers(views.trace(spark, d).select("roi", F.col("f").alias("signal"), F.col("t").cast("double").alias("crosstalk"))))
+
+
+@_query("SELECT CAST(least(round_even((f - 0) / 4, 0), 24) AS INT) AS bx, CAST(least(round_even((t - 0) / 4, 0), 24) AS INT) AS by, count(*) AS n FROM trace GROUP BY ALL")
+def pair_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return signals.histogram_2d(views.trace(spark, d).select(F.col("f").alias("x"), F.col("t").cast("double").alias("y")), (0.0, 100.0), (0.0, 100.0))
+
+
+@_query("SELECT round(avg(f), 6) AS mean, round(stddev_pop(f), 6) AS deviation, CAST(round_even(sum(abs(f)), 0) AS BIGINT) % 4294967296 AS seed FROM trace")
+def recording_figures(spark: SparkSession, d: str) -> DataFrame:
+    return _round(signals.recording_figures(views.trace(spark, d)))
+
+
+@_query("SELECT c_nationkey AS experiment, c_custkey AS position, row_number() OVER (ORDER BY c_nationkey, c_custkey) + 99 AS roi FROM customer")
+def running_ids(spark: SparkSession, d: str) -> DataFrame:
+    rois_ = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_nationkey").alias("experiment"), F.col("c_custkey").alias("position"))
+    return signals.running_ids(rois_, 100)

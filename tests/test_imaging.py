@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from lumenflow.functions import scalars
-from lumenflow.operators import traces
+from lumenflow.operators import images, signals, traces
 from lumenflow.plans import imaging
 
 DATA = "/root/testdata/sf0.001"
@@ -19,7 +19,7 @@ def _plain(v):
 @pytest.mark.parametrize("name", sorted(imaging.QUERIES))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in "supplier orders events embeddings".split():
+    for t in "supplier orders events embeddings customer".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     df = imaging.QUERIES[name](spark, DATA)
     cur = con.execute(imaging.SQL[name])
@@ -49,6 +49,30 @@ def test_masked_mean_of_a_two_level_movie(spark):
     assert {(x.roi, x.t): x.f for x in traces.masked_mean(movie, pixels).collect()} == {(k, t): v for k, v in ((0, 1.5), (1, 1.0)) for t in range(3)}
 
 
+def test_closing_fills_a_hole_and_opening_removes_a_spur(spark):
+    block = {(r, c) for r in range(2, 7) for c in range(2, 7)}
+    rows = [(0, r, c) for r, c in (block - {(4, 4)}) | {(4, 7), (4, 8)}] + [(1, 0, 0)]
+    got = {(x.roi, x.r, x.c) for x in images.close_and_open(spark.createDataFrame(rows, "roi int, r int, c int"), 12, 12).collect()}
+    corners = {(2, 2), (2, 6), (6, 2), (6, 6)}
+    assert {(r, c) for k, r, c in got if k == 0} >= block - corners and (0, 4, 8) not in got
+
+
+def test_boxcar_holds_the_edges(spark):
+    movie = spark.createDataFrame([(0, 0, t, float(t * t)) for t in range(5)], "r int, c int, t int, v double")
+    got = {x.t: x.v for x in signals.boxcar(movie, 3, ["r", "c"]).collect()}
+    assert got == {0: 1 / 3, 1: 5 / 3, 2: 14 / 3, 3: 29 / 3, 4: 41 / 3}
+
+
+def test_refill_needs_five_good_ratios(spark):
+    few = spark.createDataFrame([(0, 0.1), (1, 2.0), (2, 0.3)], "roi int, r double")
+    assert {x.roi: (x.r, x.filled) for x in signals.refill_ratios(few).collect()} == {0: (0.1, False), 1: (0.7, True), 2: (0.3, False)}
+
+
+def test_running_ids_follow_experiment_and_position(spark):
+    rows = spark.createDataFrame([("b", 1), ("a", 5), ("a", 2)], "experiment string, position int")
+    assert {(x.experiment, x.position): x.roi for x in signals.running_ids(rows, 10).collect()} == {("a", 2): 10, ("a", 5): 11, ("b", 1): 12}
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
