@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenflow.functions.scalars import unmix
-from lumenflow.operators import images, movies, rois, signals, traces
+from lumenflow.operators import checks, images, movies, rois, signals, traces
 from lumenflow.sources import adapters as views
 
 QUERIES, SQL = {}, {}
@@ -307,3 +307,46 @@ def recording_figures(spark: SparkSession, d: str) -> DataFrame:
 def running_ids(spark: SparkSession, d: str) -> DataFrame:
     rois_ = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_nationkey").alias("experiment"), F.col("c_custkey").alias("position"))
     return signals.running_ids(rois_, 100)
+
+
+@_query(f"SELECT roi FROM ({_BOUNDS}) WHERE NOT (y + height < 2 OR y >= 7 OR x + width < 5 OR x >= 15)")
+def rois_in_field(spark: SparkSession, d: str) -> DataFrame:
+    return checks.in_field(views.roi_pixels(spark, d), 2, 5, 5, 10)
+
+
+@_query("SELECT roi, min(n) = max(n) AS valid FROM (SELECT roi, t % 2 AS channel, count(*) AS n FROM trace GROUP BY ALL) GROUP BY roi")
+def valid_traces(spark: SparkSession, d: str) -> DataFrame:
+    return checks.valid_traces(views.trace(spark, d).select("roi", (F.col("t") % 2).alias("channel"), "t", "f"))
+
+
+@_query(", x AS (SELECT t, CASE WHEN t % 5 = 0 AND c = 3 THEN v + 1 ELSE v END AS v FROM movie), y AS (SELECT t, v FROM movie) SELECT DISTINCT t FROM ((SELECT * FROM x EXCEPT ALL SELECT * FROM y) UNION ALL (SELECT * FROM y EXCEPT ALL SELECT * FROM x))")
+def moved_frames(spark: SparkSession, d: str) -> DataFrame:
+    raw = views.movie(spark, d)
+    moved = raw.select("t", F.when((F.col("t") % 5 == 0) & (F.col("c") == 3), F.col("v") + 1).otherwise(F.col("v")).alias("v"))
+    return checks.moved_frames(moved, raw)
+
+
+@_query("SELECT roi, count(*) FILTER (ok) AS n_independent, count(*) FILTER (ok) = 0 AS ghost FROM (SELECT s.roi, NOT EXISTS (SELECT 1 FROM trace x WHERE x.roi = s.roi AND x.f < 60 AND abs(x.t - s.t) <= 2) AS ok FROM trace s WHERE f > 85) GROUP BY roi")
+def ghost_rois(spark: SparkSession, d: str) -> DataFrame:
+    t = views.trace(spark, d)
+    return checks.ghosts(t.where("f > 85").select("roi", "t"), t.where("f < 60").select("roi", "t"))
+
+
+@_query("SELECT roi, round(corr(f, a), 6) AS c00, round(corr(f, b), 6) AS c01, round(corr(CAST(t AS DOUBLE), a), 6) AS c10, round(corr(CAST(t AS DOUBLE), b), 6) AS c11 FROM (SELECT roi, t, f, (0.8 * f - 0.2 * t) / 0.66 AS a, (0.9 * t - 0.3 * f) / 0.66 AS b FROM trace) GROUP BY roi")
+def channel_correlation(spark: SparkSession, d: str) -> DataFrame:
+    t = views.trace(spark, d)
+    signal, other = unmix(F.lit(0.9), F.lit(0.2), F.lit(0.3), F.lit(0.8), F.col("f"), F.col("t"))
+    return _round(checks.channel_correlation(t.select("roi", F.col("f").alias("in0"), F.col("t").cast("double").alias("in1"), signal.alias("out0"), other.alias("out1"))))
+
+
+@_query(""", g AS (SELECT roi, t, CASE WHEN f <= 40 THEN f END AS f, count(*) OVER (PARTITION BY roi) AS n FROM trace),
+m AS (SELECT a.roi, a.t, median(b.f) AS m FROM (SELECT *, CASE WHEN t + o < 0 THEN -1 - (t + o) WHEN t + o >= n THEN 2 * n - 1 - (t + o) ELSE t + o END AS p FROM g, range(-1, 2) x(o)) a JOIN g b ON b.roi = a.roi AND b.t = a.p GROUP BY a.roi, a.t),
+s AS (SELECT *, max(CASE WHEN m IS NOT NULL THEN t END) OVER (PARTITION BY roi ORDER BY t) AS ta, min(CASE WHEN m IS NOT NULL THEN t END) OVER (PARTITION BY roi ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS tb FROM m)
+SELECT s.roi, s.t, round(coalesce(s.m, a.m + (b.m - a.m) * (s.t - ta) / nullif(tb - ta, 0), a.m, b.m), 6) AS m FROM s LEFT JOIN m a ON a.roi = s.roi AND a.t = ta LEFT JOIN m b ON b.roi = s.roi AND b.t = tb""")
+def gap_median(spark: SparkSession, d: str) -> DataFrame:
+    return _round(checks.gap_median(views.trace(spark, d).withColumn("f", F.when(F.col("f") <= 40, F.col("f"))), 3))
+
+
+@_query(None)
+def demixed_traces(spark: SparkSession, d: str) -> DataFrame:
+    return _round(checks.demix(views.movie(spark, d), views.roi_pixels(spark, d)))

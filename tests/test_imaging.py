@@ -3,10 +3,11 @@
 import math
 
 import duckdb
+import numpy as np
 import pytest
 
 from lumenflow.functions import scalars
-from lumenflow.operators import images, signals, traces
+from lumenflow.operators import checks, images, signals, traces
 from lumenflow.plans import imaging
 
 DATA = "/root/testdata/sf0.001"
@@ -16,7 +17,7 @@ def _plain(v):
     return round(v, 6) + 0.0 if isinstance(v, float) else v
 
 
-@pytest.mark.parametrize("name", sorted(imaging.QUERIES))
+@pytest.mark.parametrize("name", sorted(imaging.SQL))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
     for t in "supplier orders events embeddings customer".split():
@@ -49,12 +50,40 @@ def test_masked_mean_of_a_two_level_movie(spark):
     assert {(x.roi, x.t): x.f for x in traces.masked_mean(movie, pixels).collect()} == {(k, t): v for k, v in ((0, 1.5), (1, 1.0)) for t in range(3)}
 
 
-def test_closing_fills_a_hole_and_opening_removes_a_spur(spark):
+def test_closing_fills_a_hole_and_opening_removes_single_pixels(spark):
     block = {(r, c) for r in range(2, 7) for c in range(2, 7)}
-    rows = [(0, r, c) for r, c in (block - {(4, 4)}) | {(4, 7), (4, 8)}] + [(1, 0, 0)]
+    rows = [(0, r, c) for r, c in (block - {(4, 4)}) | {(10, 10)}] + [(1, 0, 0)]
     got = {(x.roi, x.r, x.c) for x in images.close_and_open(spark.createDataFrame(rows, "roi int, r int, c int"), 12, 12).collect()}
-    corners = {(2, 2), (2, 6), (6, 2), (6, 6)}
-    assert {(r, c) for k, r, c in got if k == 0} >= block - corners and (0, 4, 8) not in got
+    assert got == {(0, r, c) for r, c in block - {(2, 2), (2, 6), (6, 2), (6, 6)}}
+
+
+def test_gap_median_fills_by_lines(spark):
+    n = None
+    rows = [(0, t, v) for t, v in enumerate([1.0, 2.0, 3.0, n, n, n, 3.0, 2.0, 1.0])] + [(1, t, v) for t, v in enumerate([n, n, n, 4.0])]
+    got = {(x.roi, x.t): x.m for x in checks.gap_median(spark.createDataFrame(rows, "roi int, t int, f double"), 3).collect()}
+    assert [got[0, t] for t in range(9)] == [1, 2, 2.5, 3, 3, 3, 2.5, 2, 1] and [got[1, t] for t in range(4)] == [4] * 4
+
+
+def test_demix_gives_back_the_sources(spark):
+    masks = np.zeros((3, 6, 6))
+    masks[0, :3, :3], masks[1, 2:5, 2:5], masks[2, 5, :2] = 1, 1, 1
+    rng = np.random.default_rng(3)
+    frames = rng.uniform(1, 2, (4, 6, 6))
+    frames[3][masks[2] > 0] = 0
+    want = {}
+    for t, frame in enumerate(frames):
+        size = masks.sum(axis=(1, 2))
+        mean = (masks * frame).sum(axis=(1, 2)) / size
+        if (mean == 0).any():
+            want |= {(k, t): (0.0, True) for k in range(3)}
+            continue
+        weighted = (masks * frame).reshape(3, -1) / mean[:, None]
+        x = np.linalg.solve(masks.reshape(3, -1) @ weighted.T, mean * size)
+        want |= {(k, t): (x[k], False) for k in range(3)}
+    movie = spark.createDataFrame([(r, c, t, float(frames[t, r, c])) for t in range(4) for r in range(6) for c in range(6)], "r int, c int, t int, v double")
+    pixels = spark.createDataFrame([(int(k), int(r), int(c)) for k, r, c in np.argwhere(masks)], "roi int, r int, c int")
+    got = {(x.roi, x.t): (x.f, x.dropped) for x in checks.demix(movie, pixels).collect()}
+    assert got.keys() == want.keys() and all(got[k][1] == v[1] and math.isclose(got[k][0], v[0], abs_tol=1e-9) for k, v in want.items())
 
 
 def test_boxcar_holds_the_edges(spark):
