@@ -291,3 +291,29 @@ def test_pipeline(spark):
         assert out.columns == docs.columns and 0 < out.count() <= before
     packed = corpus_pipeline.STAGES[-1][1](spark, out, "/root/testdata/sf0.001")
     assert packed.select("doc_id").distinct().count() == out.select("doc_id").distinct().count()
+
+
+def test_wide_parities_keep_every_similar_pair():
+    rng = np.random.default_rng(11)
+    sets, pairs = [], []
+    for n in [60, 71, 72, 73, 90, 143, 145, 150, 288, 300, 577, 700, 1200, 2304, 2400, 5000] * 4:
+        base = rng.integers(0, 2**63, n).tolist()
+        cut = int(n * rng.uniform(0, 1 / 9))  # from cut words each replaced: Jaccard (n - cut) / (n + cut) of at least 0.8
+        pairs.append((len(sets), len(sets) + 1))
+        sets += [base, base[cut:] + rng.integers(0, 2**63, cut).tolist()]
+        longer = base + rng.integers(0, 2**63, n // 4).tolist()  # similarity n / (n + n // 4), often of another width
+        pairs.append((len(sets) - 2, len(sets)))
+        sets.append(longer)
+    wide = line_dedup._Wide(np.array([len(s) for s in sets]))
+    wide.add(np.repeat(np.arange(len(sets)), [len(s) for s in sets]), tx.mix(np.concatenate([np.array(s, np.uint64) for s in sets])))
+    a, b = np.array(pairs).T
+    for x, y in pairs:
+        shared = len(set(sets[x]) & set(sets[y]))
+        assert shared >= 0.8 * (len(sets[x]) + len(sets[y]) - shared) - 1e-9
+    assert wide.near(a, b, 0.8).all()
+    middle = np.flatnonzero((wide.n > 72) & (wide.n < 2304))
+    other = np.roll(middle, 7)
+    alike = (np.minimum(wide.n[middle], wide.n[other]) >= 0.8 * np.maximum(wide.n[middle], wide.n[other])) & (middle != other)
+    assert alike.any() and wide.near(middle, other, 0.8)[alike].mean() < 0.2  # unrelated sets; some pairs come from one base
+    lines = rng.permutation(len(sets))[:20]
+    assert (wide.of(lines) == np.concatenate([wide.flat[wide.at[k] : wide.at[k] + wide.size[k]] for k in lines])).all()
