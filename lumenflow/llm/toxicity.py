@@ -7,9 +7,9 @@ probability, and a document's score is that of its highest window. All windows o
 count: those without any evidence word differ only in length, so their score is computed once for
 each length and not once for each window.
 
-The network is trained on the driver from a bounded sample of labelled rows (``SAMPLE``, taken by a
+The network is trained in one task from a bounded sample of labelled rows (``SAMPLE``, taken by a
 hash of doc_id); a toxic document teaches through its currently highest window. Everything else runs
-over all documents in tasks, with the model as a broadcast of bounded size.
+over all documents in tasks, with the model as a broadcast of bounded size. The driver sees only the model.
 
 Defined cases: null and empty texts get the score of an empty window; without any usable label, or
 with one class only, all evidence is zero; null labels don't teach; a null doc_id isn't held out;
@@ -18,6 +18,8 @@ repeated rows get the same score; extra columns are ignored.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -36,6 +38,9 @@ _INPUTS = 1 + len(_PREFIXES)
 _HIDDEN = 6
 _SLOT_BITS = 18
 
+#: Windows scored at once.
+_BLOCK = 4096
+
 #: Separators: all ASCII but letters and digits.
 _BREAKS = np.ones(256, bool)
 _BREAKS[128:] = False
@@ -163,6 +168,10 @@ class Network:
         prob = _sigmoid(pooled @ self.p["w"].astype(x.dtype) + self.p["c"].astype(x.dtype))
         return (prob, (x, live, fs, bs, states, u, alpha, pooled)) if keep else prob
 
+    def probabilities(self, x, length):
+        """Of any number of windows, in blocks."""
+        return np.concatenate([self.forward(x[lo : lo + _BLOCK], length[lo : lo + _BLOCK]) for lo in range(0, max(1, len(x)), _BLOCK)])
+
     def gradient(self, prob, target, weight, saved):
         """Of the weighted mean log loss."""
         x, live, fs, bs, states, u, alpha, pooled = saved
@@ -201,7 +210,7 @@ class Network:
         rng, m, v, k = np.random.default_rng(seed), {}, {}, 0
         clean = np.flatnonzero(~toxic[doc])
         for turn in range(rounds):
-            score = x.sum((1, 2)) if not turn else self.forward(x, length)
+            score = x.sum((1, 2)) if not turn else self.probabilities(x, length)
             order = np.lexsort((-score, doc))
             top = order[np.concatenate([[True], doc[order][1:] != doc[order][:-1]])] if len(order) else order
             bad = top[toxic[doc[top]]]
@@ -219,9 +228,8 @@ class Network:
 
 
 class Model:
-    def __init__(self, texts: list[str | None], toxic: list[int]):
-        toxic = np.array(toxic, bool)
-        first, keys = _keys(pa.array(texts, pa.string()))
+    def __init__(self, texts: pa.Array, toxic: np.ndarray):
+        first, keys = _keys(texts)
         self.evidence = Evidence(first, keys, toxic)
         x, length, rows, plain = windows(first, self.evidence.of(keys))
         free, lengths = np.nonzero(plain)
@@ -233,8 +241,7 @@ class Model:
         first, keys = _keys(column)
         x, length, rows, plain = windows(first, self.evidence.of(keys))
         out = np.where(plain, self.plain[None, :], 0).max(1)
-        for lo in range(0, len(rows), 4096):
-            np.maximum.at(out, rows[lo : lo + 4096], self.network.forward(x[lo : lo + 4096], length[lo : lo + 4096]))
+        np.maximum.at(out, rows, self.network.probabilities(x, length))
         return np.clip(out, 0, 1)
 
 
@@ -243,13 +250,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _trained(batches):
+    """The pickled model of the rows of one partition, which holds the bounded sample."""
+    parts = [(b.column("text"), b.column("toxic")) for b in batches]
+    text, toxic = (pa.chunked_array([p[k] for p in parts], kind).combine_chunks() for k, kind in ((0, pa.string()), (1, pa.int32())))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Model(text, np.asarray(toxic).astype(bool)))], pa.binary())], ["model"])
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
-    chosen = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").toArrow()  # at most ``sample`` documents
-    order = np.argsort(np.asarray(rows.column("doc_id").cast(pa.int64())), kind="stable")
-    texts, toxic = rows.column("text").to_pylist(), rows.column("toxic").to_pylist()
-    return Model([texts[k] for k in order], [toxic[k] for k in order])
+    chosen = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # the documents of at most ``sample`` ids
+    one = rows.repartition(1).sortWithinPartitions("doc_id", text_key(F.col("text"))).select("text", "toxic")
+    row = one.mapInArrow(_trained, "model binary").first()
+    return pickle.loads(row[0]) if row else Model(pa.array([], pa.string()), np.zeros(0, bool))
 
 
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
