@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from lumenflow.functions.scalars import to_range
 
 
+def extent(movie: DataFrame) -> DataFrame:
+    """Height and width of the movie's frame: rows, columns. One row, so the broadcast is of fixed size."""
+    return F.broadcast(movie.agg((F.max("r") + 1).alias("rows"), (F.max("c") + 1).alias("columns")))
+
+
 def projection(movie: DataFrame) -> DataFrame:
     """Greatest and mean value of each pixel over time."""
     return movie.groupBy("r", "c").agg(F.max("v").alias("max_v"), F.avg("v").alias("avg_v"))

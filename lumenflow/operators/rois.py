@@ -27,12 +27,12 @@ def keep_round(pixels: DataFrame, least_aspect: float = 0.2) -> DataFrame:
     return pixels.join(box.where(ratio > least_aspect).select("roi"), "roi", "left_semi")
 
 
-def exclusion_labels(pixels: DataFrame, border: dict[str, float], rows: int, columns: int, least_pixels: int) -> DataFrame:
+def exclusion_labels(pixels: DataFrame, border: dict[str, float], extent: DataFrame, least_pixels: int) -> DataFrame:
     """roi, exclusion_labels and valid: outside the frame left by motion, or too small."""
-    box = bounds(pixels)
+    box = bounds(pixels).join(extent)
     inside = (
-        (F.col("x") >= F.ceil(F.lit(border["right"]))) & (F.col("x") + F.col("width") <= F.floor(F.lit(columns - border["left"])))
-        & (F.col("y") >= F.ceil(F.lit(border["down"]))) & (F.col("y") + F.col("height") <= F.floor(F.lit(rows - border["up"])))
+        (F.col("x") >= F.ceil(F.lit(border["right"]))) & (F.col("x") + F.col("width") <= F.floor(F.col("columns") - border["left"]))
+        & (F.col("y") >= F.ceil(F.lit(border["down"]))) & (F.col("y") + F.col("height") <= F.floor(F.col("rows") - border["up"]))
     )
     labels = F.array_compact(F.array(F.when(~inside, F.lit("motion_border")), F.when(F.col("area") <= least_pixels, F.lit("small_size"))))
     return box.select("roi", labels.alias("exclusion_labels"), (F.size(labels) == 0).alias("valid"))

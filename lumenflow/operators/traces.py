@@ -25,12 +25,12 @@ def weighted_trace(movie: DataFrame, pixels: DataFrame, by_size: bool = True) ->
     return movie.join(if_small(pixels), ["r", "c"]).groupBy("roi", "t").agg((total / F.count("*") if by_size else total).alias("f"))
 
 
-def neuropil_mask(pixels: DataFrame, reach: int, rows: int, columns: int) -> DataFrame:
+def neuropil_mask(pixels: DataFrame, reach: int, extent: DataFrame) -> DataFrame:
     """Pixels within ``reach`` of a region (in rows and columns), in the frame, of no region: roi, r, c."""
     offsets = F.sequence(F.lit(-reach), F.lit(reach))
     near = pixels.select("roi", "r", "c", F.explode(offsets).alias("dr")).select("roi", (F.col("r") + F.col("dr")).alias("r"), "c").distinct()
     near = near.select("roi", "r", F.col("c"), F.explode(offsets).alias("dc")).select("roi", "r", (F.col("c") + F.col("dc")).alias("c")).distinct()
-    near = near.where(F.col("r").between(0, rows - 1) & F.col("c").between(0, columns - 1))
+    near = near.join(extent).where(F.col("r").between(0, F.col("rows") - 1) & F.col("c").between(0, F.col("columns") - 1))
     return near.join(pixels.select("r", "c").distinct(), ["r", "c"], "left_anti").select("roi", "r", "c")
 
 

@@ -10,6 +10,7 @@ from lumenflow.operators import checks, images, movies, rois, signals, traces
 from lumenflow.sources import adapters as views
 
 QUERIES, SQL = {}, {}
+#: The frame of 500 vectors, for closed_and_opened and the SQL; the other queries take the movie's own.
 _ROWS, _COLUMNS, _REACH = 16, 32, 3
 
 
@@ -44,12 +45,12 @@ _NEAR = f"""SELECT DISTINCT roi, r + dr AS r, c + dc AS c FROM roi_pixels, range
 
 @_query(f"SELECT n.* FROM ({_NEAR}) n ANTI JOIN roi_pixels p ON n.r = p.r AND n.c = p.c")
 def neuropil_mask(spark: SparkSession, d: str) -> DataFrame:
-    return traces.neuropil_mask(views.roi_pixels(spark, d), _REACH, _ROWS, _COLUMNS)
+    return traces.neuropil_mask(views.roi_pixels(spark, d), _REACH, movies.extent(views.movie(spark, d)))
 
 
 @_query(f"SELECT roi, t, round(avg(v), 6) AS f FROM movie JOIN (SELECT n.* FROM ({_NEAR}) n ANTI JOIN roi_pixels p ON n.r = p.r AND n.c = p.c) USING (r, c) GROUP BY ALL")
 def neuropil_trace(spark: SparkSession, d: str) -> DataFrame:
-    return _round(traces.masked_mean(views.movie(spark, d), traces.neuropil_mask(views.roi_pixels(spark, d), _REACH, _ROWS, _COLUMNS)))
+    return _round(traces.masked_mean(views.movie(spark, d), traces.neuropil_mask(views.roi_pixels(spark, d), _REACH, movies.extent(views.movie(spark, d)))))
 
 
 @_query("SELECT p.* FROM roi_pixels p JOIN (SELECT roi, quantile_cont(w, 0.1) AS q FROM roi_pixels GROUP BY roi) USING (roi) WHERE w >= q")
@@ -67,7 +68,7 @@ def roi_bounds(spark: SparkSession, d: str) -> DataFrame:
 
 @_query(f"SELECT roi, array_to_string(list_filter([CASE WHEN NOT (x >= 2 AND x + width <= 30 AND y >= 1 AND y + height <= 13) THEN 'motion_border' END, CASE WHEN area <= 11 THEN 'small_size' END], lambda l: l IS NOT NULL), ',') AS labels, (x >= 2 AND x + width <= 30 AND y >= 1 AND y + height <= 13) AND area > 11 AS valid FROM ({_BOUNDS})")
 def roi_exclusion(spark: SparkSession, d: str) -> DataFrame:
-    out = rois.exclusion_labels(views.roi_pixels(spark, d), {"left": 1.5, "right": 1.5, "up": 2.2, "down": 0.3}, _ROWS, _COLUMNS, 11)
+    out = rois.exclusion_labels(views.roi_pixels(spark, d), {"left": 1.5, "right": 1.5, "up": 2.2, "down": 0.3}, movies.extent(views.movie(spark, d)), 11)
     return out.select("roi", F.array_join("exclusion_labels", ",").alias("labels"), "valid")
 
 

@@ -7,8 +7,9 @@ import numpy as np
 import pytest
 
 from lumenflow.functions import scalars
-from lumenflow.operators import checks, images, signals, traces
+from lumenflow.operators import checks, images, movies, rois, signals, traces
 from lumenflow.plans import imaging
+from lumenflow.sources import adapters
 
 DATA = "/root/testdata/sf0.001"
 
@@ -102,6 +103,24 @@ def test_running_ids_follow_experiment_and_position(spark):
     assert {(x.experiment, x.position): x.roi for x in signals.running_ids(rows, 10).collect()} == {("a", 2): 10, ("a", 5): 11, ("b", 1): 12}
 
 
+def test_regions_are_cut_at_the_frame_of_the_movie(spark):
+    # 20 rows: more than the 16 of the driver's smallest movie
+    movie = spark.createDataFrame([(r, c, 0, 1.0) for r in range(20) for c in range(32)], "r int, c int, t int, v double")
+    pixels = spark.createDataFrame([(0, r, c) for r in range(13, 16) for c in range(5, 9)] + [(1, r, c) for r in range(17, 20) for c in range(5, 9)], "roi int, r int, c int")
+    labels = rois.exclusion_labels(pixels, {"left": 1.5, "right": 1.5, "up": 2.2, "down": 0.3}, movies.extent(movie), 11)
+    assert {x.roi: (list(x.exclusion_labels), x.valid) for x in labels.collect()} == {0: ([], True), 1: (["motion_border"], False)}
+    ring = {(x.r, x.c) for x in traces.neuropil_mask(pixels, 3, movies.extent(movie)).where("roi = 0").collect()}
+    assert ring == {(r, c) for r in range(10, 19) for c in range(2, 12)} - {(x.r, x.c) for x in pixels.collect()}
+
+
+def test_queries_take_the_frame_of_a_larger_movie(spark):
+    data = "/root/testdata/sf0.1"
+    last = adapters.movie(spark, data).agg({"r": "max"}).first()[0]
+    assert last > 15 and imaging.neuropil_mask(spark, data).agg({"r": "max"}).first()[0] == 16
+    low = adapters.roi_pixels(spark, data).groupBy("roi").agg({"r": "min", "c": "min"}).where("`min(r)` >= 11 and `min(c)` between 2 and 26").select("roi")
+    assert low.count() and imaging.roi_exclusion(spark, data).join(low, "roi").where("not valid").isEmpty()
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
