@@ -101,9 +101,18 @@ def event_summary(events: DataFrame) -> DataFrame:
 
 
 def negative_transients(trace: DataFrame, window: int, run: int = 10, sigmas: float = 3.0) -> DataFrame:
-    """Regions with ``run`` frames in a row below the trailing mean less ``sigmas`` deviations."""
+    """Regions with ``run`` frames in a row below the trailing mean less ``sigmas`` deviations.
+
+    Before its start a trace counts as ``window`` - 1 frames of the mean of its first ``window`` frames.
+    """
     order = Window.partitionBy("roi").orderBy("t")
     back = order.rowsBetween(-(window - 1), 0)
-    below = trace.withColumn("below", (F.col("f") < F.avg("f").over(back) - sigmas * F.stddev_pop("f").over(back)).cast("int"))
+    first = F.avg(F.when(F.col("k") <= window, F.col("f"))).over(Window.partitionBy("roi"))
+    own = trace.withColumn("k", F.row_number().over(order)).select("roi", "t", "f", first.alias("pad"), F.avg("f").over(back).alias("m"), F.stddev_pop("f").over(back).alias("s"), F.count("f").over(back).alias("n"), F.greatest(F.lit(0), window - F.col("k")).alias("n_pad"))
+    # mean and variance of a window's own frames and its padding together
+    share, gap = F.col("n") / (F.col("n") + F.col("n_pad")), F.col("m") - F.col("pad")
+    mean, deviation = F.col("pad") + share * gap, F.sqrt(share * (F.col("s") * F.col("s") + (1 - share) * gap * gap))
+    low = F.when(F.col("n_pad") > 0, mean - sigmas * deviation).otherwise(F.col("m") - sigmas * F.col("s"))
+    below = own.withColumn("below", (F.col("f") < low).cast("int"))
     hit = below.withColumn("in_row", F.sum("below").over(order.rowsBetween(-(run - 1), 0))).where(F.col("in_row") == run)
     return hit.select("roi").distinct()

@@ -121,6 +121,23 @@ def test_queries_take_the_frame_of_a_larger_movie(spark):
     assert low.count() and imaging.roi_exclusion(spark, data).join(low, "roi").where("not valid").isEmpty()
 
 
+def test_negative_transients_near_the_start(spark):
+    rng = np.random.default_rng(5)
+    dip = lambda n, at, width: np.where((np.arange(n) >= at) & (np.arange(n) < at + width), 0.0, 100.0) + rng.normal(0, 1, n)
+    # 0: 15 low frames from frame 40; 1: none; 2: too few low frames; 3: in the full windows; 4: shorter than the window
+    held = [dip(600, 40, 15), dip(600, 0, 0), dip(600, 40, 9), dip(600, 540, 12), dip(120, 60, 10)]
+
+    def has_run(f, window=500, run=10, sigmas=3):
+        padded = np.pad(f, (window - 1, 0), constant_values=f[:window].mean())
+        around = np.lib.stride_tricks.sliding_window_view(padded, window)
+        below = f < around.mean(axis=-1) - sigmas * around.std(axis=-1)
+        return len(f) >= run and bool(np.lib.stride_tricks.sliding_window_view(below, run).all(axis=-1).any())
+
+    rows = [(k, t, float(v)) for k, f in enumerate(held) for t, v in enumerate(f)]
+    got = {x.roi for x in traces.negative_transients(spark.createDataFrame(rows, "roi int, t int, f double"), 500).collect()}
+    assert got == {k for k, f in enumerate(held) if has_run(f)} and 0 in got
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
