@@ -11,8 +11,10 @@ coordinate and are verified; for that, a scan of the documents lets through the
 wanted coordinates, whose size is fixed and which only spares work.
 
 A line goes if any earlier line (by doc_id, then line number, on the input) is similar. One
-witness is enough, so no group emits all its pairs: equal sets reduce to their first line; a
-line asks its earliest few candidates first, and only lines without a witness ask further ones,
+witness is enough, so no group emits all its pairs: equal sets reduce to their first line, those
+of an Arrow batch before the shuffle, so that a line in all documents sends one entry per batch to
+its tokens' buckets; a token with very many different lines is dealt to cells, one for each pair of
+its parts; a line asks its earliest few candidates first, and only lines without a witness ask further ones,
 in rounds, until none is left to ask. No candidate is dropped.
 
 Defined cases: lines end at a newline; a line without words never goes; a null text has no
@@ -46,6 +48,8 @@ _FIRST, _GROWTH = 2, 16
 _MAP_BITS = 1 << 26
 _NULL_ID = np.iinfo(np.int64).min
 _PLACE = ("doc_id", "text_key", "line")
+#: A prefix token with more entries than this, by a sample of one document in _SAMPLE, is dealt to cells for pairs of its parts.
+_PART, _SAMPLE = 1 << 16, 64
 
 
 def _lines(column: pa.Array):
@@ -167,8 +171,8 @@ class _Wide:
         return ok
 
 
-#: Arrays of a packed row: a table of texts, entries (a token of a line's prefix), and lines found to repeat.
-_FIELDS = {"ids": np.int64, "keys": np.int64, "l_row": np.uint32, "l_line": np.int32, "l_n": np.int32, "l_set": np.uint32, "l_bits": np.uint64, "e_line": np.uint32, "e_token": np.uint8, "e_at": np.uint16, "l_wide": np.uint64}
+#: Arrays of a packed row: a table of texts, entries (a token of a line's prefix), and lines that repeat one of their batch.
+_FIELDS = {"ids": np.int64, "keys": np.int64, "l_row": np.uint32, "l_line": np.int32, "l_n": np.int32, "l_set": np.uint32, "l_bits": np.uint64, "e_line": np.uint32, "e_token": np.uint8, "e_at": np.uint16, "l_wide": np.uint64, "r_row": np.uint32, "r_line": np.int32, "r_from_row": np.uint32, "r_from_line": np.int32}
 
 
 def _pack(values: list[np.ndarray]) -> bytes:
@@ -186,46 +190,99 @@ def _unpack(blob: bytes) -> dict[str, np.ndarray]:
     return out
 
 
-def _entry_batches(rank_of, buckets: int, similarity: float):
+def _prefixes(batch, rank: np.ndarray, similarity: float):
+    """Lines with words in order of place, the first line of each one's set in the batch, and the prefix entries of those
+    first lines: line, token and place in the prefix."""
+    words, row, number, bounds = _lines(batch.column("text"))
+    ids, keys = np.asarray(batch.column("doc_id")), np.asarray(batch.column("text_key"))
+    key, line_of, at = _sets(words, bounds, rank)
+    n = np.diff(at)
+    live = np.flatnonzero(n)
+    mixed, spread = tx.mix(key), tx.mix(key ^ np.uint64(5))
+    start = at[live] if len(live) else np.zeros(0, np.int64)
+    sets = tx.mix(np.add.reduceat(mixed, start) ^ tx.mix(n[live].astype(np.uint64))) if len(live) else np.zeros(0, np.uint64)
+    bits = np.bitwise_xor.reduceat(np.uint64(1) << (spread & np.uint64(63)), start) if len(live) else np.zeros(0, np.uint64)
+    wide = _Wide(n)
+    wide.add(line_of, spread)
+    order = np.lexsort((number[live], keys[row[live]], ids[row[live]]))
+    live, sets, bits = live[order], sets[order], bits[order]
+    _, first, group = np.unique(sets, return_index=True, return_inverse=True)
+    head = first[group]
+    head = np.where(bits == bits[head], head, np.arange(len(live)))
+    own = np.flatnonzero(head == np.arange(len(live)))
+    prefix = np.minimum(n[live[own]] - _least_overlap(n[live[own]], similarity) + 1, 65535)
+    entry = np.repeat(own, prefix)
+    place = np.arange(len(entry)) - np.repeat(np.cumsum(prefix) - prefix, prefix)
+    return ids, keys, row, number, n, live, sets, bits, wide, head, entry, key[at[live[entry]] + place], place
+
+
+def _token_batches(rank_of, similarity: float):
+    """Entries of each prefix token."""
+
     def run(batches):
         rank = np.frombuffer(rank_of.value, np.uint32).astype(np.uint64)
         for batch in batches:
-            words, row, number, bounds = _lines(batch.column("text"))
-            ids = np.asarray(batch.column("doc_id"))
-            keys = np.asarray(batch.column("text_key"))
-            key, line_of, at = _sets(words, bounds, rank)
-            n = np.diff(at)
-            live = np.flatnonzero(n)
+            token, n = np.unique(_prefixes(batch, rank, similarity)[-2], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))], ["token", "n"])
+
+    return run
+
+
+def hot_tokens(keyed: DataFrame, rank_of, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix tokens with too many entries for one task, in order, and the number of parts of each. They come from
+    a sample: which tokens are split bears on the load of the tasks only."""
+    some = keyed.where(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(_SAMPLE)) == 0)
+    counts = some.mapInArrow(_token_batches(rank_of, similarity), "token long, n long").groupBy("token").agg((F.sum("n") * _SAMPLE).alias("n"))
+    rows = counts.where(F.col("n") > _PART).toArrow()  # at most one for each _PART entries
+    token, n = np.asarray(rows.column("token")).view(np.uint64), np.asarray(rows.column("n"))
+    order = np.argsort(token)
+    return token[order], -(-n[order] // _PART)
+
+
+def _split(entry: np.ndarray, token: np.ndarray, place: np.ndarray, sets: np.ndarray, hot: np.ndarray, parts: np.ndarray):
+    """Entries of hot tokens, once for each cell: a pair of parts, so that any two entries share a cell. Equal sets share a part."""
+    at = np.minimum(np.searchsorted(hot, token), len(hot) - 1)
+    on = np.flatnonzero(hot[at] == token)
+    k = parts[at[on]].astype(np.int64)
+    part = (tx.mix(sets[entry[on]] ^ np.uint64(9)) % k.astype(np.uint64)).astype(np.int64)
+    again = np.repeat(np.arange(len(on)), k)
+    other = np.arange(len(again)) - np.repeat(np.cumsum(k) - k, k)
+    part = part[again]
+    cell = (np.minimum(part, other) << 32) | np.maximum(part, other)
+    rest = np.flatnonzero(hot[at] != token)
+    used = np.concatenate([rest, on[again]])
+    return entry[used], np.concatenate([token[rest], tx.mix(token[on[again]] ^ tx.mix(cell.astype(np.uint64) + np.uint64(1)))]), place[used]
+
+
+def _entry_batches(rank_of, buckets: int, similarity: float, hot: np.ndarray, parts: np.ndarray):
+    def run(batches):
+        rank = np.frombuffer(rank_of.value, np.uint32).astype(np.uint64)
+        for batch in batches:
+            ids, keys, row, number, n, live, sets, bits, wide, head, entry, token, place = _prefixes(batch, rank, similarity)
             if not len(live):
                 continue
-            mixed = np.add.reduceat(tx.mix(key), at[live])
-            sets = tx.mix(mixed ^ tx.mix(n[live].astype(np.uint64)))
-            spread = tx.mix(key ^ np.uint64(5))
-            bits = np.bitwise_xor.reduceat(np.uint64(1) << (spread & np.uint64(63)), at[live])
-            wide = _Wide(n)
-            wide.add(line_of, spread)
-            # equal sets in a batch: all but the first line go at once (they keep one entry, see _meet)
-            order = np.lexsort((number[live], keys[row[live]], ids[row[live]]))
-            live, sets, bits = live[order], sets[order], bits[order]
-            _, first = np.unique(sets, return_index=True)
-            is_first = np.zeros(len(live), bool)
-            is_first[first] = True
-            prefix = n[live] - _least_overlap(n[live], similarity) + 1
-            prefix = np.where(is_first, np.minimum(prefix, 65535), 1)
-            entry = np.repeat(np.arange(len(live)), prefix)
-            place = np.arange(len(entry)) - np.repeat(np.cumsum(prefix) - prefix, prefix)
-            token = key[at[live][entry] + place]
+            if len(hot):
+                entry, token, place = _split(entry, token, place, sets, hot, parts)
+            # a line whose set the batch has earlier has its witness: it takes no part but goes to a bucket of its own
+            r = np.flatnonzero(head != np.arange(len(live)))
+            late, early = live[r], live[head[r]]
+            r = np.flatnonzero((ids[row[late]] != ids[row[early]]) | (keys[row[late]] != keys[row[early]]) | (number[late] != number[early]))
+            late, early = late[r], early[r]
+            r_bucket = (tx.mix(tx.mix(ids[row[late]].view(np.uint64) ^ tx.mix(keys[row[late]].view(np.uint64))) + number[late].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            r_order = np.argsort(r_bucket, kind="stable")
+            late, early, r_cut = late[r_order], early[r_order], np.searchsorted(r_bucket[r_order], np.arange(buckets + 1))
             bucket = (tx.mix(token) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
             out_b, out = [], []
-            for b in np.flatnonzero(np.diff(cut)):
-                e = order[cut[b] : cut[b + 1]]
+            for b in np.flatnonzero((np.diff(cut) > 0) | (np.diff(r_cut) > 0)):
+                e, f, g = order[cut[b] : cut[b + 1]], late[r_cut[b] : r_cut[b + 1]], early[r_cut[b] : r_cut[b + 1]]
                 own, at_line = np.unique(entry[e], return_inverse=True)
                 lines = live[own]
-                used, at_row = np.unique(row[lines], return_inverse=True)
+                used, at_row = np.unique(np.concatenate([row[lines], row[f], row[g]]), return_inverse=True)
+                at_row, f_row, g_row = np.split(at_row, [len(lines), len(lines) + len(f)])
                 out_b.append(b)
-                out.append(_pack([ids[used], keys[used], at_row, number[lines], n[lines], sets[own] & np.uint64(0xFFFFFFFF), bits[own], at_line, tx.mix(token[e]).view(np.uint8).reshape(-1, 8)[:, 3:].ravel(), place[e], wide.of(lines)]))
+                out.append(_pack([ids[used], keys[used], at_row, number[lines], n[lines], sets[own] & np.uint64(0xFFFFFFFF), bits[own], at_line, tx.mix(token[e]).view(np.uint8).reshape(-1, 8)[:, 3:].ravel(), place[e], wide.of(lines), f_row, number[f], g_row, number[g]]))
             yield pa.RecordBatch.from_arrays([pa.array(out_b, pa.int32()), pa.array(out, pa.binary())], ["bucket", "blob"])
 
     return run
@@ -276,7 +333,8 @@ def _place_columns(ids, keys, line) -> list[pa.Array]:
 
 def _meet(similarity: float):
     """One bucket: turn 0 are lines whose set repeats an earlier one; turn 1 are pairs to verify;
-    turn 2 are lines with further candidates, and the group to look them up in."""
+    turn 2 are lines with further candidates, and the group to look them up in; turn 3 are lines
+    that repeat one of their batch, as they came."""
 
     def run(table: pa.Table) -> pa.Table:
         parts = [_unpack(x) for x in table.column("blob").to_pylist()]
@@ -328,7 +386,7 @@ def _meet(similarity: float):
             late, early, more = _ask(group, own, wide, np.arange(1, n), 0, _FIRST, similarity)
             found.append((own[late], own[early], 1))
             if len(more):
-                again.append((own[more], token[lo], _pack([ids[own], keys[own], np.arange(n), number[own], group["n"], np.zeros(0), group["bits"], np.zeros(0), np.zeros(0), group["at"], wide.of(own)])))
+                again.append((own[more], token[lo], _pack([ids[own], keys[own], np.arange(n), number[own], group["n"], np.zeros(0), group["bits"], np.zeros(0), np.zeros(0), group["at"], wide.of(own), *[np.zeros(0)] * 4])))
         late = np.concatenate([*(f[0] for f in found), *(a[0] for a in again), np.zeros(0, np.int64)]).astype(np.int64)
         early = np.concatenate([*(f[1] for f in found), *(a[0] for a in again), np.zeros(0, np.int64)]).astype(np.int64)
         turn = np.concatenate([*(np.full(len(f[0]), f[2]) for f in found), *(np.full(len(a[0]), 2) for a in again), np.zeros(0)]).astype(np.int32)
@@ -337,7 +395,12 @@ def _meet(similarity: float):
             blobs += [blob, *[None] * (len(who) - 1)]
         gap = np.bitwise_count(both["l_bits"][late] ^ both["l_bits"][early]).astype(np.int32)
         groups = np.concatenate([np.zeros(sum(len(f[0]) for f in found), np.int64), *(np.full(len(a[0]), int(a[1])) for a in again)])
-        return pa.table([*_place_columns(ids[late], keys[late], number[late]), *_place_columns(ids[early], keys[early], number[early]), pa.array(turn), pa.array(gap), pa.array(groups, pa.int64()), pa.array(blobs, pa.binary())], names=[*(f"late_{c}" for c in _PLACE), *(f"early_{c}" for c in _PLACE), "turn", "gap", "token", "again"])
+        names = [*(f"late_{c}" for c in _PLACE), *(f"early_{c}" for c in _PLACE), "turn", "gap", "token", "again"]
+        found_rows = pa.table([*_place_columns(ids[late], keys[late], number[late]), *_place_columns(ids[early], keys[early], number[early]), pa.array(turn), pa.array(gap), pa.array(groups, pa.int64()), pa.array(blobs, pa.binary())], names=names)
+        f, g = (np.concatenate([p[k].astype(np.int64) + b for p, b in zip(parts, row_base)]) for k in ("r_row", "r_from_row"))
+        none = np.zeros(len(f), np.int32)
+        passed = pa.table([*_place_columns(both["ids"][f], both["keys"][f], both["r_line"]), *_place_columns(both["ids"][g], both["keys"][g], both["r_from_line"]), pa.array(none + 3), pa.array(none), pa.array(none.astype(np.int64)), pa.nulls(len(f), pa.binary())], names=names)
+        return pa.concat_tables([found_rows, passed]).combine_chunks()
 
     return run
 
@@ -431,7 +494,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     rank = spark.sparkContext.broadcast(rarity(docs).tobytes())
     total = docs.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(8, -(-int(total) // BUCKET_BYTES))
-    entries = _keyed(docs).mapInArrow(_entry_batches(rank, buckets, similarity), "bucket int, blob binary")
+    entries = _keyed(docs).mapInArrow(_entry_batches(rank, buckets, similarity, *hot_tokens(_keyed(docs), rank, similarity)), "bucket int, blob binary")
     met = store(entries.groupBy("bucket").applyInArrow(_meet(similarity), _MET))
     late, early = [f"late_{c}" for c in _PLACE], [f"early_{c}" for c in _PLACE]
 
@@ -440,6 +503,10 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         return store(rows.where("turn = 1").groupBy(*late).agg(own))
 
     gone = met.where("turn = 0").select(*late, *early)
+    # the first line in a batch of a set may repeat an earlier batch's: that line is the witness of all
+    whole = gone.groupBy(*(F.col(x).alias(y) for x, y in zip(late, early))).agg(F.min(F.struct(*early)).alias("w"))
+    repeats = met.where("turn = 3").select(*late, *early).join(whole, early, "left").select(*late, *(F.coalesce(f"w.{c}", c).alias(c) for c in early))
+    gone = gone.unionByName(repeats)
     groups = met.where("again is not null").select("token", "again")
     asking, open_, lo, hi, step = met.where("turn = 2").select(*late, "token"), candidates(met), 0, _FIRST, 1
     while True:

@@ -96,6 +96,49 @@ def test_line_dedup_asks_in_rounds(spark):
     assert got == {(i, 0) for i in range(80) if any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9 for j in range(i))}
 
 
+class _Held:
+    def __init__(self, rank):
+        self.value = rank.tobytes()
+
+
+def test_a_frequent_line_sends_one_entry_per_batch():
+    texts = ["all rights are reserved here"] * 400 + [f"w{k} x{k} y{k}" for k in range(50)]
+    batch = pa.record_batch([pa.array(range(450), pa.int64()), pa.array([7] * 450, pa.int64()), pa.array(texts)], ["doc_id", "text_key", "text"])
+    none = np.zeros(0, np.uint64)
+    (out,) = line_dedup._entry_batches(_Held(np.zeros(1 << 20, np.uint32)), 8, 0.8, none, none)([batch])
+    parts = [line_dedup._unpack(x) for x in out.column("blob").to_pylist()]
+    assert sum(len(p["e_line"]) for p in parts) == 2 + 50  # 5 and 3 words: prefixes of 2 and 1
+    late = [i for p in parts for i in p["ids"][p["r_row"]].tolist()]
+    assert sorted(late) == list(range(1, 400)) and {i for p in parts for i in p["ids"][p["r_from_row"]].tolist()} == {0}
+    assert max(len(p["r_row"]) for p in parts) < 120
+    # a bucket with such lines only
+    met = line_dedup._meet(0.8)(pa.table({"bucket": [0], "blob": [line_dedup._pack([np.array([3, 5]), np.array([7, 7]), *[np.zeros(0)] * 9, *(np.array([x]) for x in (1, 0, 0, 2))])]}))
+    assert met.select(["late_doc_id", "late_line", "early_doc_id", "early_line", "turn"]).to_pylist() == [{"late_doc_id": 5, "late_line": 0, "early_doc_id": 3, "early_line": 2, "turn": 3}]
+
+
+def test_a_frequent_token_is_dealt_to_cells(spark, docs, monkeypatch):
+    rng = np.random.default_rng(6)
+    lines = [" ".join([*"abcdefgh", *rng.choice([f"w{k}" for k in range(60)], 2, replace=False)]) for _ in range(300)]
+    lines = [x if k % 3 else " ".join(rng.permutation(x.split())) for k, x in enumerate(lines)] + lines[:40]
+    sets = [set(x.split()) for x in lines]
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(5)
+    rows = lambda t: {(r.doc_id, r.line, r.early_doc_id) for r in line_dedup.repeated_lines(t).collect()}
+    whole = [{x[:2] for x in rows(t)} for t in (table, docs)]
+    monkeypatch.setattr(line_dedup, "_PART", 20)
+    monkeypatch.setattr(line_dedup, "_SAMPLE", 1)
+    rank = line_dedup.rarity(table)
+    token, parts = line_dedup.hot_tokens(line_dedup._keyed(table), spark.sparkContext.broadcast(rank.tobytes()), 0.8)
+    assert len(token) and parts.max() > 5
+    # all entries of one token: no cell holds much more than two parts, and every two entries share one
+    n = 300
+    kinds = rng.integers(0, 2**62, n).astype(np.uint64)
+    entry, cell, _ = line_dedup._split(np.arange(n), np.full(n, token[0]), np.zeros(n, np.int64), kinds, token[:1], np.array([15]))
+    held = [set(cell[entry == k].tolist()) for k in range(n)]
+    assert np.unique(cell, return_counts=True)[1].max() < 90 and all(held[a] & held[b] for a in range(n) for b in range(a))
+    assert [{x[:2] for x in rows(t)} for t in (table, docs)] == whole
+    assert whole[0] == {(i, 0) for i in range(len(sets)) if any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9 for j in range(i))}
+
+
 def test_simhash(docs, empty):
     prints = {}
     for d, text in _rows(docs):
