@@ -172,7 +172,7 @@ class _Wide:
 
 
 #: Arrays of a packed row: a table of texts, entries (a token of a line's prefix), and lines that repeat one of their batch.
-_FIELDS = {"ids": np.int64, "keys": np.int64, "l_row": np.uint32, "l_line": np.int32, "l_n": np.int32, "l_set": np.uint32, "l_bits": np.uint64, "e_line": np.uint32, "e_token": np.uint8, "e_at": np.uint16, "l_wide": np.uint64, "r_row": np.uint32, "r_line": np.int32, "r_from_row": np.uint32, "r_from_line": np.int32}
+_FIELDS = {"ids": np.int64, "keys": np.int64, "l_row": np.uint32, "l_line": np.int32, "l_n": np.int32, "l_set": np.uint32, "l_bits": np.uint64, "e_line": np.uint32, "e_token": np.uint8, "e_at": np.uint32, "l_wide": np.uint64, "r_row": np.uint32, "r_line": np.int32, "r_from_row": np.uint32, "r_from_line": np.int32}
 
 
 def _pack(values: list[np.ndarray]) -> bytes:
@@ -210,7 +210,7 @@ def _prefixes(batch, rank: np.ndarray, similarity: float):
     head = first[group]
     head = np.where(bits == bits[head], head, np.arange(len(live)))
     own = np.flatnonzero(head == np.arange(len(live)))
-    prefix = np.minimum(n[live[own]] - _least_overlap(n[live[own]], similarity) + 1, 65535)
+    prefix = n[live[own]] - _least_overlap(n[live[own]], similarity) + 1
     entry = np.repeat(own, prefix)
     place = np.arange(len(entry)) - np.repeat(np.cumsum(prefix) - prefix, prefix)
     return ids, keys, row, number, n, live, sets, bits, wide, head, entry, key[at[live[entry]] + place], place

@@ -116,6 +116,14 @@ def test_a_frequent_line_sends_one_entry_per_batch():
     assert met.select(["late_doc_id", "late_line", "early_doc_id", "early_line", "turn"]).to_pylist() == [{"late_doc_id": 5, "late_line": 0, "early_doc_id": 3, "early_line": 2, "turn": 3}]
 
 
+def test_a_very_long_line_has_its_whole_prefix():
+    batch = pa.record_batch([pa.array([1], pa.int64()), pa.array([7], pa.int64()), pa.array([" ".join(map(str, range(400_000)))])], ["doc_id", "text_key", "text"])
+    none = np.zeros(0, np.uint64)
+    (out,) = line_dedup._entry_batches(_Held(np.zeros(1 << 20, np.uint32)), 3, 0.8, none, none)([batch])
+    at = np.concatenate([line_dedup._unpack(x)["e_at"] for x in out.column("blob").to_pylist()])
+    assert sorted(at.tolist()) == list(range(80_001))
+
+
 def test_a_frequent_token_is_dealt_to_cells(spark, docs, monkeypatch):
     rng = np.random.default_rng(6)
     lines = [" ".join([*"abcdefgh", *rng.choice([f"w{k}" for k in range(60)], 2, replace=False)]) for _ in range(300)]
