@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lumenflow.llm import decontaminate, line_dedup, packing, simhash, toxicity
-from lumenflow.llm._common import table
+from lumenflow.llm._common import store, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn; what each hands on is written once, as later stages read it several times."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs if k == 0 else store(docs), sf_dir)
     return docs

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenflow.llm import _text as tx
-from lumenflow.llm._common import materialize, session
+from lumenflow.llm._common import materialize, session, text_key
 from lumenflow.llm._components import components
 
 RADIUS = 3
@@ -176,8 +176,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Rows of the document with the least doc_id of each component; rows without doc_id stay.
 
-    Rows that repeat a doc_id are one document: one of them stays.
+    Rows that repeat a doc_id are one document: the one with the least text_key stays, then by the other columns.
     """
     kept = near_duplicates(docs, shingle, radius).where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
+    order = F.struct(text_key(F.col("text")), *(c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"))
+    one = known.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("row"))
+    return one.select("row.*").unionByName(docs.where("doc_id is null"))

@@ -9,7 +9,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lumenflow.llm import _text as tx
 from lumenflow.llm import chat, decontaminate, license_scan, line_dedup, packing, secrets, simhash, substring_dedup, topk, toxicity
 
@@ -169,6 +171,21 @@ def test_simhash(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_keep_one_takes_its_row_by_a_fixed_order(spark):
+    rows = [(1, "first text of three words"), (1, "another text under the same id"), (1, "and a third one")]
+    kept = [simhash.keep_one(spark.createDataFrame(r, "doc_id long, text string").coalesce(1)).collect() for r in (rows, rows[::-1], rows[1:] + rows[:1])]
+    least = spark.createDataFrame(rows, "doc_id long, text string").orderBy(F.xxhash64("text")).first()
+    assert kept == [[least]] * 3
+
+
+def test_pipeline_hands_on_written_tables(spark, monkeypatch):
+    seen = []
+    stage = lambda s, docs, d: (seen.append(docs.inputFiles()), docs.where("doc_id % 2 = 0"))[1]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", stage), ("b", stage), ("c", stage)])
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert [all("/table-" in f for f in x) for x in seen] == [False, True, True] and out.where("doc_id % 2 = 1").isEmpty()
+
+
 def test_covering_masks_miss_no_pair():
     rng = np.random.default_rng(2)
     masks = [m % 2**64 for m in simhash.covering_masks()]
