@@ -7,12 +7,12 @@ at least the threshold share a token of their prefixes, so lines meet in the buc
 prefix tokens, where length and position bound the possible overlap, and the parities of hash
 classes of their words (64 classes, and in step with the length more for longer lines) bound the
 difference from below. Surviving pairs read both lines again by
-coordinate and are verified; for that, a scan of the documents lets through the lines on a map of
+coordinate and are verified; for that, one scan of the documents writes the lines on a map of
 wanted coordinates, whose size is fixed and which only spares work.
 
 A line goes if any earlier line (by doc_id, then line number, on the input) is similar. One
-witness is enough, so no group emits all its pairs: equal sets reduce to their first line, those
-of an Arrow batch before the shuffle, so that a line in all documents sends one entry per batch to
+witness is enough, so no group emits all its pairs: equal sets (by 128 bits of their words' hashes;
+in an Arrow batch by all of them) reduce to their first line, those of a batch before the shuffle, so that a line in all documents sends one entry per batch to
 its tokens' buckets; a token with very many different lines is dealt to cells, one for each pair of
 its parts; a line asks its earliest few candidates first, and only lines without a witness ask further ones,
 in rounds, until none is left to ask. No candidate is dropped.
@@ -38,8 +38,10 @@ BUCKET_BYTES = 6 << 20
 _CLASS_BITS = 20
 _CLASSES = 1 << _CLASS_BITS
 _CLASS_SHIFT = np.uint64(64 - _CLASS_BITS)
-#: Groups up to this size are tested pair by pair in whole arrays; larger ones ask in rounds.
-_SMALL = 24
+#: Groups up to the first size are tested pair by pair in whole arrays; larger ones ask in rounds, those up to the second together.
+_SMALL, _MIDDLE = 24, 1024
+#: Pairs tested at once.
+_PAIRS = 1 << 19
 #: A line of more than so many words has twice, four times ... the 64 parities; up to 2 ** _DOUBLINGS times.
 _NARROW, _DOUBLINGS = 72, 5
 #: Candidates that a line gets from a large group by the end of the first round, and the growth of that number.
@@ -69,22 +71,24 @@ def _lines(column: pa.Array):
 
 
 def _count_batches(batches):
-    counts = np.zeros(_CLASSES, np.int64)
+    """Words of each class, and the bytes of all texts as class -1."""
+    counts, size = np.zeros(_CLASSES, np.int64), 0
     for batch in batches:
+        size += int(tx.column_bytes(batch.column("text"))[1][-1])
         counts += np.bincount((tx.hash_words(tx.words_of(batch.column("text"))) >> _CLASS_SHIFT).astype(np.int64), minlength=_CLASSES)
     at = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["class", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(counts[at], size))], ["class", "n"])
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
-    """For each hash class of words its rank, rarest first. 2 ** 20 numbers whatever the corpus."""
+def rarity(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """For each hash class of words its rank, rarest first (2 ** 20 numbers whatever the corpus), and the bytes of all texts."""
     session(docs)
     rows = docs.select("text").mapInArrow(_count_batches, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(_CLASSES, np.int64)
+    counts = np.zeros(_CLASSES + 1, np.int64)
     counts[np.asarray(rows.column("class"))] = np.asarray(rows.column("n"))
     rank = np.empty(_CLASSES, np.uint32)
-    rank[np.argsort(counts, kind="stable")] = np.arange(_CLASSES, dtype=np.uint32)
-    return rank
+    rank[np.argsort(counts[:-1], kind="stable")] = np.arange(_CLASSES, dtype=np.uint32)
+    return rank, int(counts[-1])
 
 
 def _order(first: np.ndarray, then: np.ndarray, bits: int) -> np.ndarray:
@@ -172,7 +176,7 @@ class _Wide:
 
 
 #: Arrays of a packed row: a table of texts, entries (a token of a line's prefix), and lines that repeat one of their batch.
-_FIELDS = {"ids": np.int64, "keys": np.int64, "l_row": np.uint32, "l_line": np.int32, "l_n": np.int32, "l_set": np.uint32, "l_bits": np.uint64, "e_line": np.uint32, "e_token": np.uint8, "e_at": np.uint32, "l_wide": np.uint64, "r_row": np.uint32, "r_line": np.int32, "r_from_row": np.uint32, "r_from_line": np.int32}
+_FIELDS = {"ids": np.int64, "keys": np.int64, "l_row": np.uint32, "l_line": np.int32, "l_n": np.int32, "l_set": np.uint64, "l_more": np.uint64, "l_bits": np.uint64, "e_line": np.uint32, "e_token": np.uint8, "e_at": np.uint32, "l_wide": np.uint64, "r_row": np.uint32, "r_line": np.int32, "r_from_row": np.uint32, "r_from_line": np.int32}
 
 
 def _pack(values: list[np.ndarray]) -> bytes:
@@ -201,19 +205,27 @@ def _prefixes(batch, rank: np.ndarray, similarity: float):
     mixed, spread = tx.mix(key), tx.mix(key ^ np.uint64(5))
     start = at[live] if len(live) else np.zeros(0, np.int64)
     sets = tx.mix(np.add.reduceat(mixed, start) ^ tx.mix(n[live].astype(np.uint64))) if len(live) else np.zeros(0, np.uint64)
+    more = tx.mix(np.add.reduceat(spread, start)) if len(live) else np.zeros(0, np.uint64)
     bits = np.bitwise_xor.reduceat(np.uint64(1) << (spread & np.uint64(63)), start) if len(live) else np.zeros(0, np.uint64)
     wide = _Wide(n)
     wide.add(line_of, spread)
     order = np.lexsort((number[live], keys[row[live]], ids[row[live]]))
-    live, sets, bits = live[order], sets[order], bits[order]
+    live, sets, more, bits = live[order], sets[order], more[order], bits[order]
     _, first, group = np.unique(sets, return_index=True, return_inverse=True)
     head = first[group]
-    head = np.where(bits == bits[head], head, np.arange(len(live)))
+    # a line with the hash of an earlier one must hold the same words
+    again = np.flatnonzero((head != np.arange(len(live))) & (n[live] == n[live[head]]))
+    size = n[live[again]]
+    step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    differ = key[np.repeat(at[live[again]], size) + step] != key[np.repeat(at[live[head[again]]], size) + step]
+    same = np.zeros(len(live), bool)
+    same[again] = ~np.logical_or.reduceat(differ, np.cumsum(size) - size) if len(again) else True
+    head = np.where(same, head, np.arange(len(live)))
     own = np.flatnonzero(head == np.arange(len(live)))
     prefix = n[live[own]] - _least_overlap(n[live[own]], similarity) + 1
     entry = np.repeat(own, prefix)
     place = np.arange(len(entry)) - np.repeat(np.cumsum(prefix) - prefix, prefix)
-    return ids, keys, row, number, n, live, sets, bits, wide, head, entry, key[at[live[entry]] + place], place
+    return ids, keys, row, number, n, live, sets, more, bits, wide, head, entry, key[at[live[entry]] + place], place
 
 
 def _token_batches(rank_of, similarity: float):
@@ -258,7 +270,7 @@ def _entry_batches(rank_of, buckets: int, similarity: float, hot: np.ndarray, pa
     def run(batches):
         rank = np.frombuffer(rank_of.value, np.uint32).astype(np.uint64)
         for batch in batches:
-            ids, keys, row, number, n, live, sets, bits, wide, head, entry, token, place = _prefixes(batch, rank, similarity)
+            ids, keys, row, number, n, live, sets, more, bits, wide, head, entry, token, place = _prefixes(batch, rank, similarity)
             if not len(live):
                 continue
             if len(hot):
@@ -282,7 +294,7 @@ def _entry_batches(rank_of, buckets: int, similarity: float, hot: np.ndarray, pa
                 used, at_row = np.unique(np.concatenate([row[lines], row[f], row[g]]), return_inverse=True)
                 at_row, f_row, g_row = np.split(at_row, [len(lines), len(lines) + len(f)])
                 out_b.append(b)
-                out.append(_pack([ids[used], keys[used], at_row, number[lines], n[lines], sets[own] & np.uint64(0xFFFFFFFF), bits[own], at_line, tx.mix(token[e]).view(np.uint8).reshape(-1, 8)[:, 3:].ravel(), place[e], wide.of(lines), f_row, number[f], g_row, number[g]]))
+                out.append(_pack([ids[used], keys[used], at_row, number[lines], n[lines], sets[own], more[own], bits[own], at_line, tx.mix(token[e]).view(np.uint8).reshape(-1, 8)[:, 3:].ravel(), place[e], wide.of(lines), f_row, number[f], g_row, number[g]]))
             yield pa.RecordBatch.from_arrays([pa.array(out_b, pa.int32()), pa.array(out, pa.binary())], ["bucket", "blob"])
 
     return run
@@ -292,15 +304,38 @@ def _places(prefix: str) -> str:
     return f"{prefix}_doc_id long, {prefix}_text_key long, {prefix}_line int"
 
 
-def _possible(late: dict, early: dict, similarity: float):
-    """Whether two lines that share the tokens at these places of their prefixes may be similar."""
-    a, b = late["n"].astype(np.int64), early["n"].astype(np.int64)
-    i, j = late["at"].astype(np.int64), early["at"].astype(np.int64)
-    slack = _slack(a, b, similarity)
-    need = (a + b - slack) / 2
-    near = np.bitwise_count(late["bits"] ^ early["bits"]) <= slack
+def _possible(n: np.ndarray, at: np.ndarray, bits: np.ndarray, late: np.ndarray, early: np.ndarray, similarity: float) -> np.ndarray:
+    """Which of the pairs of entries (arrays of places in the others) may be of similar lines: each pair shares the
+    tokens at its places of their prefixes. The parities decide most pairs, so they come first."""
+    sums = n[late] + n[early]
+    slack = _slack(sums, 0, similarity)
+    left = np.flatnonzero(np.bitwise_count(bits[late] ^ bits[early]) <= slack)
+    late, early, sums, slack = late[left], early[left], sums[left], slack[left]
+    a, b, i, j = n[late], n[early], at[late], at[early]
+    need = (sums - slack) / 2
     first = (i + need <= a) & (j + need <= b)  # holds for the first token that a similar pair shares
-    return near & first & (np.minimum(i, j) + np.minimum(a - i, b - j) >= need) & (np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9)
+    return left[first & (np.minimum(i, j) + np.minimum(a - i, b - j) >= need) & (np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9)]
+
+
+def _ask_together(n, at, bits, own: np.ndarray, wide: _Wide, who: np.ndarray, base: np.ndarray, hi: int, similarity: float):
+    """The first ``hi`` candidates of each asking entry among those from ``base`` up to it, and who has more.
+    Groups are in order of place; entries of many groups ask at once."""
+    late, early, more = [], [], []
+    count = who - base
+    cuts = np.searchsorted(np.cumsum(count), np.arange(_PAIRS, int(count.sum()) + _PAIRS, _PAIRS))
+    for lo, end in zip(np.append(0, cuts + 1), cuts + 1):
+        part, m = who[lo:end], count[lo:end]
+        asker = np.repeat(np.arange(len(part)), m)
+        b = np.arange(len(asker)) - np.repeat(np.cumsum(m) - m - base[lo:end], m)
+        ok = _possible(n, at, bits, part[asker], b, similarity)
+        ok = ok[wide.near(own[part[asker[ok]]], own[b[ok]], similarity)]
+        asker, b = asker[ok], b[ok]
+        order = np.arange(len(asker)) - np.searchsorted(asker, asker)
+        late.append(part[asker[order < hi]])
+        early.append(b[order < hi])
+        more.append(part[asker[order == hi]])
+    join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
+    return join(late), join(early), join(more)
 
 
 def _ask(members: dict[str, np.ndarray], own: np.ndarray, wide: _Wide, who: np.ndarray, lo: int, hi: int, similarity: float):
@@ -312,9 +347,12 @@ def _ask(members: dict[str, np.ndarray], own: np.ndarray, wide: _Wide, who: np.n
         seen = np.zeros(len(part), np.int64)
         for j in range(0, int(part.max()) + 1, 4096):
             others = np.arange(j, min(j + 4096, int(part.max()) + 1))
-            ok = _possible({k: v[part][:, None] for k, v in members.items()}, {k: v[others][None, :] for k, v in members.items()}, similarity) & (others[None, :] < part[:, None])
-            a, b = np.nonzero(ok)
-            ok[a, b] = wide.near(own[part[a]], own[others[b]], similarity)
+            a, b = np.nonzero(others[None, :] < part[:, None])
+            hit = _possible(members["n"], members["at"], members["bits"], part[a], others[b], similarity)
+            a, b = a[hit], b[hit]
+            hit = wide.near(own[part[a]], own[others[b]], similarity)
+            ok = np.zeros((len(part), len(others)), bool)
+            ok[a[hit], b[hit]] = True
             order = np.cumsum(ok, axis=1) + seen[:, None]
             a, b = np.nonzero(ok & (order > lo) & (order <= hi))
             late.append(part[a])
@@ -353,14 +391,14 @@ def _meet(similarity: float):
         moved[1:] = (np.diff(ids[order]) != 0) | (np.diff(keys[order]) != 0) | (np.diff(number[order]) != 0)
         in_place[order] = np.cumsum(moved)
         # one member for each set in a token's group, its first line; the others repeat it
-        kind = tx.mix(both["l_bits"] ^ tx.mix(both["l_set"].astype(np.uint64) | (both["l_n"].astype(np.uint64) << np.uint64(32))))
+        kind, more_of = both["l_set"], both["l_more"]
         top = np.uint64(63 - len(kind).bit_length())
         by_kind = np.empty(len(kind), np.uint64)
-        by_kind[np.lexsort((in_place, kind))] = np.arange(len(kind), dtype=np.uint64)
+        by_kind[np.lexsort((in_place, more_of, kind))] = np.arange(len(kind), dtype=np.uint64)
         order = _order(both["e_token"], by_kind[line] << top, 40)
         line, token, at = line[order], both["e_token"][order], both["e_at"][order]
         same = np.zeros(len(line), bool)
-        same[1:] = (token[1:] == token[:-1]) & (kind[line[1:]] == kind[line[:-1]])
+        same[1:] = (token[1:] == token[:-1]) & (kind[line[1:]] == kind[line[:-1]]) & (more_of[line[1:]] == more_of[line[:-1]])
         head = np.flatnonzero(~same)[np.cumsum(~same) - 1]
         repeat = same & (in_place[line] != in_place[line[head]]) & (at == 0)
         found: list[tuple] = [(line[repeat], line[head[repeat]], 0)]
@@ -371,22 +409,27 @@ def _meet(similarity: float):
         cut = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
         size = np.diff(cut)
         wide = _Wide(both["l_n"], both["l_wide"])
-        members = {"n": both["l_n"][line], "at": at, "bits": both["l_bits"][line]}
+        members = {"n": both["l_n"][line].astype(np.int64), "at": at.astype(np.int64), "bits": both["l_bits"][line]}
         room = np.repeat(np.where(size <= _SMALL, cut[1:], 0), size) - np.arange(len(line))
         for step in range(1, _SMALL):
             early = np.flatnonzero(room > step)
-            late = early + step
-            ok = _possible({k: v[late] for k, v in members.items()}, {k: v[early] for k, v in members.items()}, similarity)
-            ok &= in_place[line[late]] != in_place[line[early]]
-            late, early = late[ok], early[ok]
-            ok = wide.near(line[late], line[early], similarity)
-            found.append((line[late[ok]], line[early[ok]], 1))
+            ok = early[_possible(**members, late=early + step, early=early, similarity=similarity)]
+            ok = ok[in_place[line[ok + step]] != in_place[line[ok]]]
+            ok = ok[wide.near(line[ok + step], line[ok], similarity)]
+            found.append((line[ok + step], line[ok], 1))
+        middle = (size > _SMALL) & (size <= _MIDDLE)
+        who = np.flatnonzero(np.repeat(middle, size))
+        late, early, m_more = _ask_together(**members, own=line, wide=wide, who=who, base=np.repeat(cut[:-1], size)[who], hi=_FIRST, similarity=similarity)
+        found.append((line[late], line[early], 1))
         for lo, n in zip(cut[:-1][size > _SMALL], size[size > _SMALL]):
             own, group = line[lo : lo + n], {k: v[lo : lo + n] for k, v in members.items()}
-            late, early, more = _ask(group, own, wide, np.arange(1, n), 0, _FIRST, similarity)
-            found.append((own[late], own[early], 1))
+            if n > _MIDDLE:
+                late, early, more = _ask(group, own, wide, np.arange(1, n), 0, _FIRST, similarity)
+                found.append((own[late], own[early], 1))
+            else:
+                more = m_more[np.searchsorted(m_more, lo) : np.searchsorted(m_more, lo + n)] - lo
             if len(more):
-                again.append((own[more], token[lo], _pack([ids[own], keys[own], np.arange(n), number[own], group["n"], np.zeros(0), group["bits"], np.zeros(0), np.zeros(0), group["at"], wide.of(own), *[np.zeros(0)] * 4])))
+                again.append((own[more], token[lo], _pack([ids[own], keys[own], np.arange(n), number[own], group["n"], np.zeros(0), np.zeros(0), group["bits"], np.zeros(0), np.zeros(0), group["at"], wide.of(own), *[np.zeros(0)] * 4])))
         late = np.concatenate([*(f[0] for f in found), *(a[0] for a in again), np.zeros(0, np.int64)]).astype(np.int64)
         early = np.concatenate([*(f[1] for f in found), *(a[0] for a in again), np.zeros(0, np.int64)]).astype(np.int64)
         turn = np.concatenate([*(np.full(len(f[0]), f[2]) for f in found), *(np.full(len(a[0]), 2) for a in again), np.zeros(0)]).astype(np.int32)
@@ -417,7 +460,7 @@ def _further(lo: int, hi: int, similarity: float):
                 g = _unpack(blob)
                 index = {p: k for k, p in enumerate(zip(g["ids"].tolist(), g["keys"].tolist(), g["l_line"].tolist()))}
                 who = np.array(sorted(index[a["doc_id"], a["text_key"], a["line"]] for a in asking), np.int64)
-                late, early, more = _ask({"n": g["l_n"], "at": g["e_at"], "bits": g["l_bits"]}, np.arange(len(g["l_n"])), _Wide(g["l_n"], g["l_wide"]), who, lo, hi, similarity)
+                late, early, more = _ask({"n": g["l_n"].astype(np.int64), "at": g["e_at"].astype(np.int64), "bits": g["l_bits"]}, np.arange(len(g["l_n"])), _Wide(g["l_n"], g["l_wide"]), who, lo, hi, similarity)
                 late, early, turn = np.concatenate([late, more]), np.concatenate([early, more]), np.repeat([1, 2], [len(late), len(more)])
                 place = lambda x: _place_columns(g["ids"][x], g["keys"][x], g["l_line"][x])
                 yield pa.RecordBatch.from_arrays([*place(late), *place(early), pa.array(turn.astype(np.int32)), pa.array(np.bitwise_count(g["l_bits"][late] ^ g["l_bits"][early]).astype(np.int32)), pa.array(np.full(len(late), token), pa.int64()), pa.array([None] * len(late), pa.binary())], [*(f"late_{c}" for c in _PLACE), *(f"early_{c}" for c in _PLACE), "turn", "gap", "token", "again"])
@@ -473,15 +516,23 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc_id"), text_key(F.col("text")).alias("text_key"), "text")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose lines have the similarity."""
-    spark = docs.sparkSession
-    sides = {s: [f"{s}_{c}" for c in _PLACE] for s in ("late", "early")}
-    places = [pairs.select(*(F.col(c).alias(p) for c, p in zip(columns, _PLACE))) for columns in sides.values()]
-    wanted = places[0].unionAll(places[1]).mapInArrow(_map_words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most _MAP_BITS / 64 rows
+def _sides() -> dict[str, list[str]]:
+    return {s: [f"{s}_{c}" for c in _PLACE] for s in ("late", "early")}
+
+
+def _words_of_pairs(docs: DataFrame, met: DataFrame) -> DataFrame:
+    """The words of the lines of all pairs to verify, from one scan of the documents."""
+    sides = [met.where("turn = 1").select(*(F.col(c).alias(p) for c, p in zip(columns, _PLACE))) for columns in _sides().values()]
+    wanted = sides[0].unionAll(sides[1]).mapInArrow(_map_words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most _MAP_BITS / 64 rows
     table = np.zeros(_MAP_BITS // 64, np.int64)
     table[np.asarray(wanted.column("word"))] = np.asarray(wanted.column("bits"))
-    words = _keyed(docs).mapInArrow(_wanted_words(spark.sparkContext.broadcast(table.tobytes())), "doc_id long, text_key long, line int, words binary")
+    words = _keyed(docs).mapInArrow(_wanted_words(docs.sparkSession.sparkContext.broadcast(table.tobytes())), "doc_id long, text_key long, line int, words binary")
+    return store(words.dropDuplicates(list(_PLACE)))
+
+
+def _verified(words: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose lines have the similarity."""
+    sides = _sides()
     for side, columns in sides.items():
         own = words.select(*(F.col(p).alias(c) for c, p in zip(columns, _PLACE)), F.col("words").alias(f"{side}_words"))
         pairs = pairs.join(own, columns)
@@ -491,9 +542,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, text_key, line (from 0) of every line to remove, and a witness: early_doc_id, early_line."""
     spark = session(docs)
-    rank = spark.sparkContext.broadcast(rarity(docs).tobytes())
-    total = docs.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = max(8, -(-int(total) // BUCKET_BYTES))
+    ranks, total = rarity(docs)
+    rank = spark.sparkContext.broadcast(ranks.tobytes())
+    buckets = max(8, -(-total // BUCKET_BYTES))
     entries = _keyed(docs).mapInArrow(_entry_batches(rank, buckets, similarity, *hot_tokens(_keyed(docs), rank, similarity)), "bucket int, blob binary")
     met = store(entries.groupBy("bucket").applyInArrow(_meet(similarity), _MET))
     late, early = [f"late_{c}" for c in _PLACE], [f"early_{c}" for c in _PLACE]
@@ -509,10 +560,11 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     gone = gone.unionByName(repeats)
     groups = met.where("again is not null").select("token", "again")
     asking, open_, lo, hi, step = met.where("turn = 2").select(*late, "token"), candidates(met), 0, _FIRST, 1
+    words = _words_of_pairs(docs, met)
     while True:
         while not open_.isEmpty():
             now = open_.select(*late, F.explode(F.slice("asked", 1, step)).alias("e")).select(*late, *(F.col(f"e.{c}").alias(c) for c in early))
-            hit = store(_verified(docs, now, similarity))
+            hit = store(_verified(words, now, similarity))
             gone = gone.unionByName(hit)
             seen = hit.select(*late).distinct()
             open_ = store(open_.withColumn("asked", F.slice("asked", F.lit(step + 1), F.size("asked"))).where(F.size("asked") > 0).join(seen, late, "left_anti"))
@@ -523,6 +575,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         lo, hi = hi, hi * _GROWTH
         who = asking.groupBy("token").agg(F.collect_list(F.struct(*(F.col(f"late_{c}").alias(c) for c in _PLACE))).alias("asking"))
         more = store(who.join(groups, "token").select("token", "again", "asking").mapInArrow(_further(lo, hi, similarity), _MET))
+        words = _words_of_pairs(docs, more)
         open_, asking = candidates(more), more.where("turn = 2").select(*late, "token")
     out = gone.groupBy(*late).agg(F.min(F.struct(*early)).alias("w"))
     number = lambda c: F.nullif(F.col(c), F.lit(_NULL_ID))

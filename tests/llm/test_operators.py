@@ -114,7 +114,7 @@ def test_a_frequent_line_sends_one_entry_per_batch():
     assert sorted(late) == list(range(1, 400)) and {i for p in parts for i in p["ids"][p["r_from_row"]].tolist()} == {0}
     assert max(len(p["r_row"]) for p in parts) < 120
     # a bucket with such lines only
-    met = line_dedup._meet(0.8)(pa.table({"bucket": [0], "blob": [line_dedup._pack([np.array([3, 5]), np.array([7, 7]), *[np.zeros(0)] * 9, *(np.array([x]) for x in (1, 0, 0, 2))])]}))
+    met = line_dedup._meet(0.8)(pa.table({"bucket": [0], "blob": [line_dedup._pack([np.array([3, 5]), np.array([7, 7]), *[np.zeros(0)] * 10, *(np.array([x]) for x in (1, 0, 0, 2))])]}))
     assert met.select(["late_doc_id", "late_line", "early_doc_id", "early_line", "turn"]).to_pylist() == [{"late_doc_id": 5, "late_line": 0, "early_doc_id": 3, "early_line": 2, "turn": 3}]
 
 
@@ -136,7 +136,7 @@ def test_a_frequent_token_is_dealt_to_cells(spark, docs, monkeypatch):
     whole = [{x[:2] for x in rows(t)} for t in (table, docs)]
     monkeypatch.setattr(line_dedup, "_PART", 20)
     monkeypatch.setattr(line_dedup, "_SAMPLE", 1)
-    rank = line_dedup.rarity(table)
+    rank, _ = line_dedup.rarity(table)
     token, parts = line_dedup.hot_tokens(line_dedup._keyed(table), spark.sparkContext.broadcast(rank.tobytes()), 0.8)
     assert len(token) and parts.max() > 5
     # all entries of one token: no cell holds much more than two parts, and every two entries share one
