@@ -89,10 +89,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
-def hash_prefixes(words: Words, size: int) -> np.ndarray:
-    """A hash of each word's first ``size`` bytes (8 at most), 0 for shorter words."""
-    part = _load8(words.buf, words.starts) & _KEEP[size]
-    return np.where(words.ends - words.starts >= size, mix(part ^ U64(size << 56)), U64(0))
+def bytes_at(buf: np.ndarray, at: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+    """The ``size`` bytes (8 at most) from each place of a padded buffer, as a number."""
+    return _load8(buf, at) & _KEEP[size]
 
 
 def _load8(buf: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -1,19 +1,19 @@
 """Toxicity scores from a bidirectional gated recurrent network with attention pooling, in numpy.
 
-Inputs of a word are evidence weights of the word itself and of its leading characters (3 to 6 of
-them), each the smoothed log-odds of toxic against clean labelled documents that hold it, or zero if
-it isn't far above chance. A two-way GRU reads windows of 32 words that overlap by 8; attention pools its states to a
-probability, and a document's score is that of its highest window. All windows of the whole text
-count: those without any evidence word differ only in length, so their score is computed once for
-each length and not once for each window.
+A word enters as two learnt vectors: its own, from a bounded vocabulary (words outside share one), and the
+sum of those of its character runs (four bytes in a row, the first three to eight and the last three) over
+the root of their number. All vectors begin with the word's log-odds of toxic against clean labelled documents, drawn to zero where few
+documents back them; vectors and network are then trained together. A two-way GRU reads windows of
+32 words that overlap by 8; attention pools its states to a probability, and a document's score is that of
+its highest window. Every word of every window of the whole text is read by the network.
 
 The network is trained in one task from a bounded sample of labelled rows (``SAMPLE``, taken by a
 hash of doc_id); a toxic document teaches through its currently highest window. Everything else runs
 over all documents in tasks, with the model as a broadcast of bounded size. The driver sees only the model.
 
 Defined cases: null and empty texts get the score of an empty window; without any usable label, or
-with one class only, all evidence is zero; null labels don't teach; a null doc_id isn't held out;
-repeated rows get the same score; extra columns are ignored.
+with one class only, the network stays as it began; null labels don't teach; a null doc_id isn't held out;
+repeated rows get the same score; extra columns are ignored, and kept by ``drop_toxic``.
 """
 
 from __future__ import annotations
@@ -31,15 +31,23 @@ from lumenflow.llm._common import session, text_key
 #: Bound of the labelled sample, and the probability from which a document counts as toxic.
 SAMPLE, THRESHOLD = 4000, 0.7
 WINDOW, STRIDE = 32, 24
-#: Evidence of lower log-odds, or less far above chance (in standard deviations), is left out.
-LEAST_LOG_ODDS, LEAST_SIGMAS = 1.5, 6.5
-_PREFIXES = (3, 4, 5, 6)
-_INPUTS = 1 + len(_PREFIXES)
-_HIDDEN = 6
-_SLOT_BITS = 18
-
-#: Windows scored at once.
-_BLOCK = 4096
+#: Words and character runs with a vector of their own: those in the most labelled documents, in so many at least.
+VOCABULARY, LEAST_DOCUMENTS = 1 << 15, 5
+#: Deviations (squared) from chance at which a key's log-odds count half.
+BACKING = 12
+#: The score below which a toxic row may be left out of a round, and the share of them that may.
+DOUBT, DOUBTED = 0.2, 0.1
+#: Spread of the vectors' first values.
+NOISE = 0.03
+#: Pull of the vectors back to where they began, and their rate of learning as a share of the network's.
+DECAY, VECTOR_RATE = 1e-2, 0.05
+#: Bytes at the start of a word that are runs too, and at its end (negative).
+_ENDS = (3, 4, 5, 6, 7, 8, -3)
+#: Sizes of a word's vector, of its characters' and of the state of each direction.
+_WORD, _CHARS, _HIDDEN = 8, 8, 6
+_INPUTS = _WORD + _CHARS
+#: Windows whose words are looked up at once, and windows that the network reads at once.
+_SPAN, _BLOCK = 8192, 2048
 
 #: Separators: all ASCII but letters and digits.
 _BREAKS = np.ones(256, bool)
@@ -47,78 +55,59 @@ _BREAKS[128:] = False
 _BREAKS[[c for c in range(128) if chr(c).isalnum()]] = False
 
 
-def _keys(column: pa.Array):
-    """Range of each row's words, and the hashes that evidence is kept under: (words, inputs)."""
-    words = tx.words_of(column, _BREAKS, lower=True)
-    return words.first, np.stack([tx.hash_words(words, 3), *(tx.hash_prefixes(words, k) for k in _PREFIXES)], axis=1)
-
-
-class Evidence:
-    """Log-odds by hash, in slots that also hold the hash: unknown words never borrow a weight."""
-
-    def __init__(self, first: np.ndarray, keys: np.ndarray, toxic: np.ndarray):
-        row = np.repeat(np.arange(len(toxic)), np.diff(first))
-        self.slots = np.zeros(1 << _SLOT_BITS, np.uint64)
-        self.weights = np.zeros(1 << _SLOT_BITS, np.float32)
-        n = np.array([(~toxic).sum(), toxic.sum()]) + 1.0
-        if not 0 < toxic.sum() < len(toxic):
-            return
-        for k in range(_INPUTS):
-            key = keys[:, k]
-            order = np.lexsort((row, key))
-            a, r = key[order], row[order]
-            once = np.ones(len(a), bool)
-            once[1:] = (a[1:] != a[:-1]) | (r[1:] != r[:-1])
-            a, r = a[once], r[once]
-            cut = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
-            bad = np.add.reduceat(toxic[r].astype(int), cut)
-            good = np.diff(np.append(cut, len(a))) - bad
-            odds = np.log((bad + 0.3) / n[1]) - np.log((good + 0.3) / n[0])
-            share = toxic.mean()
-            sigmas = (bad - (bad + good) * share) / np.sqrt((bad + good) * share * (1 - share))
-            keep = (odds >= LEAST_LOG_ODDS) & (sigmas >= LEAST_SIGMAS) & (a[cut] != 0)
-            strongest = np.argsort(np.abs(odds[keep]), kind="stable")
-            self._put(a[cut][keep][strongest], odds[keep][strongest])
-
-    def _put(self, key, weight):
-        slot = (key & np.uint64((1 << _SLOT_BITS) - 1)).astype(np.int64)
-        wins = np.abs(weight) >= np.abs(self.weights[slot])
-        self.slots[slot[wins]], self.weights[slot[wins]] = key[wins], weight[wins]
-
-    def of(self, keys: np.ndarray) -> np.ndarray:
-        slot = (keys & np.uint64((1 << _SLOT_BITS) - 1)).astype(np.int64)
-        return np.where(self.slots[slot] == keys, self.weights[slot], np.float32(0)) / np.float32(4)
-
-
 def window_counts(n: np.ndarray) -> np.ndarray:
     return np.where(n <= WINDOW, 1, -(-(n - WINDOW) // STRIDE) + 1)
 
 
-def windows(first: np.ndarray, x: np.ndarray):
-    """Of windows with any evidence: inputs, lengths, rows. And for each row the lengths of those without, as flags."""
+def windows(first: np.ndarray):
+    """Row, first word and length of each window; a row without words has one of length zero."""
     n = np.diff(first)
     count = window_counts(n)
-    base = np.cumsum(count) - count
-    hit = np.flatnonzero((x != 0).any(1))
-    row = np.searchsorted(first, hit, "right") - 1
-    at = hit - first[row]
-    last = np.minimum(at // STRIDE, count[row] - 1)
-    before = (last > 0) & (at < (last - 1) * STRIDE + WINDOW)
-    chosen, where = np.unique(np.concatenate([base[row] + last, (base[row] + last - 1)[before]]), return_index=True)
-    rows = np.concatenate([row, row[before]])[where]
-    start = (chosen - base[rows]) * STRIDE
-    length = np.minimum(n[rows] - start, WINDOW)
-    grid = first[rows][:, None] + start[:, None] + np.arange(WINDOW)[None, :]
-    inputs = np.where((np.arange(WINDOW)[None, :] < length[:, None])[:, :, None], np.concatenate([x, np.zeros((1, _INPUTS), x.dtype)])[np.minimum(grid, len(x))], 0).astype(np.float32)
-    end = n - (count - 1) * STRIDE  # length of each row's last window
-    plain = np.zeros((len(n), WINDOW + 1), bool)
-    used = np.bincount(rows, minlength=len(n))
-    last_used = np.zeros(len(n), bool)
-    last_used[rows[chosen - base[rows] == count[rows] - 1]] = True
-    free = np.flatnonzero(~last_used)
-    plain[free, np.minimum(end[free], WINDOW)] = True
-    plain[(count - 1) - (used - last_used) > 0, WINDOW] = True
-    return inputs, length, rows, plain
+    row = np.repeat(np.arange(len(n)), count)
+    start = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) * STRIDE
+    return row, first[row] + start, np.minimum(n[row] - start, WINDOW)
+
+
+def _runs(words: tx.Words):
+    """Keys of the character runs of each word, and how many it has."""
+    size = words.ends - words.starts
+    fours = np.maximum(size - 3, 0)
+    count = fours + len(_ENDS)
+    cut = np.cumsum(count) - count
+    at = np.repeat(words.starts - cut, count) + np.arange(int(count.sum()))
+    key = tx.bytes_at(words.buf, at, 4)
+    for k, length in enumerate(_ENDS):
+        part = np.minimum(size, abs(length))
+        start = words.starts if length > 0 else words.ends - part
+        key[cut + fours + k] = tx.mix(tx.bytes_at(words.buf, start, part) ^ tx.mix(np.array([64 + length], np.uint64)))
+    return key, count
+
+
+class Vocabulary:
+    """Known keys, sorted, and for each its share of toxic documents as log-odds; index 0 is any other key."""
+
+    def __init__(self, keys: np.ndarray, row: np.ndarray, toxic: np.ndarray):
+        order = np.lexsort((row, keys))
+        k, r = keys[order], row[order]
+        once = np.ones(len(k), bool)
+        once[1:] = (k[1:] != k[:-1]) | (r[1:] != r[:-1])
+        k, r = k[once], r[once]
+        cut = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
+        n = np.diff(np.append(cut, len(k)))
+        bad = np.add.reduceat(toxic[r].astype(int), cut) if len(k) else n
+        often = np.flatnonzero(n >= LEAST_DOCUMENTS)
+        often = np.sort(often[np.argsort(-n[often], kind="stable")[:VOCABULARY]])
+        self.keys, n, bad = k[cut[often]], n[often], bad[often]
+        share = np.clip(toxic.mean() if len(toxic) else 0.5, 1e-3, 1 - 1e-3)
+        odds = np.log((bad + share) / (n - bad + 1 - share) * (1 - share) / share)
+        backing = (bad - n * share) ** 2 / (n * share * (1 - share))
+        self.odds = np.append(0.0, odds * backing / (backing + BACKING))
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at + 1, 0)
 
 
 def _sigmoid(a):
@@ -133,115 +122,190 @@ class Network:
         d, h = _INPUTS, _HIDDEN
         self.p = {}
         for way in "fb":
-            self.p[f"W{way}"], self.p[f"U{way}"], self.p[f"b{way}"] = rng.normal(0, 0.4, (d, 3 * h)), rng.normal(0, 0.3, (h, 3 * h)), np.zeros(3 * h)
+            self.p[f"W{way}"], self.p[f"U{way}"], self.p[f"b{way}"] = rng.normal(0, 0.3, (d, 3 * h)), rng.normal(0, 0.3, (h, 3 * h)), np.zeros(3 * h)
         self.p |= {"A": rng.normal(0, 0.4, (2 * h, h)), "a": np.zeros(h), "v": rng.normal(0, 0.4, h), "w": rng.normal(0, 0.4, 2 * h), "c": np.zeros(1)}
 
-    def _gru(self, x, live, way, keep):
+    def gates(self, x: np.ndarray, way: str) -> np.ndarray:
+        """What inputs give the gates of a direction."""
+        return x @ self.p[f"W{way}"].astype(x.dtype) + self.p[f"b{way}"].astype(x.dtype)
+
+    def _gru(self, gates, live, way, keep):
+        """States of all steps; ``gates`` gives those of the windows at a step."""
         h, steps = _HIDDEN, []
-        W, U, b = (self.p[k + way] for k in "WUb")
-        state = np.zeros((len(x), h), x.dtype)
-        out = np.zeros((*x.shape[:2], h), x.dtype)
-        gates = x @ W.astype(x.dtype) + b.astype(x.dtype)
-        U = U.astype(x.dtype)
-        for t in range(x.shape[1]) if way == "f" else range(x.shape[1] - 1, -1, -1):
-            s = state @ U
-            z, r = _sigmoid(gates[:, t, :h] + s[:, :h]), _sigmoid(gates[:, t, h : 2 * h] + s[:, h : 2 * h])
-            n = np.tanh(gates[:, t, 2 * h :] + r * s[:, 2 * h :])
-            new = np.where(live[:, t, None], (1 - z) * n + z * state, state)
+        U = self.p["U" + way]
+        n, size = live.shape
+        U = U.astype(gates(0).dtype)
+        state = np.zeros((n, h), U.dtype)
+        out = np.zeros((size, n, h), U.dtype)
+        for t in range(size) if way == "f" else range(size - 1, -1, -1):
+            g, s = gates(t), state @ U
+            zr = _sigmoid(g[:, : 2 * h] + s[:, : 2 * h])
+            z, r = zr[:, :h], zr[:, h:]
+            new = np.tanh(g[:, 2 * h :] + r * s[:, 2 * h :])
             if keep:
-                steps.append((t, state, s, z, r, n))
-            state = new
-            out[:, t] = state
+                steps.append((t, state, s, z, r, new))
+            state = np.where(live[:, t, None], new + z * (state - new), state)
+            out[t] = state
         return out, steps
 
-    def forward(self, x, length, keep=False):
-        """Probability of each window; with keep also what the gradient needs."""
-        live = np.arange(x.shape[1])[None, :] < length[:, None]
-        f, fs = self._gru(x, live, "f", keep)
-        b, bs = self._gru(x, live, "b", keep)
-        states = np.concatenate([f, b], axis=2)
-        u = np.tanh(states @ self.p["A"].astype(x.dtype) + self.p["a"].astype(x.dtype))
-        e = np.where(live, u @ self.p["v"].astype(x.dtype), -1e9)
-        e = np.exp(e - e.max(1, keepdims=True)) * live
-        alpha = e / np.maximum(e.sum(1, keepdims=True), 1e-9)
-        pooled = (alpha[:, :, None] * states).sum(1)
-        prob = _sigmoid(pooled @ self.p["w"].astype(x.dtype) + self.p["c"].astype(x.dtype))
-        return (prob, (x, live, fs, bs, states, u, alpha, pooled)) if keep else prob
-
-    def probabilities(self, x, length):
-        """Of any number of windows, in blocks."""
-        return np.concatenate([self.forward(x[lo : lo + _BLOCK], length[lo : lo + _BLOCK]) for lo in range(0, max(1, len(x)), _BLOCK)])
-
-    def gradient(self, prob, target, weight, saved):
-        """Of the weighted mean log loss."""
-        x, live, fs, bs, states, u, alpha, pooled = saved
+    def forward(self, gates, length, size: int, keep: bool = False):
+        """Probability of each window; with keep also what the gradient needs. ``gates``: step and direction to gates."""
+        live = np.arange(size)[None, :] < length[:, None]
+        f, fs = self._gru(lambda t: gates(t, "f"), live, "f", keep)
+        b, bs = self._gru(lambda t: gates(t, "b"), live, "b", keep)
+        states = np.concatenate([f, b], axis=2)  # step, window, state
+        kind = states.dtype
+        u = np.tanh(states @ self.p["A"].astype(kind) + self.p["a"].astype(kind))
+        e = np.where(live.T, u @ self.p["v"].astype(kind), -1e9)
+        e = np.exp(e - e.max(0)) * live.T
+        alpha = e / np.maximum(e.sum(0), 1e-9)
+        pooled = (alpha[:, :, None] * states).sum(0)
+        prob = _sigmoid(pooled @ self.p["w"].astype(kind) + self.p["c"].astype(kind))
+        return (prob, (live, fs, bs, states, u, alpha, pooled)) if keep else prob
+
+    def gradient(self, prob, target, x, saved):
+        """Of the mean log loss: of the parameters, and of the inputs ``x`` (step, window, input)."""
+        live, fs, bs, states, u, alpha, pooled = saved
         p, h = self.p, _HIDDEN
-        d = (prob - target) * weight / weight.sum()
+        d = (prob - target) / len(prob)
         g = {"w": pooled.T @ d, "c": np.array([d.sum()])}
         d_pooled = d[:, None] * p["w"]
-        d_states = alpha[:, :, None] * d_pooled[:, None, :]
-        d_alpha = (states * d_pooled[:, None, :]).sum(2)
-        d_e = alpha * (d_alpha - (alpha * d_alpha).sum(1, keepdims=True))
+        d_alpha = (states * d_pooled).sum(2)
+        d_e = alpha * (d_alpha - (alpha * d_alpha).sum(0))
         g["v"] = (u * d_e[:, :, None]).sum((0, 1))
         d_u = d_e[:, :, None] * p["v"] * (1 - u**2)
-        g["A"], g["a"] = np.einsum("btk,btj->kj", states, d_u), d_u.sum((0, 1))
-        d_states = d_states + d_u @ p["A"].T
+        g["A"], g["a"] = np.einsum("tbk,tbj->kj", states, d_u), d_u.sum((0, 1))
+        d_states = alpha[:, :, None] * d_pooled + d_u @ p["A"].T
+        d_x = np.zeros_like(x)
         for way, steps, part in (("f", fs, slice(0, h)), ("b", bs, slice(h, 2 * h))):
             W, U = p[f"W{way}"], p[f"U{way}"]
-            gW, gU, gb, carry = np.zeros_like(W), np.zeros_like(U), np.zeros(3 * h), np.zeros((len(x), h))
-            for t, state, s, z, r, n in reversed(steps):
-                total = carry + d_states[:, t, part]
+            gW, gU, gb, carry = np.zeros_like(W), np.zeros_like(U), np.zeros(3 * h), np.zeros((x.shape[1], h))
+            for t, state, s, z, r, new in reversed(steps):
+                total = carry + d_states[t, :, part]
                 on = live[:, t, None]
                 d_new = np.where(on, total, 0)
-                d_n = d_new * (1 - z) * (1 - n**2)
-                d_z = d_new * (state - n) * z * (1 - z)
+                d_n = d_new * (1 - z) * (1 - new**2)
+                d_z = d_new * (state - new) * z * (1 - z)
                 d_r = d_n * s[:, 2 * h :] * r * (1 - r)
                 d_gates = np.concatenate([d_z, d_r, d_n], axis=1)
                 d_s = np.concatenate([d_z, d_r, d_n * r], axis=1)
-                gW += x[:, t].T @ d_gates
+                gW += x[t].T @ d_gates
                 gb += d_gates.sum(0)
                 gU += state.T @ d_s
+                d_x[t] += d_gates @ W.T
                 carry = np.where(on, d_new * z, total) + d_s @ U.T
             g |= {f"W{way}": gW, f"U{way}": gU, f"b{way}": gb}
-        return g
-
-    def fit(self, x, length, doc, toxic, rounds=12, steps=25, batch=384, rate=0.02, seed=9):
-        """``doc`` is the row of each window. A toxic row's highest window is its example; all of a clean row's are."""
-        rng, m, v, k = np.random.default_rng(seed), {}, {}, 0
-        clean = np.flatnonzero(~toxic[doc])
-        for turn in range(rounds):
-            score = x.sum((1, 2)) if not turn else self.probabilities(x, length)
-            order = np.lexsort((-score, doc))
-            top = order[np.concatenate([[True], doc[order][1:] != doc[order][:-1]])] if len(order) else order
-            bad = top[toxic[doc[top]]]
-            if not len(bad) or not len(clean):
-                return self
-            for _ in range(steps):
-                pick = np.concatenate([rng.choice(bad, batch // 2), rng.choice(clean, batch // 2)])
-                prob, saved = self.forward(x[pick], length[pick], keep=True)
-                k += 1
-                for name, g in self.gradient(prob, toxic[doc[pick]].astype(float), np.ones(len(pick)), saved).items():
-                    m[name] = 0.9 * m.get(name, 0) + 0.1 * g
-                    v[name] = 0.99 * v.get(name, 0) + 0.01 * g**2
-                    self.p[name] = self.p[name] - rate * (m[name] / (1 - 0.9**k)) / (np.sqrt(v[name] / (1 - 0.99**k)) + 1e-8)
-        return self
+        return g, d_x
 
 
 class Model:
-    def __init__(self, texts: pa.Array, toxic: np.ndarray):
-        first, keys = _keys(texts)
-        self.evidence = Evidence(first, keys, toxic)
-        x, length, rows, plain = windows(first, self.evidence.of(keys))
-        free, lengths = np.nonzero(plain)
+    """Vocabularies, vectors and network; fitted to texts with labels."""
+
+    def __init__(self, texts: pa.Array, toxic: np.ndarray, rounds: int = 6, steps: int = 25, batch: int = 256, rate: float = 0.02, seed: int = 1):
+        words = tx.words_of(texts, _BREAKS, lower=True)
+        row = np.repeat(np.arange(len(toxic)), np.diff(words.first))
+        hashes = tx.hash_words(words, 3)
+        kinds, first, self_of = np.unique(hashes, return_index=True, return_inverse=True)
+        self.words = Vocabulary(hashes, row, toxic)
+        runs, count = _runs(tx.Words(words.buf, words.starts[first], words.ends[first], words.first))
+        self.chars = self._run_vocabulary(runs, count, self_of, row, toxic)
         self.network = Network()
-        self.network.fit(np.concatenate([x, np.zeros((len(free), WINDOW, _INPUTS))]).astype(float), np.concatenate([length, lengths]), np.concatenate([rows, free]), toxic)
-        self.plain = self.network.forward(np.zeros((WINDOW + 1, WINDOW, _INPUTS), np.float32), np.arange(WINDOW + 1))
+        rng = np.random.default_rng(seed)
+        for name, vocabulary, size in (("words", self.words, _WORD), ("chars", self.chars, _CHARS)):
+            vectors = rng.normal(0, NOISE, (len(vocabulary.odds), size))
+            vectors[:, 0] += vocabulary.odds
+            self.network.p[name] = vectors
+        if 0 < toxic.sum() < len(toxic):
+            self._fit(words, self.words.of(kinds), self.chars.of(runs), count, self_of, toxic, rng, rounds, steps, batch, rate)
+        self.network.p = {k: v.astype(np.float32) for k, v in self.network.p.items()}
+
+    @staticmethod
+    def _run_vocabulary(runs, count, self_of, row, toxic):
+        """Of the character runs of all words, each counted once for a row."""
+        pair = np.unique(self_of.astype(np.uint64) << np.uint64(32) | row.astype(np.uint64))
+        kind, at = (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        start = np.cumsum(count) - count
+        n = count[kind]
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        return Vocabulary(runs[np.repeat(start[kind], n) + step], np.repeat(at, n), toxic)
+
+    def _char_sums(self, run, count):
+        """The sum of each word's runs over the root of their number, a bounded number of runs at a time."""
+        table, out = self.network.p["chars"], np.zeros((len(count), _CHARS), self.network.p["chars"].dtype)
+        owner = np.repeat(np.arange(len(count)), count)
+        for lo in range(0, len(run), 1 << 18):
+            o = owner[lo : lo + (1 << 18)]
+            cut = np.flatnonzero(np.concatenate([[True], o[1:] != o[:-1]]))
+            out[o[cut]] += np.add.reduceat(table[run[lo : lo + (1 << 18)]], cut, axis=0)
+        return out / np.sqrt(count)[:, None].astype(out.dtype)
+
+    def _vectors(self, word, run, count):
+        return np.concatenate([self.network.p["words"][word], self._char_sums(run, count)], axis=1)
+
+    def _read(self, vectors, at, length):
+        """Probability of windows whose words have these numbers in ``vectors``."""
+        tables = {way: self.network.gates(vectors, way) for way in "fb"}
+        out = [np.zeros(0, vectors.dtype)]
+        for lo in range(0, len(length), _BLOCK):
+            grid = at[lo : lo + _BLOCK]
+            out.append(self.network.forward(lambda t, way: tables[way][grid[:, t]], length[lo : lo + _BLOCK], WINDOW))
+        return np.concatenate(out)
+
+    def _fit(self, words, word, run, count, self_of, toxic, rng, rounds, steps, batch, rate):
+        """A toxic row's highest window is its example; of clean rows all windows are, half of them by chance and
+        half from their highest."""
+        p = self.network.p
+        row, start, length = windows(words.first)
+        grid = np.append(self_of, 0)[np.minimum(start[:, None] + np.arange(WINDOW)[None, :], len(self_of))]
+        own = np.cumsum(count) - count
+        clean = np.flatnonzero(~toxic[row])
+        begun = {name: p[name] for name in ("words", "chars")}
+        m, v, k = {}, {}, 0
+        for turn in range(rounds):
+            vectors = self._vectors(word, run, count)
+            live = np.arange(WINDOW)[None, :] < length[:, None]
+            score = (vectors[:, 0][grid] * live).max(1) if not turn else self._read(vectors.astype(np.float32), grid, length)
+            order = np.lexsort((-score, row))
+            top = order[np.concatenate([[True], row[order][1:] != row[order][:-1]])]
+            bad, hard = top[toxic[row[top]]], top[~toxic[row[top]]]
+            if turn:  # rows without any sign of their label teach nothing but themselves
+                bad = bad[score[bad] >= min(DOUBT, np.quantile(score[bad], DOUBTED))]
+            for _ in range(steps):
+                pick = np.concatenate([rng.choice(bad, batch * 3 // 8), rng.choice(clean, batch // 4), rng.choice(hard, batch * 3 // 8)])
+                kinds, at = np.unique(grid[pick], return_inverse=True)
+                n = count[kinds]
+                runs = run[np.repeat(own[kinds] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+                x = self._vectors(word[kinds], runs, n)[at.reshape(len(pick), WINDOW)].transpose(1, 0, 2)
+                gates = {way: self.network.gates(x, way) for way in "fb"}
+                prob, saved = self.network.forward(lambda t, way: gates[way][t], length[pick], WINDOW, keep=True)
+                g, d_x = self.network.gradient(prob, toxic[row[pick]].astype(float), x, saved)
+                place = at.reshape(len(pick), WINDOW).T.ravel()
+                order = np.argsort(place, kind="stable")
+                d_kind = np.add.reduceat(d_x.reshape(-1, _INPUTS)[order], np.searchsorted(place[order], np.arange(len(kinds))), axis=0)
+                for name, vectors in begun.items():
+                    g[name] = DECAY * (p[name] - vectors)
+                np.add.at(g["words"], word[kinds], d_kind[:, :_WORD])
+                np.add.at(g["chars"], runs, np.repeat(d_kind[:, _WORD:] / np.sqrt(n)[:, None], n, axis=0))
+                k += 1
+                for name, x_g in g.items():
+                    m[name] = 0.9 * m.get(name, 0) + 0.1 * x_g
+                    v[name] = 0.99 * v.get(name, 0) + 0.01 * x_g**2
+                    p[name] = p[name] - (VECTOR_RATE if name in begun else 1) * rate * (m[name] / (1 - 0.9**k)) / (np.sqrt(v[name] / (1 - 0.99**k)) + 1e-8)
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        first, keys = _keys(column)
-        x, length, rows, plain = windows(first, self.evidence.of(keys))
-        out = np.where(plain, self.plain[None, :], 0).max(1)
-        np.maximum.at(out, rows, self.network.probabilities(x, length))
+        """Of each text: its highest window's. Words are looked up for a bounded number of windows at a time."""
+        words = tx.words_of(column, _BREAKS, lower=True)
+        row, start, length = windows(words.first)
+        out = np.zeros(len(words.first) - 1, np.float32)
+        for lo in range(0, len(row), _SPAN):
+            part = slice(lo, lo + _SPAN)
+            a, b = int(start[part][0]), int((start[part] + length[part]).max())
+            span = tx.Words(words.buf, words.starts[a:b], words.ends[a:b], words.first)
+            kinds, first, at = np.unique(tx.hash_words(span, 3), return_index=True, return_inverse=True)
+            runs, count = _runs(tx.Words(words.buf, span.starts[first], span.ends[first], words.first))
+            vectors = np.concatenate([self._vectors(self.words.of(kinds), self.chars.of(runs), count), np.zeros((1, _INPUTS), np.float32)])
+            grid = np.append(at, len(kinds))[np.minimum(start[part][:, None] - a + np.arange(WINDOW)[None, :], b - a)]
+            np.maximum.at(out, row[part], self._read(vectors, grid, length[part]))
         return np.clip(out, 0, 1)
 
 
