@@ -47,13 +47,13 @@ _PARTS = "get set is has make load save read write user name file path data list
 def labelled_samples(n: int = SAMPLE, seed: int = 11) -> tuple[list[str], list[str]]:
     """Random strings and ordinary identifiers."""
     rng = random.Random(seed)
-    alphabets = (_ALPHABET[:62], _ALPHABET[:36 - 10] + "0123456789", "0123456789abcdef", _ALPHABET[:64], "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    alphabets = (_ALPHABET[:62], _ALPHABET[:36 - 10] + "0123456789", "0123456789abcdef", "0123456789ABCDEF", _ALPHABET[:64], "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
     secrets = ["".join(rng.choices(rng.choice(alphabets), k=rng.randrange(16, 48))) for _ in range(n)]
     plain = []
     for _ in range(n):
         parts = rng.choices(_PARTS, k=rng.randrange(3, 8))
-        style = rng.randrange(5)
-        joined = ("_".join(parts), "-".join(parts), parts[0] + "".join(p.title() for p in parts[1:]), "".join(parts), "/".join(parts))[style]
+        style = rng.randrange(6)
+        joined = ("_".join(parts), "-".join(parts), parts[0] + "".join(p.title() for p in parts[1:]), "".join(parts), "/".join(parts), "_".join(parts).upper())[style]
         plain.append(joined + (str(rng.randrange(1000)) if rng.random() < 0.2 else ""))
     return secrets, plain
 
