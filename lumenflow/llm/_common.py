@@ -8,23 +8,45 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Records per Arrow batch: bounds what a Python worker holds at once.
+#: Records per Arrow batch: bounds, with Spark's own bound of bytes for a batch, what a Python worker holds at once.
+#: A batch holds one row at least, so a single text may be as large as a task's memory allows.
 ARROW_RECORDS = 1000
 
 
 def session(df: DataFrame) -> SparkSession:
-    """The session of a DataFrame, with Arrow batches kept small."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_RECORDS))
+    """The session of a DataFrame, with Arrow batches of at most ``ARROW_RECORDS``; a smaller setting stays."""
+    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_RECORDS:
+        spark.conf.set(name, str(ARROW_RECORDS))
     return spark
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def private(df: DataFrame, *names: str) -> list[str]:
+    """The names, made longer until no column of the DataFrame has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: ``spark.checkpoint.dir``, or a temporary one where that is unset."""
+    """The shared folder for cut lineage: ``spark.checkpoint.dir``. Where that is unset a local session
+    takes a temporary folder; on a cluster, whose nodes don't share one, it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         if known.isEmpty():
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-ckpt-"))
             known = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = known.get()

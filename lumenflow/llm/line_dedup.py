@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenflow.llm import _text as tx
-from lumenflow.llm._common import session, store, text_key
+from lumenflow.llm._common import private, quoted, session, store, text_key
 
 SIMILARITY = 0.8
 #: Text bytes for each shuffle bucket.
@@ -583,12 +583,13 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
 
 
 def remove_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents with such lines taken out of ``text``; ``n_chars``, if there, is counted anew."""
-    lines = repeated_lines(docs, similarity).groupBy(F.col("doc_id").alias("g_doc_id"), F.col("text_key").alias("g_text_key")).agg(F.collect_set("line").alias("gone_lines"))
-    keyed = docs.withColumn("own_text_key", text_key(F.col("text")))
+    """The documents with such lines taken out of ``text``; ``n_chars``, if there, is counted anew. All other
+    columns stay as they are, whatever their names."""
+    own, at_id, at_key, gone = private(docs, "own_key", "gone_id", "gone_key", "gone_lines")
+    lines = repeated_lines(docs, similarity).groupBy(F.col("doc_id").alias(at_id), F.col("text_key").alias(at_key)).agg(F.collect_set("line").alias(gone))
     # a null doc_id matches the null of its own lines
-    joined = keyed.join(lines, keyed["doc_id"].eqNullSafe(lines["g_doc_id"]) & (keyed["own_text_key"] == lines["g_text_key"]), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone_lines", i)), "\n")
-    text = F.when(F.col("gone_lines").isNull(), F.col("text")).otherwise(kept)
-    columns = [text.alias(c) if c == "text" else F.when(F.col("gone_lines").isNull(), F.col(c)).otherwise(F.length(kept).cast("long")).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return joined.select(*columns)
+    joined = docs.withColumn(own, text_key(F.col("text"))).join(lines, F.col("doc_id").eqNullSafe(F.col(at_id)) & (F.col(own) == F.col(at_key)), "left")
+    none = F.col(gone).isNull()
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(gone, i)), "\n")
+    new = {"text": kept, "n_chars": F.length(kept).cast("long")}
+    return joined.select(*(F.when(none, quoted(c)).otherwise(new[c]).alias(c) if c in new else quoted(c) for c in docs.columns))

@@ -11,8 +11,9 @@ same outcome from the same input split. What is left at the end of a task is pac
 sequences whose length is a power of two (these need no padding) and, for the short ends,
 into shared bins of which one at most is padded by much.
 
-Defined cases: a null text is empty and gives the end token alone; repeated rows are packed
-each; row order within a document's pieces is by ``start``; extra columns are ignored.
+Defined cases: a null text is empty and gives the end token alone; a null doc_id stays null on its
+pieces; repeated rows are packed each; an empty table gives no pieces; a text of any length is cut
+like others; row order within a document's pieces is by ``start``; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -81,6 +82,10 @@ def _ranked(spec: dict, special: list[str]):
     hidden = [b for b in range(256) if b not in set(shown)]
     byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
     ranks = {bytes(byte[c] for c in word): i for word, i in model["vocab"].items() if word not in special}
+    # ranks stand for the merges only if these come in the order of the ids that they make
+    made = [model["vocab"].get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model.get("merges", [])]
+    if None in made or any(a >= b for a, b in zip(made, made[1:])):
+        return None
     split = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
     return tiktoken.Encoding("ranked", pat_str=split, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 

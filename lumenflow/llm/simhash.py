@@ -7,11 +7,12 @@ agrees under at least one of the ``2 ** (radius + 1) - 1`` masks. No pair can be
 
 Fingerprints are first reduced to distinct ones. In a bucket the links found are handed on
 as a local forest (at most one edge per member), never as all pairs, and large buckets are
-divided by the bytes of the fingerprint, one of which must agree.
+divided, across tasks too, by parts of the fingerprint, one of which must agree.
 
 Defined cases: null and empty texts have fingerprint zero and link like any other; fewer
 words than a shingle make one shingle of all words; a row without doc_id gets a fingerprint
-and a null component; repeated rows each get the same result; extra columns are ignored.
+and a null component; repeated rows each get the same result; an empty table gives an empty one;
+extra columns of any name are ignored, and kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenflow.llm import _text as tx
-from lumenflow.llm._common import materialize, session, text_key
+from lumenflow.llm._common import materialize, private, quoted, session, text_key
 from lumenflow.llm._components import components
 
 RADIUS = 3
 SHINGLE = 3
 _BLOCK = 1 << 17
+#: A bucket of more distinct fingerprints than this is divided across tasks; that many keys of such buckets are broadcast.
+HOT, HOT_BROADCAST = 1 << 16, 100_000
 
 
 def _bit_counts(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -61,15 +64,16 @@ def fingerprints_of(column: pa.Array, shingle: int = SHINGLE, seed: int = 42) ->
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = 42) -> DataFrame:
-    """doc_id and the 64-bit fingerprint (as a signed long) of every row."""
+    """doc_id, text_key and the 64-bit fingerprint (as a signed long) of every row."""
     session(docs)
 
     def run(batches):
         for batch in batches:
             values = fingerprints_of(batch.column("text"), shingle, seed)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(values.view(np.int64))], ["doc_id", "text_key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), "text")
+    return own.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def covering_masks(radius: int = RADIUS, seed: int = 7) -> list[int]:
@@ -116,37 +120,37 @@ def forest(fp: np.ndarray, radius: int) -> np.ndarray:
 def _bucket_links(radius: int):
     """Streams rows sorted by bucket; a bucket may span batches."""
 
-    def links(table, rep, fp, cut):
+    def links(fp, cut):
         a, b = [], []
         size = np.diff(cut)
         two = cut[:-1][size == 2]
         close = np.bitwise_count(fp[two] ^ fp[two + 1]) <= radius
-        a.append(rep[two[close]])
-        b.append(rep[two[close] + 1])
+        a.append(fp[two[close]])
+        b.append(fp[two[close] + 1])
         for lo, n in zip(cut[:-1][size > 2], size[size > 2]):
             labels = forest(fp[lo : lo + n], radius)
             moved = np.flatnonzero(labels != np.arange(n))
-            a.append(rep[lo + labels[moved]])
-            b.append(rep[lo + moved])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a), pa.int64()), pa.array(np.concatenate(b), pa.int64())], ["a", "b"])
+            a.append(fp[lo + labels[moved]])
+            b.append(fp[lo + moved])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (a, b)], ["a", "b"])
 
     def run(batches):
-        held = [np.zeros(0, np.int64)] * 4
+        held = [np.zeros(0, np.int64)] * 3
         waiting: list[list[np.ndarray]] = []
         rows = 0
 
         def flush(last):
             nonlocal held, waiting, rows
-            table, key, rep, fp = (np.concatenate([h, *(w[k] for w in waiting)]) for k, h in enumerate(held))
+            table, key, fp = (np.concatenate([h, *(w[k] for w in waiting)]) for k, h in enumerate(held))
             waiting, rows = [], 0
             new = np.concatenate([[True], (table[1:] != table[:-1]) | (key[1:] != key[:-1])])
             cut = np.flatnonzero(new)
             end = len(table) if last else cut[-1]
-            held = [x[end:] for x in (table, key, rep, fp)]
-            return links(table[:end], rep[:end], fp[:end].view(np.uint64), np.append(cut[cut < end], end))
+            held = [x[end:] for x in (table, key, fp)]
+            return links(fp[:end].view(np.uint64), np.append(cut[cut < end], end))
 
         for batch in batches:
-            waiting.append([np.asarray(batch.column(k)) for k in range(4)])
+            waiting.append([np.asarray(batch.column(k)) for k in range(3)])
             rows += batch.num_rows
             if rows >= 1 << 16:
                 yield flush(False)
@@ -156,30 +160,60 @@ def _bucket_links(radius: int):
     return run
 
 
+def _dealt(classes: DataFrame, radius: int) -> DataFrame:
+    """(t, key, fp): each fingerprint under every mask."""
+    tables = F.explode(F.array(*[F.struct(F.lit(k).cast("long").alias("t"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for k, m in enumerate(covering_masks(radius))]))
+    return classes.select("fp", tables.alias("x")).select("x.t", "x.key", "fp")
+
+
+def _split_hot(classes: DataFrame, radius: int, hot: int | None = None, sample: int = 64) -> DataFrame:
+    """Fingerprints by bucket. Buckets of more than ``hot`` fingerprints, by a sample, are divided by the bits: of
+    radius + 1 parts one must agree, so every fingerprint goes to the bucket of each of its parts."""
+    hot = hot or HOT
+    dealt, some = _dealt(classes, radius), classes.where(F.pmod(F.xxhash64("fp"), F.lit(sample)) == 0)
+    large = materialize(_dealt(some, radius).groupBy("t", "key").count().where(F.col("count") * sample > hot).select("t", "key", F.lit(1).alias("large")))
+    n = large.limit(HOT_BROADCAST + 1).count()
+    if not n:
+        return dealt
+    known = dealt.join(F.broadcast(large) if n <= HOT_BROADCAST else large, ["t", "key"], "left")
+    width = 64 // (radius + 1)
+    parts = [F.struct((F.col("t") + 1000 * (k + 1)).alias("t"), F.xxhash64("key", F.shiftrightunsigned("fp", width * k).bitwiseAND(F.lit(2**width - 1).cast("long"))).alias("key")) for k in range(radius + 1)]
+    whole = F.array(F.struct("t", "key"))
+    return known.select("fp", F.explode(F.when(F.col("large").isNull(), whole).otherwise(F.array(*parts))).alias("x")).select("x.t", "x.key", "fp")
+
+
 def link_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, rep, component): each distinct fingerprint, its least doc_id and the least one reachable."""
-    classes = materialize(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    tables = F.explode(F.array(*[F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for k, m in enumerate(covering_masks(radius))]))
-    dealt = classes.select("fp", "rep", tables.alias("x")).select(F.col("x.t").cast("long").alias("t"), "x.key", "rep", "fp")
-    edges = dealt.repartition("t", "key").sortWithinPartitions("t", "key", "rep").mapInArrow(_bucket_links(radius), "a long, b long").distinct()
+    """(fp, first, best): each distinct fingerprint, its least document (doc_id, text_key) and that of its component.
+
+    Fingerprints are the nodes, so that different texts under one doc_id stay apart.
+    """
+    known = prints.where("doc_id is not null")
+    classes = materialize(known.groupBy("fp").agg(F.min(F.struct("doc_id", "text_key")).alias("first")))
+    dealt = _split_hot(classes, radius)
+    edges = dealt.repartition("t", "key").sortWithinPartitions("t", "key", "fp").mapInArrow(_bucket_links(radius), "a long, b long").distinct()
     roots = components(edges)
-    return classes.join(roots, classes["rep"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "rep").alias("component"))
+    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return rooted.join(rooted.groupBy("root").agg(F.min("first").alias("best")), "root").select("fp", "first", "best")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fp, component_id of every row of documents."""
     prints = materialize(fingerprints(docs, shingle))
-    classes = link_classes(prints, radius).select("fp", F.col("component"))
+    classes = link_classes(prints, radius).select("fp", F.col("best.doc_id").alias("component"))
     return prints.join(classes, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Rows of the document with the least doc_id of each component; rows without doc_id stay.
+    """One row of each component, that of the least doc_id and text_key; rows without doc_id stay.
 
-    Rows that repeat a doc_id are one document: the one with the least text_key stays, then by the other columns.
+    Rows that repeat doc_id and text are one document: the one least by the other columns stays. Different
+    texts under one doc_id are different documents. Other columns may have any name.
     """
-    kept = near_duplicates(docs, shingle, radius).where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    order = F.struct(text_key(F.col("text")), *(c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"))
-    one = known.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("row"))
-    return one.select("row.*").unionByName(docs.where("doc_id is null"))
+    best = link_classes(materialize(fingerprints(docs, shingle)), radius).select("best.*").distinct()
+    own, row, at_id, at_key = private(docs, "own_key", "row", "best_id", "best_key")
+    best = best.select(F.col("doc_id").alias(at_id), F.col("text_key").alias(at_key))
+    known = docs.where("doc_id is not null").withColumn(own, text_key(F.col("text")))
+    known = known.join(best, (F.col("doc_id") == F.col(at_id)) & (F.col(own) == F.col(at_key)), "left_semi")
+    order = F.struct(*(quoted(c) for c, kind in docs.dtypes if c != "text" and "map<" not in kind and "variant" not in kind))
+    one = known.groupBy("doc_id", own).agg(F.min_by(F.struct(*(quoted(c) for c in docs.columns)), order).alias(row))
+    return one.select(f"{row}.*").unionByName(docs.where("doc_id is null"))
