@@ -348,8 +348,10 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Data
     spark = session(docs)
     model = spark.sparkContext.broadcast(train(docs, labels, sample))
 
+    at, plain = docs.columns.index("text"), docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # names may hold dots
+
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(model.value.scores(batch.column("text")) < THRESHOLD))
+            yield batch.filter(pa.array(model.value.scores(batch.column(at)) < THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
