@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenflow.functions import kernels
 from lumenflow.operators import rois, traces
 
 
@@ -46,19 +47,14 @@ def channel_correlation(pairs: DataFrame) -> DataFrame:
 def gap_median(trace: DataFrame, size: int) -> DataFrame:
     """Median of the known values in each odd window, edges mirrored; where a window has none, a line
     between the medians around, and at the ends the nearest one. A trace without values stays null."""
-    half = size // 2
-    order = Window.partitionBy("roi").orderBy("t")
-    numbered = trace.withColumn("k", F.row_number().over(order) - 1).withColumn("n", F.count("*").over(Window.partitionBy("roi")))
-    places = F.array(F.col("k"), -1 - F.col("k"), 2 * F.col("n") - 1 - F.col("k"))
-    padded = numbered.withColumn("p", F.explode(places)).where((F.col("p") >= -half) & (F.col("p") < F.col("n") + half))
-    known = F.when(~F.isnan("f"), F.col("f"))
-    middle = F.percentile(known, F.lit(0.5)).over(Window.partitionBy("roi").orderBy("p").rowsBetween(-half, half))
-    rough = padded.withColumn("m", middle).where("p = k").select("roi", "t", "k", "m")
-    at = F.when(F.col("m").isNotNull(), F.struct("k", "m"))
-    ahead, behind = Window.partitionBy("roi").orderBy("k").rowsBetween(0, Window.unboundedFollowing), Window.partitionBy("roi").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    sided = rough.withColumn("a", F.last(at, True).over(behind)).withColumn("b", F.first(at, True).over(ahead))
-    line = F.col("a.m") + (F.col("b.m") - F.col("a.m")) * (F.col("k") - F.col("a.k")) / F.nullif(F.col("b.k") - F.col("a.k"), F.lit(0))
-    return sided.select("roi", "t", F.coalesce("m", line, F.col("a.m"), F.col("b.m")).alias("m"))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("t")
+        return rows[["roi", "t"]].assign(m=kernels.known_median_filter(rows["f"].to_numpy(float), size))
+
+    kinds = dict(trace.dtypes)
+    out = trace.select("roi", "t", "f").groupBy("roi").applyInPandas(run, f"roi {kinds['roi']}, t {kinds['t']}, m double")
+    return out.withColumn("m", F.nanvl("m", F.lit(None).cast("double")))
 
 
 def _solve(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

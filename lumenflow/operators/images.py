@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenflow.operators.movies import quantiles
+
 #: A pixel and its four neighbours: the disk of radius one.
 _DISK = ((0, 0), (-1, 0), (1, 0), (0, -1), (0, 1))
 
@@ -73,5 +75,4 @@ def display_limits(movie: DataFrame, lo: float, hi: float, border: int) -> DataF
     extent = F.broadcast(movie.agg((F.max("r") + 1).alias("rows"), (F.max("c") + 1).alias("columns")))
     all_in = (F.col("rows") <= 2 * border) | (F.col("columns") <= 2 * border)
     inner = (F.col("r") >= border) & (F.col("r") < F.col("rows") - border) & (F.col("c") >= border) & (F.col("c") < F.col("columns") - border)
-    q = movie.join(extent).where(all_in | inner).agg(F.percentile("v", F.array(F.lit(lo), F.lit(hi))).alias("q"))
-    return q.select(F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
+    return movie.sparkSession.createDataFrame([tuple(quantiles(movie.join(extent).where(all_in | inner), "v", [lo, hi]))], "lo double, hi double")

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from lumenflow.functions.scalars import to_range
 
 
+#: Steps of a range, and values that are simply sorted, in looking for a quantile.
+STEPS, FEW = 1024, 10_000
+
+
 def extent(movie: DataFrame) -> DataFrame:
     """Height and width of the movie's frame: rows, columns. One row, so the broadcast is of fixed size."""
     return F.broadcast(movie.agg((F.max("r") + 1).alias("rows"), (F.max("c") + 1).alias("columns")))
@@ -31,11 +35,39 @@ def block_mean(movie: DataFrame, size: int) -> DataFrame:
     return movie.groupBy(block("r").alias("br"), block("c").alias("bc"), "t").agg((F.sum("v") / (size * size)).alias("v"))
 
 
+def _ranked(df: DataFrame, column: str, rank: int, lo: float, hi: float) -> float:
+    """The value of this rank (from 0) among those of a column: counts in steps of its range close in on it, so that no task
+    or driver holds more than STEPS counts or FEW values."""
+    value, below = F.col(column), 0
+    while lo < hi:
+        step = F.least(F.floor((value - lo) / (hi - lo) * STEPS), F.lit(STEPS - 1))
+        inside = df.where(value.between(lo, hi))
+        counts = sorted(inside.groupBy(step.alias("s")).agg(F.count("*").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).collect())
+        for _, n, lo, hi in counts:
+            if below + n > rank:
+                break
+            below += n
+        if lo < hi and n <= FEW:
+            return df.where(value.between(lo, hi)).agg(F.sort_array(F.collect_list(value))[rank - below].alias("v")).first()["v"]
+    return lo
+
+
+def quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float | None]:
+    """Exact quantiles of a column of any length, interpolated; None for a column without values."""
+    known = df.where(F.col(column).isNotNull())
+    n, lo, hi = known.agg(F.count("*"), F.min(column), F.max(column)).first()
+    out: list[float | None] = []
+    for share in shares:
+        at = (n - 1) * share
+        a, b = (_ranked(known, column, k, lo, hi) for k in (int(at), min(int(at) + 1, n - 1))) if n else (None, None)
+        out.append(None if a is None else a + (at - int(at)) * (b - a))
+    return out
+
+
 def scaled(movie: DataFrame, lo: float, hi: float) -> DataFrame:
     """Values between two quantiles of the movie, as 0 to 255."""
-    limits = movie.agg(F.percentile("v", F.array(F.lit(lo), F.lit(hi))).alias("q"))
-    # one row, so the broadcast is of fixed size
-    return movie.join(F.broadcast(limits)).select("r", "c", "t", to_range(F.col("v"), F.col("q")[0], F.col("q")[1]).cast("int").alias("v"))
+    limits = [F.lit(q).cast("double") for q in quantiles(movie, "v", [lo, hi])]
+    return movie.select("r", "c", "t", to_range(F.col("v"), *limits).cast("int").alias("v"))
 
 
 def deinterleave(pages: DataFrame, planes: int) -> DataFrame:
@@ -73,3 +105,10 @@ def bright_frames(movie: DataFrame, share: float) -> DataFrame:
     n = F.count("*").over(Window.partitionBy("r", "c"))
     k = F.row_number().over(Window.partitionBy("r", "c").orderBy(F.desc("v"), "t"))
     return movie.withColumn("n", n).withColumn("k", k).where(F.col("k") <= F.floor(share * F.col("n"))).select("r", "c", "t")
+
+
+def bright_frames_of_pairs(movie: DataFrame, pairs: DataFrame, share: float) -> DataFrame:
+    """r0, c0, r1, c1, t: frames that are among the brightest of either pixel of a pair."""
+    bright, key = bright_frames(movie, share), ["r0", "c0", "r1", "c1"]
+    sides = [pairs.join(bright, (F.col(f"r{e}") == F.col("r")) & (F.col(f"c{e}") == F.col("c"))).select(*key, "t") for e in "01"]
+    return sides[0].union(sides[1]).distinct()

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def binarize(pixels: DataFrame, quantile: float = 0.1) -> DataFrame:
-    """Pixels of at least the region's weight quantile (interpolated)."""
+def binarize(pixels: DataFrame, quantile: float = 0.1, threshold: float | None = None) -> DataFrame:
+    """Pixels of at least the region's weight quantile (interpolated), or above an absolute threshold."""
+    if threshold is not None:
+        return pixels.where(F.col("w") > threshold)
     least = pixels.groupBy("roi").agg(F.percentile("w", F.lit(quantile)).alias("least"))
     return pixels.join(least, "roi").where(F.col("w") >= F.col("least")).drop("least")
 
@@ -60,3 +62,81 @@ def motion_border(shift: DataFrame, most: float = 30.0) -> DataFrame:
     ok = shift.agg(*(f(F.when(F.abs(c) <= most, F.col(c))).alias(n) for f, c, n in ((F.max, "x", "hi_x"), (F.min, "x", "lo_x"), (F.max, "y", "hi_y"), (F.min, "y", "lo_y"))))
     up = lambda c: F.greatest(c, F.lit(0.0))
     return ok.select(F.col("hi_x").alias("left"), (-F.col("lo_x")).alias("right"), F.col("hi_y").alias("up"), (-F.col("lo_y")).alias("down"), up(F.col("hi_y")).alias("bottom"), up(-F.col("lo_y")).alias("top"), up(-F.col("lo_x")).alias("left_side"), up(F.col("hi_x")).alias("right_side"))
+
+
+def pixel_list(masks: DataFrame) -> DataFrame:
+    """roi, r, c, w of sparse masks (roi, ypix, xpix, lam: arrays of one length)."""
+    both = masks.select("roi", F.explode(F.arrays_zip("ypix", "xpix", "lam")).alias("p"))
+    return both.select("roi", F.col("p.ypix").alias("r"), F.col("p.xpix").alias("c"), F.col("p.lam").cast("double").alias("w"))
+
+
+def from_dense(masks: DataFrame) -> DataFrame:
+    """roi, r, c of cropped masks (roi, x, y, mask: rows of flags), in places of the frame."""
+    rows = masks.select("roi", "x", "y", F.posexplode("mask").alias("dr", "line"))
+    return rows.select("roi", "x", "y", "dr", F.posexplode("line").alias("dc", "on")).where(F.col("on").cast("boolean")).select("roi", (F.col("y") + F.col("dr")).alias("r"), (F.col("x") + F.col("dc")).alias("c"))
+
+
+def to_dense(pixels: DataFrame) -> DataFrame:
+    """roi, x, y, width, height and mask (rows of flags) cropped to each region's box. A region's pixels are one row."""
+    boxed = pixels.groupBy("roi").agg(F.min("c").alias("x"), F.min("r").alias("y"), F.max("c").alias("x1"), F.max("r").alias("y1"), F.collect_set(F.struct("r", "c")).alias("on"))
+    mask = F.transform(F.sequence("y", "y1"), lambda r: F.transform(F.sequence(F.col("x"), F.col("x1")), lambda c: F.array_contains("on", F.struct(r.alias("r"), c.alias("c")))))
+    return boxed.select("roi", "x", "y", (F.col("x1") - F.col("x") + 1).alias("width"), (F.col("y1") - F.col("y") + 1).alias("height"), mask.alias("mask"))
+
+
+def renamed(masks: DataFrame) -> DataFrame:
+    """Region records under the names of the extraction step: id, x, y, width, height, mask, valid, exclusion_labels."""
+    old = {"mask_matrix": "mask", "valid_roi": "valid", "cell_specimen_id": "specimen"}
+    out = masks.withColumnsRenamed({k: v for k, v in old.items() if k in masks.columns})
+    return out if "exclusion_labels" in out.columns else out.withColumn("exclusion_labels", F.array().cast("array<string>"))
+
+
+def mask_problems(pixels: DataFrame, regions: DataFrame, flagged: DataFrame, group: str = "roi") -> DataFrame:
+    """roi, label: regions without pixels, and those flagged at the border."""
+    empty = regions.select("roi").join(pixels.select("roi").distinct(), "roi", "left_anti").withColumn("label", F.lit(f"empty_{group}_mask"))
+    return empty.unionByName(flagged.where("at_border").select("roi", F.lit("motion_border").alias("label")))
+
+
+def at_border(pixels: DataFrame, border: tuple[float, float, float, float], extent: DataFrame) -> DataFrame:
+    """roi, at_border: the box leaves the frame less its border (left, right, bottom, top). Nothing is cut off."""
+    left, right, bottom, top = border
+    box = bounds(pixels).join(extent)
+    out = (F.col("x") < F.ceil(F.lit(float(left)))) | (F.col("x") + F.col("width") - 1 > F.floor(F.col("columns") - right) - 1)
+    out = out | (F.col("y") < F.ceil(F.lit(float(top)))) | (F.col("y") + F.col("height") - 1 > F.floor(F.col("rows") - bottom) - 1)
+    return box.select("roi", out.alias("at_border"))
+
+
+def overlap_groups(pixels: DataFrame) -> DataFrame:
+    """roi, other: regions that share pixels with a region, or with one that does (itself included)."""
+    mask = pixels.select("roi", "r", "c").distinct()
+    near = mask.join(mask.withColumnRenamed("roi", "other"), ["r", "c"]).select("roi", "other").distinct()
+    return near.select("roi", F.col("other").alias("mid")).join(near.select(F.col("roi").alias("mid"), "other"), "mid").select("roi", "other").distinct()
+
+
+def in_label_order(regions: DataFrame) -> DataFrame:
+    """Regions by their label as text."""
+    return regions.orderBy(F.col("roi").cast("string"))
+
+
+def postprocessed(pixels: DataFrame, shift: DataFrame, extent: DataFrame, least_aspect: float = 0.2, quantile: float = 0.1, most_shift: float = 30.0, least_pixels: int = 50) -> DataFrame:
+    """roi, exclusion_labels, valid: elongated regions go, weights are cut, then labels by motion border and size."""
+    kept = binarize(keep_round(pixels, least_aspect), quantile)
+    b = motion_border(shift, most_shift).first()  # one row
+    return exclusion_labels(kept, {k: b[k] for k in ("left", "right", "up", "down")}, extent, least_pixels)
+
+
+def colours(pixels: DataFrame, distance: float = 2**0.5) -> DataFrame:
+    """roi, colour: touching regions differ. A region takes its colour when no uncoloured neighbour has more neighbours (then
+    the lesser id), the least that none of its coloured neighbours has; rounds run in Spark."""
+    pairs = abutting(pixels, distance)
+    near = pairs.union(pairs.select("roi_b", "roi_a")).select(F.col("roi_a").alias("roi"), F.col("roi_b").alias("other")).cache()
+    degree = pixels.select("roi").distinct().join(near.groupBy("roi").agg(F.count("*").alias("n")), "roi", "left").select("roi", F.coalesce("n", F.lit(0)).alias("n")).cache()
+    done = degree.sparkSession.createDataFrame([], "roi int, colour int")
+    while True:
+        left = degree.join(done, "roi", "left_anti")
+        if left.isEmpty():
+            return done
+        rivals = near.join(left.select(F.col("roi").alias("other"), F.col("n").alias("m")), "other").groupBy("roi").agg(F.max(F.struct("m", (-F.col("other")).alias("id"))).alias("top"))
+        ready = left.join(rivals, "roi", "left").where(F.col("top").isNull() | (F.struct(F.col("n").alias("m"), (-F.col("roi")).alias("id")) > F.col("top"))).select("roi")
+        used = near.join(done.select(F.col("roi").alias("other"), "colour"), "other").groupBy("roi").agg(F.collect_set("colour").alias("used"))
+        free = F.array_min(F.array_except(F.sequence(F.lit(0), F.size(F.coalesce("used", F.array().cast("array<int>")))), F.coalesce("used", F.array().cast("array<int>"))))
+        done = done.unionByName(ready.join(used, "roi", "left").select("roi", free.alias("colour"))).cache()

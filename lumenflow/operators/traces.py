@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenflow.functions import kernels
+
 #: A side of a join with up to this many rows is broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -14,6 +17,14 @@ def if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def all_regions_mean(movie: DataFrame, pixels: DataFrame, invalid: DataFrame) -> DataFrame:
+    """roi, t, f of all regions: invalid ones (roi), and those without pixels in the movie, are NaN in all frames."""
+    regions = pixels.select("roi").union(invalid.select("roi")).distinct()
+    grid = regions.join(F.broadcast(movie.agg((F.max("t") + 1).alias("n")))).select("roi", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("t"))
+    known = masked_mean(movie, pixels.join(invalid.select("roi"), "roi", "left_anti"))
+    return grid.join(known, ["roi", "t"], "left").select("roi", "t", F.coalesce("f", F.lit(float("nan"))).alias("f"))
+
+
 def masked_mean(movie: DataFrame, pixels: DataFrame) -> DataFrame:
     """Mean of a region's pixels in each frame: roi, t, f. Sums are combined before the shuffle."""
     return movie.join(if_small(pixels), ["r", "c"]).groupBy("roi", "t").agg(F.avg("v").alias("f"))
@@ -25,12 +36,14 @@ def weighted_trace(movie: DataFrame, pixels: DataFrame, by_size: bool = True) ->
     return movie.join(if_small(pixels), ["r", "c"]).groupBy("roi", "t").agg((total / F.count("*") if by_size else total).alias("f"))
 
 
-def neuropil_mask(pixels: DataFrame, reach: int, extent: DataFrame) -> DataFrame:
-    """Pixels within ``reach`` of a region (in rows and columns), in the frame, of no region: roi, r, c."""
+def neuropil_mask(pixels: DataFrame, reach: int, extent: DataFrame, border: tuple[float, float, float, float] = (0, 0, 0, 0)) -> DataFrame:
+    """Pixels within ``reach`` of a region (in rows and columns), in the frame less its border (left, right, bottom, top), of
+    no region: roi, r, c."""
+    left, right, bottom, top = border
     offsets = F.sequence(F.lit(-reach), F.lit(reach))
     near = pixels.select("roi", "r", "c", F.explode(offsets).alias("dr")).select("roi", (F.col("r") + F.col("dr")).alias("r"), "c").distinct()
     near = near.select("roi", "r", F.col("c"), F.explode(offsets).alias("dc")).select("roi", "r", (F.col("c") + F.col("dc")).alias("c")).distinct()
-    near = near.join(extent).where(F.col("r").between(0, F.col("rows") - 1) & F.col("c").between(0, F.col("columns") - 1))
+    near = near.join(extent).where(F.col("r").between(F.ceil(F.lit(float(top))), F.floor(F.col("rows") - bottom) - 1) & F.col("c").between(F.ceil(F.lit(float(left))), F.floor(F.col("columns") - right) - 1))
     return near.join(pixels.select("r", "c").distinct(), ["r", "c"], "left_anti").select("roi", "r", "c")
 
 
@@ -45,17 +58,16 @@ def _frame(half: int):
 
 
 def rolling_quantile(trace: DataFrame, size: int, rank: int) -> DataFrame:
-    """The value of the given rank (from 0) in each window of odd ``size``, edges reflected."""
-    half = size // 2
-    order = Window.partitionBy("roi").orderBy("t")
-    n = F.count("*").over(Window.partitionBy("roi"))
-    numbered = trace.withColumn("k", F.row_number().over(order) - 1).withColumn("n", n)
-    # edge values are mirrored, the edge itself included
-    places = F.array(F.col("k"), -1 - F.col("k"), 2 * F.col("n") - 1 - F.col("k"))
-    padded = numbered.select("roi", "t", "f", "n", F.explode(places).alias("p"), F.col("k")).where((F.col("p") >= -half) & (F.col("p") < F.col("n") + half))
-    around = Window.partitionBy("roi").orderBy("p").rowsBetween(-half, half)
-    value = F.get(F.sort_array(F.collect_list("f").over(around)), F.lit(rank))
-    return padded.withColumn("q", value).where(F.col("p") == F.col("k")).select("roi", "t", "f", "q")
+    """The value of the given rank (from 0) in each window of odd ``size``, edges reflected. A region's trace is one group,
+    through which a sorted window slides; a trace with gaps has none."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("t")
+        f = rows["f"].to_numpy(float)
+        return rows.assign(q=None if pd.isna(f).any() else kernels.rank_filter(f, size, rank))
+
+    kinds = dict(trace.dtypes)
+    return trace.select("roi", "t", "f").groupBy("roi").applyInPandas(run, f"roi {kinds['roi']}, t {kinds['t']}, f double, q double")
 
 
 def rolling_median(trace: DataFrame, size: int) -> DataFrame:
@@ -63,13 +75,14 @@ def rolling_median(trace: DataFrame, size: int) -> DataFrame:
 
 
 def noise_std(trace: DataFrame, size: int) -> DataFrame:
-    """Robust deviation of what a rolling median leaves, without large and negative outliers: roi, noise."""
-    flat = rolling_median(trace, size).withColumn("d", F.col("f") - F.col("q"))
-    lowest = Window.partitionBy("roi")
-    kept = flat.withColumn("low", F.min("d").over(lowest)).where(F.col("d") < 1.5 * F.abs("low"))
-    spread = robust_std(kept, ["roi"], "d").withColumnRenamed("robust_std", "s")
-    inner = kept.join(spread, "roi").where(F.abs("d") < 2.5 * F.col("s"))
-    return robust_std(inner, ["roi"], "d").withColumnRenamed("robust_std", "noise")
+    """Robust deviation of what a rolling median leaves, without large and negative outliers: roi, noise; null for
+    traces with gaps and where no value is left."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"roi": [key[0]], "noise": [kernels.noise_std(rows.sort_values("t")["f"].to_numpy(float), size)]})
+
+    out = trace.select("roi", "t", "f").groupBy("roi").applyInPandas(run, f"roi {dict(trace.dtypes)['roi']}, noise double")
+    return out.withColumn("noise", F.nanvl("noise", F.lit(None).cast("double")))
 
 
 def dff(trace: DataFrame, short: int, long: int) -> DataFrame:

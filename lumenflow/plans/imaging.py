@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenflow.functions.scalars import unmix
-from lumenflow.operators import checks, images, movies, rois, signals, traces
+from lumenflow.operators import analysis, checks, graphs, images, movies, rois, selection, signals, traces
 from lumenflow.sources import adapters as views
 
 QUERIES, SQL = {}, {}
-#: The frame of 500 vectors, for closed_and_opened and the SQL; the other queries take the movie's own.
+#: The frame of 500 vectors, for closed_and_opened and its SQL; the other queries take the movie's own.
 _ROWS, _COLUMNS, _REACH = 16, 32, 3
 
 
@@ -40,7 +40,7 @@ def weighted_roi_trace(spark: SparkSession, d: str) -> DataFrame:
 
 
 _NEAR = f"""SELECT DISTINCT roi, r + dr AS r, c + dc AS c FROM roi_pixels, range(-{_REACH}, {_REACH + 1}) a(dr), range(-{_REACH}, {_REACH + 1}) b(dc)
-  WHERE r + dr BETWEEN 0 AND {_ROWS - 1} AND c + dc BETWEEN 0 AND {_COLUMNS - 1}"""
+  WHERE r + dr BETWEEN 0 AND (SELECT max(r) FROM movie) AND c + dc BETWEEN 0 AND (SELECT max(c) FROM movie)"""
 
 
 @_query(f"SELECT n.* FROM ({_NEAR}) n ANTI JOIN roi_pixels p ON n.r = p.r AND n.c = p.c")
@@ -66,7 +66,7 @@ def roi_bounds(spark: SparkSession, d: str) -> DataFrame:
     return _round(rois.bounds(views.roi_pixels(spark, d)))
 
 
-@_query(f"SELECT roi, array_to_string(list_filter([CASE WHEN NOT (x >= 2 AND x + width <= 30 AND y >= 1 AND y + height <= 13) THEN 'motion_border' END, CASE WHEN area <= 11 THEN 'small_size' END], lambda l: l IS NOT NULL), ',') AS labels, (x >= 2 AND x + width <= 30 AND y >= 1 AND y + height <= 13) AND area > 11 AS valid FROM ({_BOUNDS})")
+@_query(f"SELECT roi, array_to_string(list_filter([CASE WHEN NOT (x >= 2 AND x + width <= 30 AND y >= 1 AND y + height <= lim) THEN 'motion_border' END, CASE WHEN area <= 11 THEN 'small_size' END], lambda l: l IS NOT NULL), ',') AS labels, (x >= 2 AND x + width <= 30 AND y >= 1 AND y + height <= lim) AND area > 11 AS valid FROM ({_BOUNDS}), (SELECT floor(max(r) + 1 - 2.2) AS lim FROM movie)")
 def roi_exclusion(spark: SparkSession, d: str) -> DataFrame:
     out = rois.exclusion_labels(views.roi_pixels(spark, d), {"left": 1.5, "right": 1.5, "up": 2.2, "down": 0.3}, movies.extent(views.movie(spark, d)), 11)
     return out.select("roi", F.array_join("exclusion_labels", ",").alias("labels"), "valid")
@@ -189,7 +189,9 @@ def unmixed_pair(spark: SparkSession, d: str) -> DataFrame:
     return _round(t.select("roi", "t", signal.alias("signal"), other.alias("other")))
 
 
-@_query("SELECT DISTINCT roi FROM (SELECT roi, sum(b) OVER (PARTITION BY roi ORDER BY t ROWS 1 PRECEDING) AS n FROM (SELECT roi, t, CAST(f < avg(f) OVER w - 1.2 * stddev_pop(f) OVER w AS INT) AS b FROM trace WINDOW w AS (PARTITION BY roi ORDER BY t ROWS 19 PRECEDING))) WHERE n = 2")
+@_query(""", p AS (SELECT roi, t, f FROM trace UNION ALL SELECT roi, -k, m FROM (SELECT roi, avg(f) AS m FROM trace WHERE t < 20 GROUP BY roi), range(1, 20) u(k)),
+b AS (SELECT roi, t, CAST(f < avg(f) OVER w - 1.2 * stddev_pop(f) OVER w AS INT) AS b FROM p WINDOW w AS (PARTITION BY roi ORDER BY t ROWS 19 PRECEDING))
+SELECT DISTINCT roi FROM (SELECT roi, sum(b) OVER (PARTITION BY roi ORDER BY t ROWS 1 PRECEDING) AS n FROM b WHERE t >= 0) WHERE n = 2""")
 def negative_transients(spark: SparkSession, d: str) -> DataFrame:
     return traces.negative_transients(views.trace(spark, d), 20, 2, 1.2)
 
@@ -351,3 +353,141 @@ def gap_median(spark: SparkSession, d: str) -> DataFrame:
 @_query(None)
 def demixed_traces(spark: SparkSession, d: str) -> DataFrame:
     return _round(checks.demix(views.movie(spark, d), views.roi_pixels(spark, d)))
+
+
+@_query(f"""{_NOISE}, l AS ({_rolling(10, 'list_sort(list(x))[3]')}), g AS (SELECT roi, t, f, CASE WHEN f <= q + 3 * noise THEN f END AS i, noise, count(*) OVER (PARTITION BY roi) AS n FROM l JOIN noise USING (roi)),
+md AS (SELECT a.roi, a.t, median(b.i) AS m FROM (SELECT *, CASE WHEN t + o < 0 THEN -1 - (t + o) WHEN t + o >= n THEN 2 * n - 1 - (t + o) ELSE t + o END AS p FROM g, range(-10, 11) x(o)) a JOIN g b ON b.roi = a.roi AND b.t = a.p GROUP BY a.roi, a.t)
+SELECT roi, t, round((f - m) / greatest(m, noise), 6) AS dff, count(*) FILTER (m <= noise) OVER (PARTITION BY roi) AS n_small_baseline FROM md JOIN g USING (roi, t)""")
+def dff_percentile(spark: SparkSession, d: str) -> DataFrame:
+    return _round(analysis.dff(views.trace(spark, d), 11, 21).select("roi", "t", "dff", "n_small_baseline"))
+
+
+@_query(""", g AS (SELECT *, CASE WHEN f <= 60 THEN f END AS i, count(*) OVER (PARTITION BY roi) AS n FROM trace)
+SELECT z.roi, z.t, round(avg(x.i), 6) AS mean, round(stddev_samp(x.i), 6) AS sd FROM (SELECT *, least(greatest(t, 5), n - 5) AS centre FROM g) z JOIN g x ON x.roi = z.roi AND (z.n <= 10 OR x.t BETWEEN centre - 5 AND centre + 4) GROUP BY z.roi, z.t""")
+def rolling_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return _round(analysis.masked_rolling(views.trace(spark, d), 10, F.col("f") <= 60).select("roi", "t", "mean", "sd"))
+
+
+@_query(""", g AS (SELECT *, CASE WHEN f <= 60 OR all_hot THEN f END AS i FROM (SELECT *, count(*) OVER (PARTITION BY roi) AS n, min(f) OVER (PARTITION BY roi) > 60 AS all_hot FROM trace)),
+s AS (SELECT z.roi, z.t, avg(x.i) - 2 * stddev_samp(x.i) AS least FROM (SELECT *, least(greatest(t, 5), n - 5) AS centre FROM g) z JOIN g x ON x.roi = z.roi AND (z.n <= 10 OR x.t BETWEEN centre - 5 AND centre + 4) GROUP BY z.roi, z.t)
+SELECT roi, t, round(greatest(f, coalesce(least, -999)), 6) AS f FROM trace JOIN s USING (roi, t)""")
+def clipped_negatives(spark: SparkSession, d: str) -> DataFrame:
+    t = views.trace(spark, d)
+    return _round(analysis.clip_negative(t, t.select("roi", "t", (F.col("f") > 60).alias("active")), 10))
+
+
+@_query(None)
+def trace_modes(spark: SparkSession, d: str) -> DataFrame:
+    return _round(analysis.modes(views.trace(spark, d)))
+
+
+@_query(None)
+def active_frames(spark: SparkSession, d: str) -> DataFrame:
+    return analysis.active_frames(views.trace(spark, d), 3.0)
+
+
+@_query(None)
+def neuropil_corrected(spark: SparkSession, d: str) -> DataFrame:
+    t = views.trace(spark, d)
+    return _round(analysis.neuropil_corrected(t.select("roi", "t", (F.col("f") + 100).alias("f"), (40 + 10 * F.sin("t")).alias("np")), 2))
+
+
+@_query(None)
+def detected_events(spark: SparkSession, d: str) -> DataFrame:
+    return _round(analysis.detect_events(views.trace(spark, d), 0.8, 2.0, 5, 11))
+
+
+@_query(""", p AS (SELECT roi, t, f AS a, f * (t % 3) AS b FROM trace), m AS (SELECT roi, median(a) AS ma, median(b) AS mb, max(t) AS last FROM p GROUP BY roi),
+k AS (SELECT roi, arg_max(t, (a - ma, -t)) AS ta, max(a - ma) AS ra, arg_max(t, (b - mb, -t)) AS tb, max(b - mb) AS rb, any_value(last) AS last FROM p JOIN m USING (roi) GROUP BY roi)
+SELECT roi, start, least(start + 7, last + 1) AS "end" FROM (SELECT *, greatest(0, least(CASE WHEN ra >= rb THEN ta ELSE tb END - 3, last + 1 - 7)) AS start FROM k)""")
+def active_sections(spark: SparkSession, d: str) -> DataFrame:
+    t = views.trace(spark, d)
+    return analysis.most_active_section(t.select("roi", "t", F.col("f").alias("a"), (F.col("f") * (F.col("t") % 3)).alias("b")), 7)
+
+
+_BRIGHT = "SELECT r, c, t FROM (SELECT *, row_number() OVER (PARTITION BY r, c ORDER BY v, t) AS k, count(*) OVER (PARTITION BY r, c) AS n FROM movie) WHERE k > round_even(0.8 * n, 0)"
+_TOUCH = "((b.r = a.r AND b.c = a.c + 1) OR (b.r = a.r + 1 AND b.c BETWEEN a.c - 1 AND a.c + 1))"
+
+
+@_query(f""", b AS ({_BRIGHT}), m AS (SELECT movie.*, b.t IS NOT NULL AS hot FROM movie LEFT JOIN b USING (r, c, t))
+SELECT a.r AS r0, a.c AS c0, b.r AS r1, b.c AS c1, round(corr(a.v, b.v), 6) AS filtered FROM m a JOIN m b ON a.t = b.t AND {_TOUCH} WHERE a.hot OR b.hot GROUP BY ALL""")
+def filtered_correlation(spark: SparkSession, d: str) -> DataFrame:
+    return _round(graphs.filtered_correlation(views.movie(spark, d), 0.2))
+
+
+@_query(f""", s AS (SELECT * FROM movie WHERE r < 6 AND c < 8), e AS (SELECT DISTINCT a.r AS r0, a.c AS c0, b.r AS r1, b.c AS c1 FROM s a JOIN s b ON a.t = b.t AND {_TOUCH}),
+p AS (SELECT r0, c0, r1, c1, n.r, n.c FROM e JOIN (SELECT DISTINCT r, c FROM s) n ON sqrt((n.r - (r0 + r1) / 2) ** 2 + (n.c - (c0 + c1) / 2) ** 2) <= 1.6),
+g AS (SELECT r0, c0, r1, c1, p.r, p.c, corr(a.v, x.v) - corr(b.v, x.v) AS g FROM p JOIN s a ON a.r = r0 AND a.c = c0 JOIN s b ON b.r = r1 AND b.c = c1 AND b.t = a.t JOIN s x ON x.r = p.r AND x.c = p.c AND x.t = a.t GROUP BY ALL)
+SELECT r0, c0, r1, c1, round(exp(-sum(g * g)), 6) AS hnc FROM g GROUP BY ALL""")
+def hnc_gaussian(spark: SparkSession, d: str) -> DataFrame:
+    return _round(graphs.hnc_gaussian(views.movie(spark, d).where("r < 6 AND c < 8"), 1.6))
+
+
+@_query(None)
+def normalized_graph(spark: SparkSession, d: str) -> DataFrame:
+    return _round(graphs.normalized(movies.neighbour_correlation(views.movie(spark, d)), "pearson", 1.5))
+
+
+@_query("SELECT DISTINCT a.roi, c.roi AS other FROM roi_pixels a JOIN roi_pixels m USING (r, c) JOIN roi_pixels n ON n.roi = m.roi JOIN roi_pixels c ON c.r = n.r AND c.c = n.c")
+def overlap_groups(spark: SparkSession, d: str) -> DataFrame:
+    return rois.overlap_groups(views.roi_pixels(spark, d))
+
+
+@_query(f"SELECT roi, x < 2 OR x + width - 1 > floor(nc - 3) - 1 OR y < 1 OR y + height - 1 > floor(nr - 2.5) - 1 AS at_border FROM ({_BOUNDS}), (SELECT max(r) + 1 AS nr, max(c) + 1 AS nc FROM movie)")
+def border_flags(spark: SparkSession, d: str) -> DataFrame:
+    return rois.at_border(views.roi_pixels(spark, d), (1.5, 3.0, 2.5, 0.2), movies.extent(views.movie(spark, d)))
+
+
+@_query(f"SELECT roi FROM ({_BOUNDS}) WHERE least(height / width, width / height) > 0.75 - (roi % 2)")
+def round_rois(spark: SparkSession, d: str) -> DataFrame:
+    pixels = views.roi_pixels(spark, d)
+    odd, even = (rois.keep_round(pixels.where(F.col("roi") % 2 == k), 0.75 - k) for k in (1, 0))
+    return odd.union(even).select("roi").distinct()
+
+
+@_query("SELECT CAST(i AS INT) AS batch, r, c, t, round(v, 6) AS v FROM movie, range(4) u(i) WHERE t >= 3 + floor(i * 59 / 4) AND t < 3 + floor(i * 59 / 4) + 5")
+def batch_frames(spark: SparkSession, d: str) -> DataFrame:
+    return _round(selection.representative_batches(views.movie(spark, d), 4, 5, 3, 2))
+
+
+@_query("SELECT r, c, t, round(v, 6) AS v FROM movie WHERE t >= 4 AND t < 6")
+def late_frames(spark: SparkSession, d: str) -> DataFrame:
+    return _round(selection.representative_batches(views.movie(spark, d).where("t < 8"), 3, 2, 4, 2).drop("batch"))
+
+
+@_query(", m AS (SELECT t, avg(v) AS m FROM movie GROUP BY t) SELECT t, round(m, 6) AS score FROM m ORDER BY m DESC, t LIMIT 9")
+def best_frames(spark: SparkSession, d: str) -> DataFrame:
+    return _round(selection.best_frames(selection.frame_means(views.movie(spark, d)).withColumnRenamed("m", "score"), 9))
+
+
+@_query(None)
+def usual_frames(spark: SparkSession, d: str) -> DataFrame:
+    return _round(selection.usual_frames(views.movie(spark, d), 1.5))
+
+
+@_query(""", m AS (SELECT t, avg(CASE WHEN t < 3 OR t > 61 THEN v - 9 ELSE v END) AS m FROM movie GROUP BY t), s AS (SELECT avg(m) AS a, quantile_cont(m, 0.75) - quantile_cont(m, 0.25) AS q, count(*) AS n FROM m),
+e AS (SELECT t, n FROM m, s WHERE m < a - 5 * q / (2 * 0.6745))
+SELECT CASE WHEN count(*) FILTER (t < n // 2) = max(t) FILTER (t < n // 2) + 1 THEN count(*) FILTER (t < n // 2) ELSE 0 END AS lowest, CASE WHEN count(*) FILTER (t >= n // 2) = max(n) - min(t) FILTER (t >= n // 2) THEN count(*) FILTER (t >= n // 2) ELSE 0 END AS highest FROM e""")
+def empty_ends(spark: SparkSession, d: str) -> DataFrame:
+    dark = F.when((F.col("t") < 3) | (F.col("t") > 61), F.col("v") - 9).otherwise(F.col("v"))
+    return selection.empty_ends(views.movie(spark, d).withColumn("v", dark))
+
+
+@_query("SELECT t, CASE WHEN t < floor(0.7 * (64 - 8)) + 4 THEN 'train' ELSE 'validation' END AS part FROM (SELECT DISTINCT t FROM movie) WHERE t >= 4 AND t < 60 AND NOT (t >= floor(0.7 * (64 - 8)) + 4 AND t < floor(0.7 * (64 - 8)) + 12)")
+def frame_split(spark: SparkSession, d: str) -> DataFrame:
+    return selection.train_and_validation(views.movie(spark, d).select("t").distinct(), 0.7, 4).select("t", "part")
+
+
+@_query(f""", b AS ({_BRIGHT.replace('v, t) AS k', 'v DESC, t) AS k').replace('k > round_even(0.8 * n, 0)', 'k <= floor(0.2 * n)')}) SELECT DISTINCT a.r AS r0, a.c AS c0, b.r AS r1, b.c AS c1, t.t
+  FROM (SELECT DISTINCT r, c FROM movie) a JOIN (SELECT DISTINCT r, c FROM movie) b ON b.r = a.r AND b.c = a.c + 1 JOIN b t ON (t.r = a.r AND t.c = a.c) OR (t.r = b.r AND t.c = b.c)""")
+def bright_frames_of_pairs(spark: SparkSession, d: str) -> DataFrame:
+    pixels = views.movie(spark, d).select("r", "c").distinct()
+    pairs = pixels.select(F.col("r").alias("r0"), F.col("c").alias("c0")).join(pixels.select(F.col("r").alias("r1"), F.col("c").alias("c1")), (F.col("r0") == F.col("r1")) & (F.col("c1") == F.col("c0") + 1))
+    return movies.bright_frames_of_pairs(views.movie(spark, d), pairs, 0.2)
+
+
+@_query("SELECT roi, t, round(f, 6) AS f FROM (SELECT * FROM (SELECT DISTINCT roi FROM roi_pixels), range(64) u(t)) LEFT JOIN (SELECT roi, t, avg(v) AS f FROM movie JOIN roi_pixels USING (r, c) WHERE roi % 5 <> 0 GROUP BY ALL) USING (roi, t)")
+def all_region_traces(spark: SparkSession, d: str) -> DataFrame:
+    pixels = views.roi_pixels(spark, d)
+    out = traces.all_regions_mean(views.movie(spark, d), pixels, pixels.where("roi % 5 = 0").select("roi").distinct())
+    return _round(out.withColumn("f", F.nanvl("f", F.lit(None).cast("double"))))
