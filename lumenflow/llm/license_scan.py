@@ -9,8 +9,9 @@ or outside the sizes, are dropped before any bigram is made; a text is compared
 templates whose sizes allow it.
 
 Defined cases: null and empty texts match nothing; equal texts of one document count once each
-time they occur; rows repeating doc_id are counted together; a null doc_id is a group of its own;
-extra columns are ignored.
+time they occur; rows that repeat doc_id are one document, in which a place (line or paragraph
+number) counts once; a null doc_id is a group of its own; an empty table gives no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -112,4 +113,4 @@ w AS (SELECT doc_id, scope, k, list_filter(string_split(regexp_replace(translate
 g AS (SELECT doc_id, scope, k, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS own FROM w WHERE len(w) > 1),
 m AS (SELECT doc_id, scope, k, license_id, 2.0 * len(list_intersect(own, grams)) / (len(own) + len(grams)) AS dice FROM g, t
   WHERE len(own) * (2 - {threshold}) >= len(grams) * {threshold} - 1e-6 AND len(own) * {threshold} <= len(grams) * (2 - {threshold}) + 1e-6)
-SELECT doc_id, license_id, scope, count(*) AS n_matches, round(max(dice), 6) AS best_dice FROM m WHERE dice >= {threshold} - 1e-9 GROUP BY ALL"""
+SELECT doc_id, license_id, scope, count(DISTINCT k) AS n_matches, round(max(dice), 6) AS best_dice FROM m WHERE dice >= {threshold} - 1e-9 GROUP BY ALL"""

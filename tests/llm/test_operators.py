@@ -533,7 +533,7 @@ def test_license_scan(spark, empty):
     assert not {d for d, _, _ in got} & {4, 5, 6}
     files = spark.createDataFrame([(k, f"Copyright (c) 2020 someone\n\n{t}\n") for k, t in enumerate(license_scan.TEMPLATES.values())] * 2, "doc_id long, text string")
     again = {(r.doc_id, r.license_id): r.n_matches for r in license_scan.scan(files).where("scope = 'line'").collect()}
-    assert all(again[k, name] == 2 for k, name in enumerate(license_scan.TEMPLATES))
+    assert all(again[k, name] == 1 for k, name in enumerate(license_scan.TEMPLATES))
     assert license_scan.scan(empty).count() == 0
 
 
