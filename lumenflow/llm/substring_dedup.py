@@ -7,6 +7,8 @@ are the overlaps of ``size - 1`` words. Documents are read once:
    together, so that equal windows meet in the bucket of their minimizer. Windows that
    repeat within an Arrow batch are resolved on the spot; only the first of them is
    shuffled, so a passage that fills the corpus sends one row per batch, not one per copy.
+   Windows of a minimizer that is very frequent, in a sample of the documents, travel alone,
+   by their own hash: a short run of words within many different texts fills no bucket.
 2. *Paths.* In a bucket every edge that repeats an earlier one gets the coordinates of that
    source. Neighbouring edges with the same source shift form a path without a branch;
    pieces of one path from different buckets are put together by a windowed Spark job.
@@ -36,6 +38,12 @@ from lumenflow.llm._common import materialize, session, text_key
 WINDOW = 20
 #: Text bytes for each shuffle bucket; the number of buckets follows the input.
 BUCKET_BYTES = 6 << 20
+#: A minimizer of more windows than this, a quarter of a bucket, is divided by the windows' own hashes.
+HOT_WINDOWS = 1 << 18
+#: Most minimizers that are so divided; each of the others has less than this part of all windows.
+HOT_KEYS = 100_000
+#: One document in so many is counted to find them.
+SAMPLE_RATE = 64
 _KGRAM = 8
 _NULL_ID = np.iinfo(np.int64).min
 _PIECES = "doc_id long, text_key long, start int, n int, src_id long, src_key long, src_start int"
@@ -86,29 +94,63 @@ def _unpack(blob: bytes) -> dict[str, np.ndarray]:
     return out
 
 
-def _edge_batches(size: int, buckets: int, seed: int):
+def _windows(batch, size: int, seed: int):
+    """All windows of a batch by (doc_id, text): ids and keys of its rows, then row, start, edge and minimizer of
+    each window, whether it has an earlier equal one in the batch, and which that is. None without windows."""
     k = min(_KGRAM, size)
+    words = tx.words_of(batch.column("text"))
+    ids, keys = _ids(batch.column("doc_id")), _ids(batch.column("text_key"))
+    n_words = np.diff(words.first)
+    by_id = np.lexsort((keys, ids))
+    h = tx.hash_words(words, seed)
+    edge = tx.window_hash(h, size, seed)
+    least = tx.sliding_min(tx.window_hash(h, k, seed + 1), size - k + 1)
+    del h
+    per_row = np.maximum(n_words - size + 1, 0)[by_id]
+    total = int(per_row.sum())
+    if not total:
+        return None
+    row = np.repeat(by_id, per_row)
+    start = np.arange(total) - np.repeat(np.cumsum(per_row) - per_row, per_row)
+    at = words.first[row] + start
+    edge, least = edge[at], least[at]
+    return ids, keys, row, start, edge, least, *_repeats(edge, ids[row], start)
+
+
+def _counted(size: int, seed: int):
+    """Windows that a batch would send for each minimizer."""
 
     def run(batches):
         for batch in batches:
-            words = tx.words_of(batch.column("text"))
-            ids, keys = _ids(batch.column("doc_id")), _ids(batch.column("text_key"))
-            n_words = np.diff(words.first)
-            by_id = np.lexsort((keys, ids))
-            h = tx.hash_words(words, seed)
-            edge = tx.window_hash(h, size, seed)
-            least = tx.sliding_min(tx.window_hash(h, k, seed + 1), size - k + 1)
-            del h
-            per_row = np.maximum(n_words - size + 1, 0)[by_id]
-            total = int(per_row.sum())
-            if not total:
+            found = _windows(batch, size, seed)
+            if found is not None:
+                least, flagged = found[5], found[6]
+                minimizers, n = np.unique(least[~flagged], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(minimizers.view(np.int64)), pa.array(n.astype(np.int64))], ["least", "n"])
+
+    return run
+
+
+def hot_minimizers(keyed: DataFrame, size: int, seed: int, windows: int, rate: int = SAMPLE_RATE) -> np.ndarray:
+    """Minimizers of more than ``windows`` windows, sorted, by one document in ``rate``; HOT_KEYS at most, the
+    most frequent first. They say which windows travel alone; results don't depend on them."""
+    some = keyed.where(F.pmod(F.xxhash64("doc_id", "text_key", F.lit(seed)), F.lit(rate)) == 0)
+    counts = some.mapInArrow(_counted(size, seed), "least long, n long").groupBy("least").agg(F.sum("n").alias("n"))
+    rows = counts.where(F.col("n") * rate > windows).orderBy(F.desc("n"), "least").limit(HOT_KEYS).collect()
+    return np.sort(np.array([r["least"] for r in rows], np.int64).view(np.uint64))
+
+
+def _edge_batches(size: int, buckets: int, seed: int, hot: np.ndarray):
+    def run(batches):
+        for batch in batches:
+            found = _windows(batch, size, seed)
+            if found is None:
                 continue
-            # window number -> row and start, rows by (doc_id, text)
-            row = np.repeat(by_id, per_row)
-            start = np.arange(total) - np.repeat(np.cumsum(per_row) - per_row, per_row)
-            at = words.first[row] + start
-            edge, least = edge[at], least[at]
-            flagged, source = _repeats(edge, ids[row], start)
+            ids, keys, row, start, edge, least, flagged, source = found
+            total = len(row)
+            if len(hot):
+                # a window of a frequent minimizer goes by its own hash
+                least = np.where(hot[np.minimum(np.searchsorted(hot, least), len(hot) - 1)] == least, edge, least)
             turn = np.ones(total, bool)
             turn[1:] = (row[1:] != row[:-1]) | (least[1:] != least[:-1])
             p_at, p_n = _paths(flagged, row, row, start, source)
@@ -181,13 +223,14 @@ def _resolve(table: pa.Table) -> pa.Table:
     return pa.table(columns, names=[x.split()[0] for x in _PIECES.split(", ")])
 
 
-def repeated_spans(docs: DataFrame, size: int = WINDOW, seed: int = 0) -> DataFrame:
+def repeated_spans(docs: DataFrame, size: int = WINDOW, seed: int = 0, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """Maximal paths of windows that also start earlier: doc_id, text_key, start, n (windows), src_id, src_key, src_start."""
     session(docs)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), "text")
     total = docs.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(8, -(-int(total) // BUCKET_BYTES))
-    pieces = keyed.mapInArrow(_edge_batches(size, buckets, seed), "bucket int, blob binary").groupBy("bucket").applyInArrow(_resolve, _PIECES)
+    hot = hot_minimizers(keyed, size, seed, hot_windows)
+    pieces = keyed.mapInArrow(_edge_batches(size, buckets, seed, hot), "bucket int, blob binary").groupBy("bucket").applyInArrow(_resolve, _PIECES)
     path = ["doc_id", "text_key", "src_id", "src_key", "shift"]
     w = Window.partitionBy(*path).orderBy("start")
     linked = pieces.withColumn("shift", F.col("src_start") - F.col("start")).withColumn("turn", (F.col("start") != F.lag(F.col("start") + F.col("n")).over(w)).cast("int"))
