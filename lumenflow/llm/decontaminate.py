@@ -9,8 +9,8 @@ Items shorter than the window are one window of their own length; each such leng
 are fewer of them than words in a window) is fingerprinted with a smaller k and run.
 
 Before the join, documents keep only fingerprints that fall on a set bit of a map of the
-benchmark's fingerprints; the map has a fixed size and only spares work. The benchmark side
-is broadcast if its fingerprints, which are counted, are few; else the join is salted by
+benchmark's fingerprints; the map's size follows their number, up to 1 MB, and it only spares
+work. The benchmark side is broadcast if its fingerprints and their bytes, which are counted, are few; else the join is salted by
 document, as a benchmark passage may occur in a large part of the corpus.
 
 Defined cases: null and empty texts have no words; rows that repeat doc_id and text are one
@@ -27,10 +27,10 @@ from lumenflow.llm._common import materialize, text_key
 
 WINDOW = 13
 KGRAM = 5
-#: Bits of the map of benchmark fingerprints (512 longs).
-MAP_BITS = 1 << 15
-#: Benchmark fingerprints up to this number are broadcast.
-BROADCAST_ROWS = 200_000
+#: Bits of the map for each benchmark fingerprint, and the least and most bits of a map (512 and 131,072 longs).
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 15, 1 << 23
+#: Benchmark fingerprints up to this number are broadcast, if the words around them are no more bytes than that.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 SALTS = 32
 
 #: The separators of the contract's words.
@@ -73,12 +73,9 @@ def _places(w: Column, h: Column, chosen: Column, length: int) -> Column:
     return F.transform(F.filter(all_at, lambda x: F.array_contains(chosen, x["h"])), lambda x: F.struct(F.lit(length).alias("length"), x["h"].alias("h"), x["at"].alias("at"), around(x["at"]).alias("around")))
 
 
-def _bit(h: Column) -> Column:
-    return F.pmod(h, F.lit(MAP_BITS)).cast("int")
-
-
-def _one_bit(h: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), _bit(h).bitwiseAND(F.lit(63)))
+def map_bits(fingerprints: int) -> int:
+    """The power of two of at least BITS_EACH bits for each fingerprint, within the bounds."""
+    return min(max(1 << (BITS_EACH * fingerprints - 1).bit_length(), LEAST_BITS), MOST_BITS)
 
 
 def benchmark_prints(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -93,13 +90,15 @@ def benchmark_prints(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return prints
 
 
-def _may_hit(prints: DataFrame, length: int):
-    """A test of fingerprints against a map of the benchmark's, MAP_BITS bits as longs."""
-    bits = prints.where(F.col("length") == length).select((_bit(F.col("h")) / 64).cast("int").alias("word"), _one_bit(F.col("h")).alias("bit"))
-    rows = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()  # at most MAP_BITS / 64 rows
-    held = dict((r["word"], r["bits"]) for r in rows)
-    table = F.lit([held.get(k, 0) for k in range(MAP_BITS // 64)]).cast("array<bigint>")
-    return lambda h: F.get(table, F.shiftright(_bit(h), 6)).bitwiseAND(_one_bit(h)) != 0
+def _may_hit(prints: DataFrame, length: int, bits: int):
+    """A test of fingerprints against a map of the benchmark's, ``bits`` bits as longs."""
+    place = lambda h: F.pmod(h, F.lit(bits)).cast("int")
+    one = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), place(h).bitwiseAND(F.lit(63)))
+    own = prints.where(F.col("length") == length).select(F.shiftright(place(F.col("h")), 6).alias("word"), one(F.col("h")).alias("bit"))
+    held = {r["word"]: r["bits"] for r in own.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()}  # at most bits / 64 rows
+    # one text literal, which the optimizer folds into an array: a literal for each of many longs is slow to plan
+    table = F.split(F.lit(",".join(str(held.get(k, 0)) for k in range(bits // 64))), ",").cast("array<bigint>")
+    return lambda h: F.get(table, F.shiftright(place(h), 6)).bitwiseAND(one(h)) != 0
 
 
 def _run(flags: Column) -> Column:
@@ -110,19 +109,20 @@ def _run(flags: Column) -> Column:
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, text_key, n_words, n_hit, n_items, item_ids (sorted strings) of every document."""
     prints = materialize(benchmark_prints(items, window))
-    lengths = [r["length"] for r in prints.select("length").distinct().collect()]  # at most ``window`` values
+    of_words = F.octet_length(F.concat_ws(" ", "around"))
+    found = {r["length"]: r for r in prints.groupBy("length").agg(F.count("*").alias("n"), F.sum(of_words).alias("bytes")).collect()}  # at most ``window`` rows
     cut = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), words(F.col("text")).alias("w"))
     hits = []
-    for length in sorted(lengths):
+    for length in sorted(found):
         cut = cut.withColumn(f"h{length}", _kgrams(F.col("w"), length))
-        cut = cut.withColumn(f"c{length}", F.filter(_winnow(F.col(f"h{length}"), length), _may_hit(prints, length)))
+        cut = cut.withColumn(f"c{length}", F.filter(_winnow(F.col(f"h{length}"), length), _may_hit(prints, length, map_bits(found[length]["n"]))))
         hits.append(F.when(F.size(f"c{length}") > 0, _places(F.col("w"), F.col(f"h{length}"), F.col(f"c{length}"), length)))
     none = F.array().cast("array<struct<length:int,h:bigint,at:int,around:array<string>>>")
     flat = F.flatten(F.array(*[F.coalesce(x, none) for x in hits])) if hits else none
     base = materialize(cut.select("doc_id", "text_key", F.size("w").cast("long").alias("n_words"), flat.alias("hits")))
     asked = base.select("doc_id", "text_key", F.explode("hits").alias("p")).select("doc_id", "text_key", "p.*")
     held = prints.select("length", "h", F.col("around").alias("item_around"), "item_id")
-    if prints.count() <= BROADCAST_ROWS:
+    if sum(r["n"] for r in found.values()) <= BROADCAST_ROWS and sum(r["bytes"] for r in found.values()) <= BROADCAST_BYTES:
         met = asked.join(F.broadcast(held), ["length", "h"])
     else:
         salted = held.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

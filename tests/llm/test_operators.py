@@ -74,6 +74,21 @@ def test_substring_dedup(docs, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_substring_dedup_divides_frequent_minimizers(docs, monkeypatch):
+    """With every minimizer divided, over many small batches, all windows of one document each, the result is the same."""
+    whole = sorted(substring_dedup.remove_repeats(docs).drop("kept").collect(), key=str)
+    keyed = docs.select("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_key"), "text")
+    hot = substring_dedup.hot_minimizers(keyed, 20, 0, 0, 1)
+    assert len(hot) > 500 and (np.diff(hot.astype(object)) > 0).all()
+    some = substring_dedup.hot_minimizers(keyed, 20, 0, 12, 1)
+    assert 0 < len(some) < len(hot) and set(some.tolist()) < set(hot.tolist())
+    monkeypatch.setattr(substring_dedup, "hot_minimizers", lambda *_: hot)
+    single = docs.repartition(12)
+    assert sorted(substring_dedup.remove_repeats(single).drop("kept").collect(), key=str) == whole
+    monkeypatch.setattr(substring_dedup, "hot_minimizers", lambda *_: some)
+    assert sorted(substring_dedup.remove_repeats(single).drop("kept").collect(), key=str) == whole
+
+
 def test_line_dedup(docs, empty):
     want, held = set(), []
     for d, text in _rows(docs):
@@ -257,6 +272,22 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.drop_contaminated(docs, items).columns == docs.columns
 
 
+def test_decontamination_maps(spark, docs, monkeypatch):
+    """The size of the map and the way of joining leave the result as it is."""
+    assert [decontaminate.map_bits(n) for n in (0, 1, 2048, 2049, 10**6, 10**9)] == [1 << 15, 1 << 15, 1 << 15, 1 << 16, 1 << 23, 1 << 23]
+    _, bench = _texts()
+    items = spark.createDataFrame([(1, bench, 0), (10, "one", 0), (4, "a b", 0), (5, " ".join(["a"] * 20), 0)], "item_id long, text string, doc_id int")
+    report = lambda: sorted(decontaminate.contamination(docs, items).collect(), key=str)
+    whole = report()
+    monkeypatch.setattr(decontaminate, "LEAST_BITS", 1 << 20)
+    assert report() == whole
+    monkeypatch.setattr(decontaminate, "LEAST_BITS", 64)
+    monkeypatch.setattr(decontaminate, "MOST_BITS", 64)
+    assert report() == whole
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 10)
+    assert report() == whole
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
