@@ -217,3 +217,52 @@ def events(x: np.ndarray, gamma: float, least: float, finest: float = 1e-4) -> t
         else:
             hi, found = penalty, (sizes, penalty)
     return found if found[0].any() or kept is None else kept
+
+
+def whitened(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``x`` without mean and correlation, and the symmetric matrix that does it (the inverse root of the covariance)."""
+    x = x - x.mean(axis=1, keepdims=True)
+    spread, axes = np.linalg.eigh(x @ x.T / x.shape[1])
+    root = axes / np.sqrt(spread) @ axes.T
+    return root @ x, root
+
+
+def _orthonormal(w: np.ndarray) -> np.ndarray:
+    spread, axes = np.linalg.eigh(w @ w.T)
+    return axes / np.sqrt(spread) @ axes.T @ w
+
+
+def independent_rows(x: np.ndarray, rng: np.random.RandomState, steps: int = 10_000, close: float = 1e-4) -> np.ndarray:
+    """The rotation of whitened rows towards independence: Hyvarinen's fixed point with tanh, all rows at a time."""
+    w = _orthonormal(rng.normal(size=(len(x), len(x))))
+    for _ in range(steps):
+        g = np.tanh(w @ x)
+        new = _orthonormal(g @ x.T / x.shape[1] - (1 - g * g).mean(axis=1)[:, None] * w)
+        moved = np.abs(np.abs((new * w).sum(axis=1)) - 1).max()
+        w = new
+        if moved < close:
+            break
+    return w
+
+
+def unmixed(x: np.ndarray, tries: int, seed: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Sources of two mixed traces, the mixing matrix (rows sum to 1), and whether its off-diagonal parts lie within 0 and 0.3.
+
+    Up to ``tries`` fits from one random stream are judged; if none is good, the one after them counts. The source that is
+    closest to the first trace comes first; where the order is turned, so are the matrix's columns.
+    """
+    if x.shape[1] < 3 or np.linalg.matrix_rank(x - x.mean(axis=1, keepdims=True)) < 2:
+        return x, np.eye(2), False
+    white, root = whitened(x)
+    rng = np.random.RandomState(seed)
+    for k in range(tries + 1):
+        raw = np.linalg.inv(root) @ np.linalg.pinv(independent_rows(white, rng))
+        mixing = raw * np.linalg.solve(raw, np.ones(2))
+        done = k < tries and bool(((0 <= mixing[[0, 1], [1, 0]]) & (mixing[[0, 1], [1, 0]] <= 0.3)).all())
+        if done:
+            break
+    out = np.linalg.solve(mixing, x)
+    like = np.abs(np.corrcoef(np.vstack([out[:1], x]))[0, 1:])
+    if like[0] <= like[1]:
+        out, mixing = out[::-1], mixing[:, ::-1]
+    return out, mixing, done

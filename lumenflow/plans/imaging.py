@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenflow.functions.scalars import unmix
-from lumenflow.operators import analysis, checks, graphs, images, movies, rois, selection, signals, traces
+from lumenflow.operators import analysis, checks, decrosstalk, graphs, images, movies, planes, rois, selection, signals, traces
 from lumenflow.sources import adapters as views
 
 QUERIES, SQL = {}, {}
@@ -491,3 +491,114 @@ def all_region_traces(spark: SparkSession, d: str) -> DataFrame:
     pixels = views.roi_pixels(spark, d)
     out = traces.all_regions_mean(views.movie(spark, d), pixels, pixels.where("roi % 5 = 0").select("roi").distinct())
     return _round(out.withColumn("f", F.nanvl("f", F.lit(None).cast("double"))))
+
+
+def _two_traces(spark: SparkSession, d: str) -> DataFrame:
+    """roi, t, signal, crosstalk: each region's pixels in the movie and in a movie of another plane."""
+    movie = views.movie(spark, d)
+    both = movie.withColumn("plane", F.lit(0)).union(movie.withColumn("v", F.col("v") * F.col("v") + F.col("t") / 64).withColumn("plane", F.lit(1)))
+    return decrosstalk.paired_traces(both, views.roi_pixels(spark, d).withColumn("plane", F.col("roi") % 2))
+
+
+@_query(""", m AS (SELECT r, c, t, v, 0 AS plane FROM movie UNION ALL SELECT r, c, t, v * v + t / 64, 1 FROM movie)
+SELECT p.roi % 2 AS plane, roi, t, round(avg(v) FILTER (m.plane = p.roi % 2), 6) AS signal, round(avg(v) FILTER (m.plane <> p.roi % 2), 6) AS crosstalk FROM m JOIN roi_pixels p USING (r, c) GROUP BY ALL""")
+def paired_traces(spark: SparkSession, d: str) -> DataFrame:
+    return _round(_two_traces(spark, d))
+
+
+@_query(None)
+def whitened_traces(spark: SparkSession, d: str) -> DataFrame:
+    return decrosstalk.whitened(_two_traces(spark, d))
+
+
+@_query(None)
+def unmixed_traces(spark: SparkSession, d: str) -> DataFrame:
+    return decrosstalk.unmixed(_two_traces(spark, d))
+
+
+@_query(""", l AS (SELECT roi, s, CASE s WHEN 0 THEN roi % 3 = 0 WHEN 1 THEN roi % 5 = 0 WHEN 2 THEN roi % 4 = 1 WHEN 3 THEN roi % 7 = 1 ELSE roi % 2 = 0 END AS l FROM (SELECT DISTINCT roi FROM roi_pixels), range(5) x(s)),
+w AS (SELECT roi, bool_or(l AND s = 0) AS a, bool_or(l AND s = 1) AS b, bool_or(l AND s = 2) AS c, bool_or(l AND s = 3) AS d, bool_or(l AND s = 4) AS ghost FROM l GROUP BY roi)
+SELECT roi, CASE WHEN a THEN b ELSE true END AS raw, NOT (a OR b) AS raw_active, NOT (a OR b) AND (NOT c OR d) AS unmixed, NOT (a OR b OR c OR d) AS unmixed_active, ghost FROM w""")
+def stage_flags(spark: SparkSession, d: str) -> DataFrame:
+    regions, k = views.roi_pixels(spark, d).select("roi").distinct(), F.col("roi")
+    lists = {"raw": k % 3 == 0, "raw_active": k % 5 == 0, "unmixed": k % 4 == 1, "unmixed_active": k % 7 == 1, "ghost": k % 2 == 0}
+    on = F.filter(F.array(*(F.when(rule, F.lit(name)) for name, rule in lists.items())), lambda x: x.isNotNull())
+    return decrosstalk.stage_flags(regions, regions.select("roi", F.explode(on).alias("stage")))
+
+
+@_query("SELECT roi, t, CASE WHEN roi % 4 <> 0 THEN round(f, 6) END AS f FROM (SELECT roi, t, avg(v) AS f FROM movie JOIN roi_pixels USING (r, c) GROUP BY ALL)")
+def traces_with_invalid(spark: SparkSession, d: str) -> DataFrame:
+    pixels = views.roi_pixels(spark, d)
+    whole = traces.masked_mean(views.movie(spark, d), pixels.where("roi % 4 <> 0"))
+    out = decrosstalk.with_invalid(whole, pixels.join(views.movie(spark, d), ["r", "c"], "left_semi"))
+    return _round(out.withColumn("f", F.nanvl("f", F.lit(None).cast("double"))))
+
+
+@_query("SELECT roi AS region, CAST(1.5 * roi AS DOUBLE) AS x, CAST(2 AS DOUBLE) AS y, CAST(10 AS DOUBLE) AS width, CAST(20 AS DOUBLE) AS height, 5 AS columns, 9 AS rows FROM roi_pixels GROUP BY roi")
+def scan_regions(spark: SparkSession, d: str) -> DataFrame:
+    fields = views.roi_pixels(spark, d).select(F.col("roi").alias("region"), (1.5 * F.col("roi")).alias("x"), F.lit(2.0).alias("y"), F.lit(10.0).alias("width"), F.lit(20.0).alias("height"), F.lit(5).alias("columns"), F.lit(9).alias("rows"))
+    return _round(planes.scan_regions(fields))
+
+
+@_query(""", size AS (SELECT max(r) + 1 AS n FROM movie),
+tiles AS (SELECT 0 AS region, r, c, v FROM movie WHERE t = 3 AND r < 7 UNION ALL SELECT 1, r - n + 7 + 2, c + 24, v FROM movie, size WHERE t = 3 AND r >= n - 7),
+seen AS (SELECT r, c, arg_max(v, region) AS v FROM tiles GROUP BY r, c)
+SELECT CAST(a AS INT) AS r, CAST(b AS INT) AS c, round(coalesce(v, 0), 6) AS v FROM range(7) y(a) CROSS JOIN range(64) x(b) LEFT JOIN seen ON seen.r = a AND seen.c = b""")
+def stitched_tiles(spark: SparkSession, d: str) -> DataFrame:
+    regions = spark.createDataFrame([(0, 10.0, 0.0, 20.0, 14.0, 32, 7), (1, 25.0, 4.0, 20.0, 14.0, 32, 7)], "region int, x double, y double, width double, height double, columns int, rows int")
+    return _round(planes.stitched(views.movie(spark, d).where("t = 3").drop("t"), regions))
+
+
+@_query("SELECT r % 2 AS region, CAST(1.5 + 2 * (t % 2) + 10 * (r % 2) AS DOUBLE) AS z, t // 2 AS n, r, c, round(v, 6) AS v FROM movie")
+def stack_pages(spark: SparkSession, d: str) -> DataFrame:
+    pages = views.movie(spark, d).select((F.col("r") % 2).cast("string").alias("path"), F.col("t").alias("page"), "r", "c", "v")
+    modes = spark.createDataFrame([(str(p), g, int(p != g)) for p in (0, 1) for g in (0, 1)], "path string, region int, mode int")
+    depths = spark.createDataFrame([(str(p), s, float(k + 1 + 2 * s + 10 * p)) for p in (0, 1) for s in (0, 1) for k in (0, 1)], "path string, side int, z double")
+    return _round(planes.stack_pages(pages, modes, depths))
+
+
+@_query(""", whole AS (SELECT r, c, t, floor(v * 4) AS v FROM movie), n AS (SELECT r, c, v, count(*) AS n FROM whole GROUP BY ALL),
+m AS (SELECT r, c, v FROM n QUALIFY row_number() OVER (PARTITION BY r, c ORDER BY n DESC, v) = 1)
+SELECT r, c, CAST(trunc(avg(w.v)) AS INT) AS mean, CAST(trunc(stddev_pop(w.v) FILTER (t % 8 = 0)) AS INT) AS deviation, any_value(m.v) AS mode FROM whole w JOIN m USING (r, c) GROUP BY r, c""")
+def pixel_figures(spark: SparkSession, d: str) -> DataFrame:
+    return planes.pixel_figures(views.movie(spark, d).withColumn("v", F.floor(F.col("v") * 4).cast("double")))
+
+
+@_query("SELECT r, c, t, CASE WHEN v <= 0 THEN 0 ELSE CAST(trunc(1000 * v) AS INT) END AS v FROM movie")
+def whole_positive(spark: SparkSession, d: str) -> DataFrame:
+    return planes.whole_positive(views.movie(spark, d).withColumn("v", 1000 * F.col("v")))
+
+
+@_query("SELECT roi, r, c FROM roi_pixels")
+def global_pixels(spark: SparkSession, d: str) -> DataFrame:
+    pixels = views.roi_pixels(spark, d)
+    corner = pixels.groupBy("roi").agg(F.min("c").alias("x"), F.min("r").alias("y"))
+    masks = pixels.join(corner, "roi").select("roi", (F.col("r") - F.col("y")).alias("r"), (F.col("c") - F.col("x")).alias("c"))
+    return planes.global_pixels(masks, corner)
+
+
+@_query(""", i AS (SELECT r, c, v FROM movie WHERE t = 5 AND r >= 2 AND r < (SELECT max(r) FROM movie) - 1 AND c BETWEEN 1 AND 27),
+g AS (SELECT a.r, a.c, (coalesce(d.v, a.v) - coalesce(u.v, a.v)) / (CASE WHEN d.v IS NULL OR u.v IS NULL THEN 1 ELSE 2 END) AS gy, (coalesce(e.v, a.v) - coalesce(w.v, a.v)) / (CASE WHEN e.v IS NULL OR w.v IS NULL THEN 1 ELSE 2 END) AS gx
+  FROM i a LEFT JOIN i u ON u.r = a.r - 1 AND u.c = a.c LEFT JOIN i d ON d.r = a.r + 1 AND d.c = a.c LEFT JOIN i w ON w.r = a.r AND w.c = a.c - 1 LEFT JOIN i e ON e.r = a.r AND e.c = a.c + 1)
+SELECT round(avg(gy * gy + gx * gx), 6) AS acutance FROM g""")
+def cropped_acutance(spark: SparkSession, d: str) -> DataFrame:
+    return _round(planes.cropped_acutance(views.movie(spark, d).where("t = 5").drop("t"), 2, 2, 1, 4))
+
+
+@_query("SELECT r, c, t, CAST(round_even(255 * (least(greatest(v, -0.1), 0.15) + 0.1) / 0.25, 0) AS INT) AS v FROM movie WHERE r BETWEEN 3 AND 7 AND c BETWEEN 4 AND 13")
+def scaled_window(spark: SparkSession, d: str) -> DataFrame:
+    return planes.scaled_window(views.movie(spark, d), (3, 4), (5, 10), limits=(-0.1, 0.15))
+
+
+@_query(""", e AS (SELECT DISTINCT r, c FROM roi_pixels p WHERE (SELECT count(*) FROM roi_pixels q WHERE q.roi = p.roi AND abs(q.r - p.r) + abs(q.c - p.c) <= 1) < 5)
+SELECT m.r, m.c, CASE WHEN e.r IS NULL THEN 10 ELSE 255 END AS red, CASE WHEN e.r IS NULL THEN 20 ELSE 0 END AS green, CASE WHEN e.r IS NULL THEN 30 ELSE 7 END AS blue FROM (SELECT r, c FROM movie WHERE t = 0) m LEFT JOIN e ON e.r = m.r AND e.c = m.c""")
+def outlined_regions(spark: SparkSession, d: str) -> DataFrame:
+    image = views.movie(spark, d).where("t = 0").select("r", "c", F.lit(10).alias("red"), F.lit(20).alias("green"), F.lit(30).alias("blue"))
+    return planes.outlined(image, views.roi_pixels(spark, d), (255, 0, 7), 1.0)
+
+
+@_query("SELECT roi, CASE WHEN roi % 3 < 2 THEN 'g' || (roi % 3) END AS genotype, CAST(CASE roi % 3 WHEN 0 THEN 0.7 WHEN 1 THEN 0.55 ELSE 0.5 END AS DOUBLE) AS decay, roi % 3 < 2 AND roi % 2 = 0 AS overridden FROM (SELECT DISTINCT roi FROM roi_pixels)")
+def decay_times(spark: SparkSession, d: str) -> DataFrame:
+    kind, given = F.col("roi") % 3, F.when((F.col("roi") % 3 == 2) | (F.col("roi") % 2 == 0), F.lit(0.5))
+    sessions = views.roi_pixels(spark, d).select("roi").distinct().select("roi", F.when(kind < 2, F.concat(F.lit("g"), kind.cast("string"))).alias("genotype"), given.alias("decay"))
+    return planes.decay_times(sessions, spark.createDataFrame([("g0", 0.7), ("g1", 0.55)], "genotype string, decay double")).select("roi", "genotype", "decay", "overridden")
