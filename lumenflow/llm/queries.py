@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.llm import chat, decontaminate, license_scan, line_dedup, packing, secrets, simhash, substring_dedup, topk, toxicity
+from lumenflow.llm import chat, decontaminate, license_scan, line_dedup, merkle, packing, secrets, simhash, substring_dedup, topk, toxicity
 from lumenflow.llm._common import table
 
 
@@ -52,7 +52,14 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_benchmark_decontamination, op3_substring_dedup, op4_line_dedup, op5_harmonic_packing, op6_voronoi_topk, op7_secret_scan, op8_toxicity, op9_chat_formatting, op10_simhash_near_dedup)}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hit = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    proof = F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256")
+    return merkle.report(table(spark, sf_dir, "documents"), text).select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_benchmark_decontamination, op3_substring_dedup, op4_line_dedup, op5_harmonic_packing, op6_voronoi_topk, op7_secret_scan, op8_toxicity, op9_chat_formatting, op10_simhash_near_dedup, op11_merkle_manifest)}
 
 _WORDS2 = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 _WORDS3 = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -61,6 +68,7 @@ SQL = {
     "op1_license_scan": license_scan.sql(),
     "op6_voronoi_topk": topk.SQL,
     "op9_chat_formatting": chat.SQL,
+    "op11_merkle_manifest": merkle.SQL,
     "op2_benchmark_decontamination": rf"""
 WITH d AS (SELECT doc_id, {_WORDS2} AS w FROM documents),
 i AS (SELECT item_id, w, least(len(w), 13) AS n FROM (SELECT item_id, {_WORDS2} AS w FROM benchmark) WHERE len(w) > 0),
