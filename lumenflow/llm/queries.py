@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.llm import bpe, chat, decontaminate, license_scan, line_dedup, merkle, packing, secrets, simhash, substring_dedup, topk, toxicity
-from lumenflow.llm._common import table
+from lumenflow.llm import align, bpe, chat, decontaminate, license_scan, line_dedup, merkle, packing, secrets, simhash, substring_dedup, topk, toxicity
+from lumenflow.llm._common import store, table
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +65,13 @@ def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", n, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_benchmark_decontamination, op3_substring_dedup, op4_line_dedup, op5_harmonic_packing, op6_voronoi_topk, op7_secret_scan, op8_toxicity, op9_chat_formatting, op10_simhash_near_dedup, op11_merkle_manifest, op12_bpe_codec)}
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sha = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    aligned = store(align.align(table(spark, sf_dir, "documents")).select("row", "doc_id", "n_a", "n_b", "n_groups", "n_links", sha, "a", "b", "n"))
+    return align.scored(aligned).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_benchmark_decontamination, op3_substring_dedup, op4_line_dedup, op5_harmonic_packing, op6_voronoi_topk, op7_secret_scan, op8_toxicity, op9_chat_formatting, op10_simhash_near_dedup, op11_merkle_manifest, op12_bpe_codec, op13_token_alignment)}
 
 _WORDS2 = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 _WORDS3 = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
