@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenflow.sources.scratch import written
+
 
 def representative_batches(movie: DataFrame, batches: int, size: int, start: int = 0, end: int = 0) -> DataFrame:
     """batch, and the movie's rows of ``batches`` runs of ``size`` frames, evenly placed between the trimmed ends. A movie
@@ -21,19 +23,21 @@ def frame_means(movie: DataFrame) -> DataFrame:
     return movie.groupBy("t").agg(F.avg("v").alias("m"))
 
 
-def usual_frames(movie: DataFrame, sigmas: float = 3.0) -> DataFrame:
-    """Frames whose mean stays when means beyond ``sigmas`` deviations are cut again and again: t, m."""
-    kept = frame_means(movie).cache()
-    n = kept.count()
+def clipped_means(means: DataFrame, sigmas: float = 3.0) -> DataFrame:
+    """Rows (t, m) that stay when those beyond ``sigmas`` deviations are cut again and again; equal means all stay. A round adds a filter
+    on two numbers, which Spark joins to one."""
+    kept, n = means, -1
     while True:
-        limits = kept.agg(F.avg("m").alias("a"), F.stddev_pop("m").alias("s")).first()
-        if not n or not limits["s"]:
-            return kept
-        kept = kept.where((F.col("m") >= limits["a"] - sigmas * limits["s"]) & (F.col("m") <= limits["a"] + sigmas * limits["s"]))
-        left = kept.count()
-        if left == n:
+        figures = kept.agg(F.count("m").alias("n"), F.avg("m").alias("a"), F.stddev_pop("m").alias("s")).first()
+        if figures["n"] == n or not figures["s"]:
             return kept
-        n = left
+        n, reach = figures["n"], sigmas * figures["s"]
+        kept = kept.where(F.col("m").between(figures["a"] - reach, figures["a"] + reach))
+
+
+def usual_frames(movie: DataFrame, sigmas: float = 3.0) -> DataFrame:
+    """Frames whose mean stays when means beyond ``sigmas`` deviations are cut again and again: t, m."""
+    return clipped_means(written(frame_means(movie)), sigmas)
 
 
 def empty_ends(movie: DataFrame, sigmas: float = 5.0) -> DataFrame:
