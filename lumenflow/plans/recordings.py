@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.operators import registration
+from lumenflow.operators import dewarp, registration
 from lumenflow.operators.movies import extent
 from lumenflow.sources import adapters as views
 
@@ -41,3 +41,50 @@ def registered_shifts(spark: SparkSession, d: str) -> DataFrame:
     shifts = registration.register(_drifting(spark, d), registration.Settings(most=0.4, sigma=0.5))
     start = F.broadcast(shifts.where("t = 0").select(F.col("dy").alias("dy0"), F.col("dx").alias("dx0")))
     return shifts.join(start).select(F.col("t").cast("int").alias("t"), (F.col("dy") - F.col("dy0")).alias("dy"), (F.col("dx") - F.col("dx0")).alias("dx"))
+
+
+_BRIGHT = "SELECT r, c, t, floor((v + 1) * 1000) AS v FROM movie"
+_WARPED = """, m AS (BRIGHT),
+side AS (SELECT * FROM (VALUES ('l', 10.0, 4.5), ('r', 8.0, 3.0)) s(side, a, b)),
+x AS (SELECT side, CAST(j AS INT) AS j, a, CASE WHEN j < a THEN j - trunc(b * (1.0 - sin((j / (a * 3.0) + 1.0 / 6.0) * 3.14159265)) + 0.5) ELSE 0 END AS x,
+  CASE WHEN j < a THEN j + 0.5 - b * (1.0 - sin(((j + 0.5) / (a * 3.0) + 1.0 / 6.0) * 3.14159265)) ELSE 0 END AS hi FROM (SELECT side, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b FROM side), range(16) r(j)),
+y AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY side ORDER BY j), 0) AS lo, lead(hi) OVER (PARTITION BY side ORDER BY j) AS after FROM x),
+g AS (SELECT side, min(j) AS margin, arg_min(after - hi, j) AS gain FROM y WHERE x >= 0 AND hi >= 0 GROUP BY side),
+e AS (SELECT side, j, margin, CASE WHEN NOISE > 0 THEN 1 ELSE gain END AS gain, x, lo, hi, floor(lo) AS s, floor(hi) AS e FROM y JOIN g USING (side) WHERE j < a),
+parts AS (SELECT side, j, s AS i, s + 1 - lo AS w FROM e WHERE x >= 0 AND lo >= 0 UNION ALL SELECT side, j, e, hi - e FROM e WHERE x >= 0 AND lo >= 0
+  UNION ALL SELECT side, j, s + 1, 1 FROM e WHERE x >= 0 AND lo >= 0 AND e - s > 1 UNION ALL SELECT side, j, x, gain FROM e WHERE x >= 0 AND lo < 0 UNION ALL SELECT side, j, j, 0 FROM e WHERE x < 0),
+fig AS (SELECT r, c, CAST(trunc(avg(v)) AS BIGINT) AS level, CAST(trunc(stddev_pop(v) FILTER (t % 8 = 0)) AS BIGINT) AS dev FROM m GROUP BY r, c),
+cm AS (SELECT c, arg_min(level, (-n, level)) AS level FROM (SELECT c, level, count(*) AS n FROM fig GROUP BY c, level) GROUP BY c),
+cd AS (SELECT c, arg_min(dev, (-n, dev)) AS dev FROM (SELECT c, dev, count(*) AS n FROM fig GROUP BY c, dev) GROUP BY c),
+rows AS (SELECT r, level, dev FROM (SELECT DISTINCT r FROM m) d JOIN cm ON cm.c = d.r % 32 JOIN cd ON cd.c = d.r % 32),
+edge AS (SELECT m.r, m.t, p.side, p.j, sum(p.w * m.v) AS v FROM m JOIN parts p ON m.c = CASE p.side WHEN 'l' THEN p.i ELSE 31 - p.i END GROUP BY ALL),
+val AS (SELECT f.r, f.t, e.side, e.j, e.margin, CASE WHEN x < 0 THEN level * gain WHEN lo < 0 THEN v ELSE least(greatest(
+    CASE NOISE WHEN 1 THEN v - 2 * dev * (hi - lo - 1) WHEN 2 THEN v / (hi - lo) - dev * (hi - lo - 1) WHEN 3 THEN v / (hi - lo) ELSE v END, 0), 65535) END AS v
+  FROM (SELECT DISTINCT r, t FROM m) f CROSS JOIN e JOIN rows USING (r) JOIN edge ON edge.r = f.r AND edge.t = f.t AND edge.side = e.side AND edge.j = e.j),
+whole AS (SELECT r, CASE side WHEN 'l' THEN j ELSE 31 - j END AS c, t, v FROM val WHERE j >= margin UNION ALL SELECT r, c, t, v FROM m WHERE c BETWEEN 10 AND 23)
+SELECT r, CAST(c - (SELECT margin FROM g WHERE side = 'l') AS INT) AS c, t, CAST(floor(round(v, 9)) AS INT) AS v FROM whole""".replace("BRIGHT", _BRIGHT)
+
+
+def _dewarped(spark: SparkSession, d: str, noise: int) -> DataFrame:
+    movie = views.movie(spark, d).withColumn("v", F.floor((F.col("v") + 1) * 1000).cast("double"))
+    return dewarp.dewarped(movie, (10.0, 4.5), (8.0, 3.0), noise, views.WIDTH)
+
+
+@_query(_WARPED.replace("NOISE", "0"))
+def dewarped_movie(spark: SparkSession, d: str) -> DataFrame:
+    return _dewarped(spark, d, 0)
+
+
+@_query(_WARPED.replace("NOISE", "1"))
+def dewarped_less_noise(spark: SparkSession, d: str) -> DataFrame:
+    return _dewarped(spark, d, 1)
+
+
+@_query(_WARPED.replace("NOISE", "2"))
+def dewarped_scaled_less_noise(spark: SparkSession, d: str) -> DataFrame:
+    return _dewarped(spark, d, 2)
+
+
+@_query(_WARPED.replace("NOISE", "3"))
+def dewarped_scaled(spark: SparkSession, d: str) -> DataFrame:
+    return _dewarped(spark, d, 3)
