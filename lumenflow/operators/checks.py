@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from lumenflow.functions import kernels
 from lumenflow.operators import rois, traces
 
+#: Frames whose systems one call solves.
+SOLVED_TOGETHER = 64
+
 
 def in_field(pixels: DataFrame, row: int, column: int, rows: int, columns: int) -> DataFrame:
     """Regions whose box meets a field of view; a box that touches its low side is kept."""
@@ -57,7 +60,7 @@ def gap_median(trace: DataFrame, size: int) -> DataFrame:
     return out.withColumn("m", F.nanvl("m", F.lit(None).cast("double")))
 
 
-def _solve(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _solve(t: int, rows: pd.DataFrame) -> pd.DataFrame:
     own = rows[rows["a"] == rows["b"]].sort_values("a")
     ids, signal, pixels = own["a"].to_numpy(), own["f"].to_numpy(), own["n"].to_numpy()
     empty = bool((signal == 0).any())
@@ -67,7 +70,11 @@ def _solve(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         i, j = np.searchsorted(ids, rows["a"]), np.searchsorted(ids, rows["b"])
         shared[i, j] = rows["s"] / signal[j]
         out = np.linalg.lstsq(shared, signal * pixels, rcond=None)[0]
-    return pd.DataFrame({"roi": ids, "t": key[0], "f": out, "dropped": empty})
+    return pd.DataFrame({"roi": ids, "t": t, "f": out, "dropped": empty})
+
+
+def _solve_frames(rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.concat([_solve(t, frame) for t, frame in rows.groupby("t")])
 
 
 def demix(movie: DataFrame, pixels: DataFrame) -> DataFrame:
@@ -76,9 +83,10 @@ def demix(movie: DataFrame, pixels: DataFrame) -> DataFrame:
     For each frame the light that two regions have in common, over the later one's mean, times the
     unknown traces gives the summed signal; a singular system is solved by least squares. A frame in
     which a region has no signal is dropped: zeros for all. Light is summed in Spark per pair that
-    shares pixels; a task solves one frame at a time, its system as large as the number of regions.
+    shares pixels; a task gets ``SOLVED_TOGETHER`` frames and solves one at a time, its system as large
+    as the number of regions.
     """
     mask = pixels.select("roi", "r", "c").distinct()
     pairs = mask.select(F.col("roi").alias("a"), "r", "c").join(mask.select(F.col("roi").alias("b"), "r", "c"), ["r", "c"])
     light = movie.join(traces.if_small(pairs), ["r", "c"]).groupBy("t", "a", "b").agg(F.sum("v").alias("s"), F.avg("v").alias("f"), F.count("*").alias("n"))
-    return light.groupBy("t").applyInPandas(_solve, "roi int, t int, f double, dropped boolean")
+    return light.groupBy(F.floor(F.col("t") / SOLVED_TOGETHER)).applyInPandas(_solve_frames, "roi int, t int, f double, dropped boolean")

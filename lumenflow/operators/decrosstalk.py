@@ -37,6 +37,18 @@ def unmixed(pairs: DataFrame, tries: int = 10, seed: int = 0) -> DataFrame:
     return pairs.groupBy("roi").applyInPandas(run, "roi long, t long, signal double, crosstalk double, m00 double, m01 double, m10 double, m11 double, done boolean")
 
 
+def mixings(pairs: DataFrame, tries: int = 10) -> DataFrame:
+    """roi, m00 to m11 and converged: each region's mixing matrix as ``unmixed`` finds it, with the random stream of the region's
+    ``seed`` (roi, t, signal, crosstalk, seed: no gaps)."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        x = rows.sort_values("t")[["signal", "crosstalk"]].to_numpy(float).T
+        _, mixing, done = kernels.unmixed(x, tries, int(rows["seed"].iloc[0]))
+        return pd.DataFrame({"roi": [key[0]], **{f"m{i}{j}": [mixing[i, j]] for i in (0, 1) for j in (0, 1)}, "converged": [done]})
+
+    return pairs.select("roi", "t", "signal", "crosstalk", "seed").groupBy("roi").applyInPandas(run, "roi long, m00 double, m01 double, m10 double, m11 double, converged boolean")
+
+
 def whitened(pairs: DataFrame) -> DataFrame:
     """roi, t, x0, x1: both traces of a region without mean, correlation and scale, by the inverse root of their
     covariance in closed form (2 by 2)."""

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.operators import dewarp, registration
+from lumenflow.operators import dewarp, plane_jobs, registration
 from lumenflow.operators.movies import extent
 from lumenflow.sources import adapters as views
+from lumenflow.sources import movies as files
+from lumenflow.sources.scratch import new_folder
 
 QUERIES, SQL = {}, {}
 
@@ -88,3 +90,62 @@ def dewarped_scaled_less_noise(spark: SparkSession, d: str) -> DataFrame:
 @_query(_WARPED.replace("NOISE", "3"))
 def dewarped_scaled(spark: SparkSession, d: str) -> DataFrame:
     return _dewarped(spark, d, 3)
+
+
+@_query("SELECT r, c, t, v FROM movie WHERE t >= 20 AND t < 45 AND r BETWEEN 3 AND 10 AND c BETWEEN 5 AND 19")
+def stored_window(spark: SparkSession, d: str) -> DataFrame:
+    """A window of the movie, from a copy in blocks of frames and tiles."""
+    path = new_folder(spark)
+    files.write_movie(views.movie(spark, d), path, block=16, tile=8)
+    return files.read_movie(spark, path, t=(20, 45), r=(3, 11), c=(5, 20))
+
+
+@_query("SELECT m.r, m.c, m.t, m.v FROM movie m, (SELECT min(r) AS r0, max(r) AS r1, min(c) AS c0, max(c) AS c1 FROM roi_pixels WHERE roi = 3) b WHERE m.r BETWEEN r0 - 1 AND r1 + 1 AND m.c BETWEEN c0 - 1 AND c1 + 1")
+def stored_region(spark: SparkSession, d: str) -> DataFrame:
+    """What the movie shows around a region, from a copy in blocks and tiles."""
+    path = new_folder(spark)
+    files.write_movie(views.movie(spark, d), path, block=64, tile=4)
+    return files.read_region(spark, path, views.roi_pixels(spark, d).where("roi = 3"), 1)
+
+
+def _two_planes(spark: SparkSession, d: str) -> DataFrame:
+    """Four channels of each region: its trace, mixed with that of the next region, and slower ones around it."""
+    trace = views.trace(spark, d)
+    other = trace.select((F.col("roi") + 1).alias("roi"), "t", F.col("f").alias("g"))
+    both = trace.join(other, ["roi", "t"])
+    return both.select("roi", "t", (0.9 * F.col("f") + 0.1 * F.col("g")).alias("signal"), (0.2 * F.col("f") + 0.8 * F.col("g")).alias("crosstalk"), (F.col("f") * 0.5 + 20).alias("np_signal"), F.when(F.col("roi") % 10 != 0, F.col("g") * 0.3 + 10).alias("np_crosstalk"))
+
+
+@_query(None)
+def decrosstalk_flags(spark: SparkSession, d: str) -> DataFrame:
+    """The lists of the decrosstalk job as flags of each region."""
+    pairs = _two_planes(spark, d)
+    rules = plane_jobs.Rules(threshold=3.0, spread=2, clip_size=50, fits=2)
+    job = plane_jobs.take_out_crosstalk(pairs, new_folder(spark), rules)
+    return plane_jobs.without_crosstalk(job, pairs.select("roi").distinct())[1]
+
+
+@_query(""", u AS (SELECT DISTINCT user_id AS roi FROM events), w AS (SELECT a.roi FROM trace a JOIN trace b ON a.roi = b.roi + 1 AND a.t = b.t GROUP BY a.roi)
+SELECT roi, roi % 10 = 0 AS failed FROM w""")
+def decrosstalk_raw_failures(spark: SparkSession, d: str) -> DataFrame:
+    """Which regions have gaps in their raw channels, by the decrosstalk job's first table."""
+    raw = plane_jobs._marked(_two_planes(spark, d))
+    return raw.groupBy("roi").agg((~F.first("valid")).alias("failed"))
+
+
+@_query(None)
+def demixing_job(spark: SparkSession, d: str) -> DataFrame:
+    """Traces of all regions after demixing."""
+    pixels = views.roi_pixels(spark, d)
+    labels = pixels.select("roi").distinct().select("roi", F.when(F.col("roi") % 3 == 0, F.array(F.lit("union"))).otherwise(F.array().cast("array<string>")).alias("exclusion_labels"))
+    movie = views.movie(spark, d).withColumn("v", F.col("v") + 1)
+    return _round(plane_jobs.demix_job(movie, pixels, labels, new_folder(spark), ["union", "duplicate"], 20).traces)
+
+
+@_query("SELECT DISTINCT CAST(roi AS BIGINT) AS roi FROM roi_pixels WHERE roi % 3 = 0")
+def demixing_excluded(spark: SparkSession, d: str) -> DataFrame:
+    """Regions that the demixing job leaves out by their labels."""
+    pixels = views.roi_pixels(spark, d)
+    labels = pixels.select("roi").distinct().select("roi", F.when(F.col("roi") % 3 == 0, F.array(F.lit("union"))).otherwise(F.array().cast("array<string>")).alias("exclusion_labels"))
+    movie = views.movie(spark, d).withColumn("v", F.col("v") + 1)
+    return plane_jobs.demix_job(movie, pixels, labels, new_folder(spark), ["union", "duplicate"], 20).listed.where("reason = 'excluded'").select("roi")
