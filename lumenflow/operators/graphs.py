@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,26 +127,6 @@ def neighbourhood(movie: DataFrame, row: float, column: float, radius: float) ->
     return grid.where(inside & (F.hypot(F.col("r") - row, F.col("c") - column) <= radius)).select("r", "c")
 
 
-def seed_batches(candidates: DataFrame, excluded: DataFrame, samples: int = 10, distance: float = 20.0) -> DataFrame:
-    """batch, k, r, c: seeds (r, c, v) brightest first in batches whose members are at least ``distance`` apart; what is too
-    close waits for a later batch. Seeds on excluded pixels have none. Candidates are one for each block of a frame."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["v", "r", "c"], ascending=[False, True, True])
-        left, out, batch = rows[["r", "c"]].to_numpy(float), [], 0
-        while len(left):
-            taken: list[int] = []
-            for k in range(len(left)):
-                if len(taken) < samples and (not taken or np.hypot(*(left[taken] - left[k]).T).min() >= distance):
-                    taken.append(k)
-            out += [(batch, k, int(left[i, 0]), int(left[i, 1])) for k, i in enumerate(taken)]
-            left, batch = np.delete(left, taken, axis=0), batch + 1
-        return pd.DataFrame(out, columns=["batch", "k", "r", "c"])
-
-    free = candidates.join(excluded.select("r", "c").distinct(), ["r", "c"], "left_anti")
-    return free.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(run, "batch int, k int, r int, c int")
-
-
 def dilated_pixels(pixels: DataFrame, buffer: int) -> DataFrame:
     """Pixels within ``buffer`` rows and columns of the given ones: what a finished region bars from seeding."""
     steps = F.sequence(F.lit(-buffer), F.lit(buffer))

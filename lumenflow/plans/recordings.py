@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.operators import dewarp, plane_jobs, registration
-from lumenflow.operators.movies import extent
+from lumenflow.operators import denoise, dewarp, plane_jobs, registration, resampling, seeding
+from lumenflow.operators.movies import extent, projection
 from lumenflow.sources import adapters as views
 from lumenflow.sources import movies as files
 from lumenflow.sources.scratch import new_folder
@@ -149,3 +149,55 @@ def demixing_excluded(spark: SparkSession, d: str) -> DataFrame:
     labels = pixels.select("roi").distinct().select("roi", F.when(F.col("roi") % 3 == 0, F.array(F.lit("union"))).otherwise(F.array().cast("array<string>")).alias("exclusion_labels"))
     movie = views.movie(spark, d).withColumn("v", F.col("v") + 1)
     return plane_jobs.demix_job(movie, pixels, labels, new_folder(spark), ["union", "duplicate"], 20).listed.where("reason = 'excluded'").select("roi")
+
+
+_FILTER = """, hraw AS (SELECT j, x, CASE WHEN x = 0 THEN 1.0 ELSE sin(pi() * x / 31) / (pi() * x / 31) END / 31 * list_sum(list_transform(range(40), lambda m: pow(6.25 * (1 - (x / 310.0) ** 2), m) / pow(gamma(m + 1), 2))) AS h FROM (SELECT CAST(j AS INT) AS j, CAST(j - 310 AS DOUBLE) AS x FROM range(621) r(j))),
+h AS (SELECT j, h / (SELECT sum(h) FROM hraw) * 4 AS h FROM hraw), tr AS (SELECT *, count(*) OVER (PARTITION BY roi) AS n, median(f) OVER (PARTITION BY roi) AS m FROM trace),
+k AS (SELECT roi, n, m, unnest(range(CAST(ceil(n * 4 / 31.0) AS BIGINT))) AS k FROM (SELECT DISTINCT roi, n, m FROM tr))"""
+
+
+@_query(_FILTER + " SELECT k.roi, k.k AS t, round(any_value(k.m) + sum(h.h * (tr.f - tr.m)), 6) AS f FROM k JOIN tr ON tr.roi = k.roi AND abs(k.k * 31 - tr.t * 4) <= 310 JOIN h ON h.j = k.k * 31 - tr.t * 4 + 310 GROUP BY k.roi, k.k")
+def resampled_traces(spark: SparkSession, d: str) -> DataFrame:
+    """Traces of 31 Hz at 4 Hz."""
+    return _round(resampling.resampled(views.trace(spark, d), 31, 4))
+
+
+def _bright(spark: SparkSession, d: str) -> DataFrame:
+    """The movie's maximum as an image."""
+    return projection(views.movie(spark, d)).select("r", "c", F.round("max_v", 9).alias("v"))
+
+
+_CANDIDATES = """, img AS (SELECT r, c, round(max(v), 9) AS v FROM movie GROUP BY r, c),
+best AS (SELECT * FROM img QUALIFY row_number() OVER (PARTITION BY r // 4, c // 4 ORDER BY v DESC, r, c) = 1),
+ranked AS (SELECT *, row_number() OVER (ORDER BY v DESC, r, c) AS k, count(*) OVER () AS n FROM best)"""
+
+
+@_query(_CANDIDATES + " SELECT r, c, v, k <= floor(0.4 * n) AS kept FROM ranked")
+def seed_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """The brightest pixel of each block, and whether it is among the brightest share of them."""
+    return seeding.image_candidates(_bright(spark, d), 0.4, 4)
+
+
+@_query(_CANDIDATES + """, queue AS (SELECT * FROM ranked WHERE k <= floor(0.4 * n)),
+s RECURSIVE AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS STRUCT(r INT, c INT, b BIGINT)[]) AS l
+  UNION ALL SELECT q.k, list_append(l, {'r': q.r, 'c': q.c, 'b': list_min(list_filter(range(0, q.k), lambda b: len(list_filter(l, lambda e: e.b = b)) < 10 AND len(list_filter(l, lambda e: e.b = b AND (e.r - q.r) ** 2 + (e.c - q.c) ** 2 < 81)) = 0))})
+  FROM s JOIN queue q ON q.k = s.k + 1),
+whole AS (SELECT unnest(l, recursive := true) FROM (SELECT l FROM s ORDER BY k DESC LIMIT 1))
+SELECT CAST(b AS INT) AS batch, r, c FROM whole""")
+def seed_batches(spark: SparkSession, d: str) -> DataFrame:
+    """All kept seeds in batches of ten at least nine pixels apart; the SQL puts each in the first batch that has room for it."""
+    candidates = seeding.image_candidates(_bright(spark, d), 0.4, 4).where("kept")
+    none = candidates.select("r", "c").where("false")
+    return seeding.seed_batches(candidates, none, 10, 9.0).select("batch", "r", "c")
+
+
+@_query(None)
+def pca_denoised(spark: SparkSession, d: str) -> DataFrame:
+    """The movie from its five strongest components."""
+    return _round(denoise.denoised(views.movie(spark, d), 5))
+
+
+@_query("SELECT r, c, round(avg(v), 6) AS mean FROM movie GROUP BY r, c")
+def pca_means(spark: SparkSession, d: str) -> DataFrame:
+    """What denoising leaves as it is: each pixel's mean."""
+    return _round(denoise.denoised(views.movie(spark, d), 5).groupBy("r", "c").agg(F.avg("v").alias("mean")))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenflow.functions import kernels, scalars
-from lumenflow.operators import analysis, checks, graphs, images, movies, rois, selection, traces
+from lumenflow.operators import analysis, checks, graphs, images, movies, rois, seeding, selection, traces
 from lumenflow.sources import files
 from lumenflow.streaming import frames
 
@@ -191,7 +191,7 @@ def test_graph_metrics_of_a_small_movie(spark):
 def test_seed_batches(spark):
     ramp = spark.createDataFrame([(r, c, float(r * 4 + c)) for r in range(4) for c in range(4)], "r int, c int, v double")
     none = spark.createDataFrame([(0, 0)], "r int, c int")
-    rows = graphs.seed_batches(ramp, none, 3, 2.0).orderBy("batch", "k").collect()
+    rows = seeding.seed_batches(ramp, none, 3, 2.0).orderBy("batch", "k").collect()
     assert len(rows) == 15 and [(x.r, x.c) for x in rows[:3]] == [(3, 3), (3, 1), (1, 3)]
     for b in {x.batch for x in rows}:
         own = [(x.r, x.c) for x in rows if x.batch == b]
