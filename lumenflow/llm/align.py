@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -36,6 +38,9 @@ FREQUENT = 262_144
 CHARS_AT_ONCE = 500_000
 #: Below this code point the two libraries that can encode with the first tokenizer agree on letters, numbers and spaces.
 PLAIN_BELOW = 0x250
+#: Characters of parts of texts whose ids a task keeps before it starts its table anew.
+HELD_CHARS = 8_000_000
+_SPACED = re.compile(" +[^ ]*")
 _SCHEMA = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, a array<int>, b array<int>, n array<int>"
 
 
@@ -64,23 +69,49 @@ class ByteTokens:
             self.bytes_of[i] = word.encode() if word in special else bytes(byte[c] for c in word)
         self.ranked = _ranked(spec, special)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         plain = [self.ranked is not None and (t.isascii() or ord(max(t)) < PLAIN_BELOW) for t in texts]
-        return [self.ranked(" " + t) if p else self.library.encode(" " + t, add_special_tokens=False).ids for t, p in zip(texts, plain)]
+        return [self.ranked.__self__.encode_to_numpy(" " + t, disallowed_special=()) if p else np.array(self.library.encode(" " + t, add_special_tokens=False).ids, np.uint32) for t, p in zip(texts, plain)]
 
 
 class PieceTokens:
-    """Side B: a model of pieces, which puts a space in front itself."""
+    """Side B: a model of pieces, which puts a space in front itself.
+
+    If no piece goes on behind a space that follows something else, no merge does, so runs of spaces with what follows them are
+    encoded by themselves, and looked up when they come again (``HELD_CHARS`` characters of them). Otherwise whole texts are encoded.
+    """
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
-        n = self.model.get_piece_size()
-        self.bytes_of = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(map(self.model.id_to_piece, range(n)))]
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1) if texts else []
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.bytes_of = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.apart = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.changed: set[str] = set()
+        self.chars = 0
+        # the model puts no space in front of an empty text, so a space at a text's end is seen behind a letter
+        self.ends = array("I", self.model.encode("a ")[len(self.model.encode("a")) :]).tobytes()
+        self.held: dict[str, bytes] = {" ": self.ends}
+
+    def _spelled(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of each text; None where they don't spell a space and the text."""
+        if not self.apart:
+            found = self.model.encode(texts, num_threads=1) if texts else []
+            return [np.array(x, np.uint32) if self._spelled(x) == b" " + t.encode() else None for x, t in zip(found, texts)]
+        parts = [_SPACED.findall(" " + t) for t in texts]
+        if new := list(set().union(*parts).difference(self.held)):
+            found = self.model.encode([p[1:] for p in new], num_threads=1)  # the model's own space is the first
+            self.held.update((p, array("I", x).tobytes()) for p, x in zip(new, found))
+            self.changed.update(p for p, x in zip(new, found) if self._spelled(x) != p.encode())
+            self.chars += sum(map(len, new))
+        out = [np.frombuffer(b"".join(map(self.held.__getitem__, part)), np.uint32) if not self.changed or self.changed.isdisjoint(part) else None for part in parts]
+        if self.chars > HELD_CHARS:
+            self.held, self.changed, self.chars = {" ": self.ends}, set(), 0
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -89,7 +120,9 @@ def _sides(a: str, b: str):
     # what follows a token in the text of groups: the next of its side, or the other side, or the next group
     first = [str(i).encode() + s for i in range(len(one.bytes_of)) for s in (b",", b"|")]
     second = [str(i).encode() + s for i in range(len(two.bytes_of)) for s in (b",", b";")]
-    return one, two, [*first, *second], *(np.array([len(x) for x in t.bytes_of], np.int64) for t in (one, two))
+    written = first + second
+    size = np.array([len(w) for w in written], np.int64)
+    return one, two, (np.frombuffer(b"".join(written), np.uint8), np.cumsum(size) - size, size), *(np.array([len(x) for x in t.bytes_of], np.int64) for t in (one, two))
 
 
 def components(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -107,7 +140,8 @@ def components(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 def overlaps(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of tokens that share bytes, by place, for two sides that cover the same bytes."""
-    ends = np.union1d(end_a, end_b)
+    ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")  # two sorted runs
+    ends = ends[np.append(True, ends[1:] != ends[:-1])[: len(ends)]]
     return np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
 
 
@@ -116,10 +150,11 @@ def _align(texts: list[str | None], sides) -> dict[str, list]:
     rows = [i for i, t in enumerate(texts) if t]
     known = [texts[i] for i in rows]
     ids_a, ids_b = one.encode(known), two.encode(known)
-    whole = [b"".join(map(one.bytes_of.__getitem__, a)) == (b" " + t.encode()) == b"".join(map(two.bytes_of.__getitem__, b)) for t, a, b in zip(known, ids_a, ids_b)]
+    # side A's tokens are bytes of the text in their order, so only missing ones could differ
+    whole = [b is not None and int(size_a[a].sum()) == 1 + len(t.encode()) for t, a, b in zip(known, ids_a, ids_b)]
     rows, ids_a, ids_b = ([x for x, ok in zip(y, whole) if ok] for y in (rows, ids_a, ids_b))
     counts_a, counts_b = (np.array([len(x) for x in y], np.int64) for y in (ids_a, ids_b))
-    a, b = (np.array([i for x in y for i in x], np.int64) for y in (ids_a, ids_b))
+    a, b = (np.concatenate([np.zeros(0, np.uint32), *y]).astype(np.int64) for y in (ids_a, ids_b))
     # documents follow each other on both sides, and end together
     end_a, end_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
     u, v = overlaps(end_a, end_b)
@@ -131,17 +166,23 @@ def _align(texts: list[str | None], sides) -> dict[str, list]:
     of, side = group[order], order >= len(a)
     last = np.append((of[1:] != of[:-1]) | (side[1:] != side[:-1]), True) if len(of) else np.zeros(0, bool)
     key = np.where(side, 2 * len(size_a) + 2 * np.append(a, b)[order], 2 * np.append(a, b)[order]) + last
-    text_at = np.cumsum(counts_a + counts_b)
+    # all texts of groups as one run of bytes, put together from those of the tokens
+    letters, at, size = written
+    ends = np.append(0, np.cumsum(size[key]))
+    texts_of_groups = letters[np.arange(ends[-1]) + np.repeat(at[key] - ends[:-1], size[key])].tobytes().decode()
+    cut_text = ends[np.append(0, np.cumsum(counts_a + counts_b))].tolist()
     doc_a = np.repeat(np.arange(len(rows)), counts_a)
     n_groups = np.bincount(doc_a[group[: len(a)] == np.arange(len(a))], minlength=len(rows))
     n_links = np.bincount(doc_a[link_a], minlength=len(rows))
-    pair, n = np.unique((doc_a[link_a] * len(size_a) + a[link_a]) * len(size_b) + b[link_b], return_counts=True)
+    pair = np.sort((doc_a[link_a] * len(size_a) + a[link_a]) * len(size_b) + b[link_b])
+    begins = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, np.int64)
+    pair, n = pair[begins], np.diff(np.append(begins, len(pair)))
     pair_doc, pair_a, pair_b = pair // len(size_b) // len(size_a), pair // len(size_b) % len(size_a), pair % len(size_b)
     cut = np.searchsorted(pair_doc, np.arange(len(rows) + 1)).tolist()
     out = {"n_a": [0] * len(texts), "n_b": [0] * len(texts), "n_groups": [0] * len(texts), "n_links": [0] * len(texts), "groups": [""] * len(texts), "a": [[]] * len(texts), "b": [[]] * len(texts), "n": [[]] * len(texts)}
     for k, i in enumerate(rows):
         lo, hi = cut[k], cut[k + 1]
-        whole_text = b"".join(map(written.__getitem__, key[text_at[k] - counts_a[k] - counts_b[k] : text_at[k]].tolist()))[:-1].decode()
+        whole_text = texts_of_groups[cut_text[k] : cut_text[k + 1] - 1]
         for name, value in (("n_a", counts_a[k]), ("n_b", counts_b[k]), ("n_groups", n_groups[k]), ("n_links", n_links[k]), ("groups", whole_text), ("a", pair_a[lo:hi]), ("b", pair_b[lo:hi]), ("n", n[lo:hi])):
             out[name][i] = value
     return out

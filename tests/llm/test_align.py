@@ -85,3 +85,16 @@ def test_parts_of_a_batch(spark, monkeypatch):
     parts = [align._align([t], sides) for t in _texts()]
     for name, values in whole.items():
         assert [list(x) if name in "abn" else x for x in values] == [list(p[name][0]) if name in "abn" else p[name][0] for p in parts]
+
+
+def test_parts_between_spaces_are_encoded_alone(monkeypatch):
+    pieces = align.PieceTokens(align.default_tokenizers()[1])
+    assert pieces.apart
+    texts = [t for t in _texts() if t] + ["  lead", "trail  ", "a   b", "\n \n", "▁ x▁y", "\u3000wide", "é ̈", "<0x41> <s>"]
+    want = [x if pieces._spelled(x) == b" " + t.encode() else None for x, t in zip(pieces.model.encode(texts), texts)]
+    got = lambda: [x if x is None else x.tolist() for x in pieces.encode(texts)]
+    assert got() == want and None in want
+    monkeypatch.setattr(align, "HELD_CHARS", 10)
+    assert got() == want and list(pieces.held) == [" "]
+    monkeypatch.setattr(pieces, "apart", False)
+    assert got() == want
