@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.operators import denoise, dewarp, plane_jobs, registration, resampling, seeding
+from lumenflow.operators import denoise, dewarp, plane_jobs, registration, resampling, seeding, splitting
 from lumenflow.operators.movies import extent, projection
 from lumenflow.sources import adapters as views
 from lumenflow.sources import movies as files
+from lumenflow.sources import tiff
 from lumenflow.sources.scratch import new_folder
 
 QUERIES, SQL = {}, {}
@@ -201,3 +202,11 @@ def pca_denoised(spark: SparkSession, d: str) -> DataFrame:
 def pca_means(spark: SparkSession, d: str) -> DataFrame:
     """What denoising leaves as it is: each pixel's mean."""
     return _round(denoise.denoised(views.movie(spark, d), 5).groupBy("r", "c").agg(F.avg("v").alias("mean")))
+
+
+@_query("SELECT CAST(t % 3 AS INT) AS place, r, c, round(avg(v), 6) AS v FROM movie WHERE r < (SELECT max(r) FROM movie) GROUP BY ALL")
+def plane_averages(spark: SparkSession, d: str) -> DataFrame:
+    """The mean image of each of three planes whose pages follow each other in turn."""
+    movie = views.movie(spark, d).join(extent(views.movie(spark, d))).where("r < rows - 1").select("r", "c", "t", "v")
+    pages = registration.packed_frames(movie).select(F.col("t").alias("page"), "rows", "columns", F.lit("<f8").alias("kind"), "pixels")
+    return _round(tiff.pixels(splitting.by_plane(pages, 3)).groupBy("place", "r", "c").agg(F.avg("v").alias("v")))
