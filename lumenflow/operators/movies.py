@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenflow.functions.scalars import to_range
@@ -35,33 +35,69 @@ def block_mean(movie: DataFrame, size: int) -> DataFrame:
     return movie.groupBy(block("r").alias("br"), block("c").alias("bc"), "t").agg((F.sum("v") / (size * size)).alias("v"))
 
 
-def _ranked(df: DataFrame, column: str, rank: int, lo: float, hi: float) -> float:
-    """The value of this rank (from 0) among those of a column: counts in steps of its range close in on it, so that no task
-    or driver holds more than STEPS counts or FEW values."""
-    value, below = F.col(column), 0
-    while lo < hi:
-        step = F.least(F.floor((value - lo) / (hi - lo) * STEPS), F.lit(STEPS - 1))
-        inside = df.where(value.between(lo, hi))
-        counts = sorted(inside.groupBy(step.alias("s")).agg(F.count("*").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).collect())
-        for _, n, lo, hi in counts:
-            if below + n > rank:
-                break
-            below += n
-        if lo < hi and n <= FEW:
-            return df.where(value.between(lo, hi)).agg(F.sort_array(F.collect_list(value))[rank - below].alias("v")).first()["v"]
-    return lo
+def _values_at(df: DataFrame, column: str, ranks: list[int], lo: float, hi: float) -> dict[int, float]:
+    """The finite values of these ranks (from 0). In each round the counts in steps of a range close in on every rank, all ranks in
+    one pass, until few enough values are left to be sorted; no task or driver holds more than STEPS counts or FEW values of a rank."""
+    value, found, few = F.col(column), {}, {}
+    open_ = {k: (0, lo, hi) for k in ranks}
+    while open_:
+        ranges = sorted({(lo, hi) for _, lo, hi in open_.values()})
+
+        def step(lo: float, hi: float) -> Column:
+            # halves, so that the width of a range is a number
+            share = (value * 0.5 - lo * 0.5) / (hi * 0.5 - lo * 0.5)
+            return F.least(F.floor(share * STEPS), F.lit(STEPS - 1)) if lo < hi else F.lit(0)
+
+        marks = [F.when(value.between(lo, hi), F.struct(F.lit(i).alias("i"), step(lo, hi).cast("int").alias("s"))) for i, (lo, hi) in enumerate(ranges)]
+        held = df.select(value.alias("v"), F.explode(F.filter(F.array(*marks), lambda m: m.isNotNull())).alias("m"))
+        counts = held.groupBy("m.i", "m.s").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+        by_range: dict[int, list] = {}
+        for i, s, n, low, high in sorted(counts, key=lambda x: x[:2]):
+            by_range.setdefault(i, []).append((n, low, high))
+        for rank, (below, lo, hi) in list(open_.items()):
+            for n, low, high in by_range[ranges.index((lo, hi))]:
+                if below + n > rank:
+                    break
+                below += n
+            del open_[rank]
+            if low == high:
+                found[rank] = low
+            elif n <= FEW:
+                few[rank] = (below, low, high)
+            else:
+                open_[rank] = (below, low, high)
+    if few:
+        ranges = sorted({(lo, hi) for _, lo, hi in few.values()})
+        marks = [F.when(value.between(lo, hi), F.lit(i)) for i, (lo, hi) in enumerate(ranges)]
+        held = df.select(value.alias("v"), F.explode(F.filter(F.array(*marks), lambda m: m.isNotNull())).alias("i"))
+        rows = {r["i"]: r["v"] for r in held.groupBy("i").agg(F.sort_array(F.collect_list("v")).alias("v")).collect()}
+        found |= {rank: rows[ranges.index((lo, hi))][rank - below] for rank, (below, lo, hi) in few.items()}
+    return found
 
 
 def quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float | None]:
-    """Exact quantiles of a column of any length, interpolated; None for a column without values."""
-    known = df.where(F.col(column).isNotNull())
-    n, lo, hi = known.agg(F.count("*"), F.min(column), F.max(column)).first()
-    out: list[float | None] = []
-    for share in shares:
-        at = (n - 1) * share
-        a, b = (_ranked(known, column, k, lo, hi) for k in (int(at), min(int(at) + 1, n - 1))) if n else (None, None)
-        out.append(None if a is None else a + (at - int(at)) * (b - a))
-    return out
+    """Exact quantiles of a column of any length, interpolated; None for a column without values. Null and NaN are no values;
+    infinite ones are the first and last."""
+    value = F.col(column)
+    known = df.where(value.isNotNull() & ~F.isnan(value.cast("double")))
+    finite = known.where(F.abs(value) < float("inf"))
+    least, most = float("-inf"), float("inf")
+    n, lower, upper = known.agg(F.count("*"), F.count_if(value == least), F.count_if(value == most)).first()
+    if not n:
+        return [None] * len(shares)
+    places = [(n - 1) * share for share in shares]
+    ranks = sorted({k for at in places for k in (int(at), min(int(at) + 1, n - 1))})
+    inner = [k - lower for k in ranks if lower <= k < n - upper]
+    values = {k: least if k < lower else most for k in ranks}
+    if inner:
+        lo, hi = finite.agg(F.min(value), F.max(value)).first()
+        values |= {k + lower: float(v) for k, v in _values_at(finite.select(value.cast("double").alias(column)), column, inner, float(lo), float(hi)).items()}
+
+    def between(at: float) -> float:
+        a, b, part = values[int(at)], values[min(int(at) + 1, n - 1)], at - int(at)
+        return a if not part or a == b else a + part * (b - a)
+
+    return [between(at) for at in places]
 
 
 def scaled(movie: DataFrame, lo: float, hi: float) -> DataFrame:

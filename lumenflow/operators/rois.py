@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenflow.sources.scratch import written
+
 
 def binarize(pixels: DataFrame, quantile: float = 0.1, threshold: float | None = None) -> DataFrame:
     """Pixels of at least the region's weight quantile (interpolated), or above an absolute threshold."""
@@ -126,10 +128,12 @@ def postprocessed(pixels: DataFrame, shift: DataFrame, extent: DataFrame, least_
 
 def colours(pixels: DataFrame, distance: float = 2**0.5) -> DataFrame:
     """roi, colour: touching regions differ. A region takes its colour when no uncoloured neighbour has more neighbours (then
-    the lesser id), the least that none of its coloured neighbours has; rounds run in Spark."""
+    the lesser id), the least that none of its coloured neighbours has; rounds run in Spark, and what each gives is
+    written, so that no lineage grows."""
     pairs = abutting(pixels, distance)
-    near = pairs.union(pairs.select("roi_b", "roi_a")).select(F.col("roi_a").alias("roi"), F.col("roi_b").alias("other")).cache()
-    degree = pixels.select("roi").distinct().join(near.groupBy("roi").agg(F.count("*").alias("n")), "roi", "left").select("roi", F.coalesce("n", F.lit(0)).alias("n")).cache()
+    near = written(pairs.union(pairs.select("roi_b", "roi_a")).select(F.col("roi_a").alias("roi"), F.col("roi_b").alias("other")))
+    degree = pixels.select("roi").distinct().join(near.groupBy("roi").agg(F.count("*").alias("n")), "roi", "left").select("roi", F.coalesce("n", F.lit(0)).alias("n"))
+    degree = written(degree)
     done = degree.sparkSession.createDataFrame([], "roi int, colour int")
     while True:
         left = degree.join(done, "roi", "left_anti")
@@ -139,4 +143,4 @@ def colours(pixels: DataFrame, distance: float = 2**0.5) -> DataFrame:
         ready = left.join(rivals, "roi", "left").where(F.col("top").isNull() | (F.struct(F.col("n").alias("m"), (-F.col("roi")).alias("id")) > F.col("top"))).select("roi")
         used = near.join(done.select(F.col("roi").alias("other"), "colour"), "other").groupBy("roi").agg(F.collect_set("colour").alias("used"))
         free = F.array_min(F.array_except(F.sequence(F.lit(0), F.size(F.coalesce("used", F.array().cast("array<int>")))), F.coalesce("used", F.array().cast("array<int>"))))
-        done = done.unionByName(ready.join(used, "roi", "left").select("roi", free.alias("colour"))).cache()
+        done = written(done.unionByName(ready.join(used, "roi", "left").select("roi", free.alias("colour"))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.operators import denoise, dewarp, plane_jobs, registration, resampling, seeding, splitting
+from lumenflow.operators import artifacts, denoise, dewarp, plane_jobs, registration, resampling, seeding, splitting
 from lumenflow.operators.movies import extent, projection
 from lumenflow.sources import adapters as views
 from lumenflow.sources import movies as files
@@ -210,3 +210,21 @@ def plane_averages(spark: SparkSession, d: str) -> DataFrame:
     movie = views.movie(spark, d).join(extent(views.movie(spark, d))).where("r < rows - 1").select("r", "c", "t", "v")
     pages = registration.packed_frames(movie).select(F.col("t").alias("page"), "rows", "columns", F.lit("<f8").alias("kind"), "pixels")
     return _round(tiff.pixels(splitting.by_plane(pages, 3)).groupBy("place", "r", "c").agg(F.avg("v").alias("v")))
+
+
+@_query(""", b AS (SELECT roi, CAST(floor(min(r) + (max(r) - min(r) + 1) / 2) AS INT) - 4 AS r0, CAST(floor(min(c) + (max(c) - min(c) + 1) / 2) AS INT) - 4 AS c0 FROM roi_pixels GROUP BY roi),
+img AS (SELECT 'max' AS image, r, c, CAST(floor((max(v) + 1) * 100) AS INT) AS v FROM movie GROUP BY r, c UNION ALL SELECT 'avg', r, c, CAST(floor(round((avg(v) + 1) * 1000, 6)) AS INT) FROM movie GROUP BY r, c),
+g AS (SELECT roi, r0, c0, image, CAST(r AS INT) AS r, CAST(c AS INT) AS c FROM b, (VALUES ('max'), ('avg'), ('mask')) n(image), range(8) x(r), range(8) y(c))
+SELECT g.roi, g.image, g.r, g.c, CASE WHEN g.image = 'mask' THEN CASE WHEN p.roi IS NULL THEN 0 ELSE 255 END ELSE coalesce(i.v, 0) END AS v FROM g
+  LEFT JOIN img i ON i.image = g.image AND i.r = g.r0 + g.r AND i.c = g.c0 + g.c LEFT JOIN (SELECT DISTINCT roi, r, c FROM roi_pixels) p ON p.roi = g.roi AND p.r = g.r0 + g.r AND p.c = g.c0 + g.c""")
+def region_cut_outs(spark: SparkSession, d: str) -> DataFrame:
+    """Windows of two images and of the mask around each region."""
+    both = projection(views.movie(spark, d))
+    layers = {"max": both.select("r", "c", F.floor((F.col("max_v") + 1) * 100).alias("v")), "avg": both.select("r", "c", F.floor(F.round((F.col("avg_v") + 1) * 1000, 6)).alias("v"))}
+    return artifacts.cut_outs(layers, views.roi_pixels(spark, d), 8)
+
+
+@_query("SELECT r, c, CAST(round_even((least(greatest(v, lo), hi) - lo) / (hi - lo) * 255, 0) AS INT) AS v FROM (SELECT r, c, max(v) AS v FROM movie GROUP BY r, c), (SELECT quantile_cont(v, 0.2) AS lo, quantile_cont(v, 0.99) AS hi FROM (SELECT max(v) AS v FROM movie GROUP BY r, c))")
+def scaled_projection(spark: SparkSession, d: str) -> DataFrame:
+    """The movie's maximum as an image of 0 to 255."""
+    return artifacts.scaled_image(projection(views.movie(spark, d)).select("r", "c", F.col("max_v").alias("v")), (0.2, 0.99))
