@@ -15,9 +15,9 @@ def mirrored(x: np.ndarray, half: int) -> np.ndarray:
     return x[np.where(at < n, at, 2 * n - 1 - at)]
 
 
-def rank_filter(x: np.ndarray, size: int, rank: int) -> np.ndarray:
-    """The value of this rank (from 0) in each window of odd ``size``; a window is kept sorted as it slides."""
-    padded = mirrored(x, size // 2).tolist()
+def rank_filter(x: np.ndarray, size: int, rank: int, held: bool = False) -> np.ndarray:
+    """The value of this rank (from 0) in each window of odd ``size``, edges mirrored or held; a window is kept sorted as it slides."""
+    padded = (np.pad(x, size // 2, mode="edge") if held else mirrored(x, size // 2)).tolist()
     held = sorted(padded[:size])
     out = [held[rank]]
     for old, new in zip(padded, padded[size:]):
@@ -27,6 +27,51 @@ def rank_filter(x: np.ndarray, size: int, rank: int) -> np.ndarray:
     return np.array(out[: len(x)])
 
 
+#: Windows up to this size are laid out side by side, this many values at a time.
+_SHORT, _CELLS = 129, 4_000_000
+
+
+def windows_at(padded: np.ndarray, at: np.ndarray, size: int, rule) -> np.ndarray:
+    """``rule`` of the windows of ``size`` values that begin at the places ``at``, which it gets as rows."""
+    view, step = np.lib.stride_tricks.sliding_window_view(padded, size), max(1, _CELLS // size)
+    parts = [rule(view[at[lo : lo + step]]) for lo in range(0, len(at), step)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
+def padded_all(x: np.ndarray, starts: np.ndarray, half: int, held: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Traces that begin at ``starts`` one after the other, each with ``half`` values more at both ends (mirrored or, if ``held``,
+    the end repeated), and for each value the place where its window begins."""
+    size = np.diff(np.append(starts, len(x)))
+    wide = size + 2 * half
+    begin = np.cumsum(wide) - wide
+    own = np.arange(int(wide.sum())) - np.repeat(begin, wide) - half
+    n = np.repeat(size, wide)
+    turned = own % (2 * n)
+    inner = np.clip(own, 0, n - 1) if held else np.where(turned < n, turned, 2 * n - 1 - turned)
+    return x[np.repeat(starts, wide) + inner], np.arange(len(x)) - np.repeat(starts - begin, size)
+
+
+def rank_filter_all(x: np.ndarray, starts: np.ndarray, size: int, rank: int, held: bool = False) -> np.ndarray:
+    """``rank_filter`` of traces one after the other. Traces with NaN must be left out by the caller."""
+    if size <= _SHORT:
+        padded, at = padded_all(x, starts, size // 2, held)
+        return windows_at(padded, at, size, lambda w: np.partition(w, rank, axis=1)[:, rank])
+    parts = np.split(x, starts[1:])
+    return np.concatenate([rank_filter(p, size, rank, held) for p in parts])
+
+
+def median_image(image: np.ndarray, size: int, rows_at_once: int = 32) -> np.ndarray:
+    """Median over windows of odd ``size`` in both directions, edges mirrored; NaN don't count, and stay where they are."""
+    half, gaps = size // 2, np.isnan(image)
+    padded = np.pad(image, half, mode="symmetric")
+    median = np.nanmedian if gaps.any() else np.median
+    out = np.empty_like(image)
+    for lo in range(0, len(image), rows_at_once):
+        part = np.lib.stride_tricks.sliding_window_view(padded[lo : lo + rows_at_once + 2 * half], (size, size))
+        out[lo : lo + rows_at_once] = np.where(gaps[lo : lo + rows_at_once], np.nan, median(np.where(gaps[lo : lo + rows_at_once, :, None, None], 0.0, part), axis=(2, 3)))
+    return out
+
+
 def median_filter(x: np.ndarray, size: int) -> np.ndarray:
     return rank_filter(x, size, size // 2)
 
@@ -61,7 +106,11 @@ def noise_std(x: np.ndarray, size: int) -> float:
     """Robust deviation of what a median filter leaves, without large and low outliers."""
     if np.isnan(x).any():
         return math.nan
-    left = x - median_filter(x, size)
+    return deviation_left(x - median_filter(x, size))
+
+
+def deviation_left(left: np.ndarray) -> float:
+    """Robust deviation without large and low outliers."""
     left = left[left < 1.5 * abs(left.min())]
     return robust_std(left[np.abs(left) < 2.5 * robust_std(left)])
 

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenflow.functions import kernels
+from lumenflow.operators import sliding
 from lumenflow.operators.traces import event_summary
 
 
@@ -27,11 +29,13 @@ def _by_region(df: DataFrame, rule, schema: str) -> DataFrame:
 def dff(trace: DataFrame, short: int, long: int, percentile: float = 10) -> DataFrame:
     """roi, t, dff, and for the whole region sigma_dff and n_small_baseline. A trace without values passes through."""
 
-    def rule(rows):
-        out, sigma, small = kernels.dff(rows["f"].to_numpy(float), short, long, percentile)
-        return {"t": rows["t"].to_numpy(), "dff": out, "sigma_dff": sigma, "n_small_baseline": small}
+    def rule(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        parts = [kernels.dff(x, short, long, percentile) for x in np.split(sliding.values(table), starts[1:])]
+        sizes = np.diff(np.append(starts, table.num_rows))
+        out = pa.table({"roi": table.column("roi").cast(pa.int64()), "t": table.column("t").cast(pa.int64()), "dff": pa.array(np.concatenate([p[0] for p in parts]), from_pandas=True)})
+        return out.append_column("sigma_dff", pa.array(np.repeat([p[1] for p in parts], sizes), from_pandas=True)).append_column("n_small_baseline", pa.array(np.repeat([p[2] for p in parts], sizes)))
 
-    return _by_region(trace, rule, "t long, dff double, sigma_dff double, n_small_baseline long")
+    return sliding.through_regions(trace, rule, "roi long, t long, dff double, sigma_dff double, n_small_baseline long")
 
 
 def neuropil_fit(pairs: DataFrame, folds: int = 4, weight: float = 0.05) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenflow.functions import kernels
-from lumenflow.operators import rois, traces
+from lumenflow.operators import rois, sliding, traces
 
 #: Frames whose systems one call solves.
 SOLVED_TOGETHER = 64
@@ -51,13 +52,12 @@ def gap_median(trace: DataFrame, size: int) -> DataFrame:
     """Median of the known values in each odd window, edges mirrored; where a window has none, a line
     between the medians around, and at the ends the nearest one. A trace without values stays null."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("t")
-        return rows[["roi", "t"]].assign(m=kernels.known_median_filter(rows["f"].to_numpy(float), size))
+    def rule(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        parts = [kernels.known_median_filter(x, size) for x in np.split(sliding.values(table), starts[1:])]
+        return sliding.with_columns(table, m=np.concatenate(parts))
 
     kinds = dict(trace.dtypes)
-    out = trace.select("roi", "t", "f").groupBy("roi").applyInPandas(run, f"roi {kinds['roi']}, t {kinds['t']}, m double")
-    return out.withColumn("m", F.nanvl("m", F.lit(None).cast("double")))
+    return sliding.through_regions(trace, rule, f"roi {kinds['roi']}, t {kinds['t']}, m double")
 
 
 def _solve(t: int, rows: pd.DataFrame) -> pd.DataFrame:

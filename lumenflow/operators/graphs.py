@@ -7,19 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenflow.operators.movies import extent, graph_image
+from lumenflow.operators.movies import NEIGHBOURS, extent, graph_image, packed
 from lumenflow.operators.traces import if_small
 
-#: Steps to the neighbours of a pixel, each pair once.
-NEIGHBOURS = ((0, 1), (1, -1), (1, 0), (1, 1))
-
-
-def packed(movie: DataFrame) -> DataFrame:
-    """r, c, x: each pixel's values in order of frame."""
-    series = F.transform(F.sort_array(F.collect_list(F.struct("t", "v"))), lambda s: s["v"])
-    return movie.groupBy("r", "c").agg(series.alias("x"))
-
-
 def _with(value: Column, f) -> Column:
     """f(value), with the value worked out once however often f uses it."""
     return F.get(F.transform(F.array(value), f), F.lit(0))

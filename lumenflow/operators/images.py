@@ -2,30 +2,36 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenflow.operators.movies import quantiles
+from lumenflow.functions import kernels
+from lumenflow.operators.movies import extent, quantiles
 
 #: A pixel and its four neighbours: the disk of radius one.
 _DISK = ((0, 0), (-1, 0), (1, 0), (0, -1), (0, 1))
 
 
-def _targets(at: Column, size: Column, half: int) -> Column:
-    """Pixels along one axis whose window holds this one, once for each place it has there, edges mirrored."""
-    places = F.filter(F.array(at, -1 - at, 2 * size - 1 - at), lambda p: (p >= -half) & (p < size + half))
-    around = F.flatten(F.transform(places, lambda p: F.sequence(p - half, p + half)))
-    return F.filter(around, lambda p: (p >= 0) & (p < size))
+def median_filter(movie: DataFrame, size: int) -> DataFrame:
+    """Each frame's median over windows of odd ``size``, edges mirrored: r, c, t, v. Pixels that a frame lacks don't count. A frame is
+    one row of packed pixels, so the movie is shuffled once."""
+    cell = F.struct(F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), F.col("v").cast("double").alias("v"))
+    frames = movie.join(extent(movie)).groupBy("t", "rows", "columns").agg(F.collect_list(cell).alias("cells"))
+    kind = dict(movie.dtypes)["t"]
 
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                cells = batch.column("cells").slice(i, 1).flatten()
+                r, c = (cells.field(k).to_numpy() for k in "rc")
+                image = np.full((batch.column("rows")[i].as_py(), batch.column("columns")[i].as_py()), np.nan)
+                image[r, c] = cells.field("v").to_numpy(zero_copy_only=False)
+                v = kernels.median_image(image, size)[r, c]
+                yield pa.RecordBatch.from_pydict({"r": r, "c": c, "t": pa.array([batch.column("t")[i].as_py()] * len(r), batch.column("t").type), "v": pa.array(v, from_pandas=True)})
 
-def median_filter(movie: DataFrame, size: int) -> DataFrame:
-    """Each frame's median over windows of odd ``size``, edges mirrored: r, c, t, v."""
-    half = size // 2
-    # one row, so the broadcast is of fixed size
-    extent = F.broadcast(movie.agg((F.max("r") + 1).alias("rows"), (F.max("c") + 1).alias("columns")))
-    near = movie.join(extent).select("t", "v", "c", "columns", F.explode(_targets(F.col("r"), F.col("rows"), half)).alias("r"))
-    near = near.select("t", "v", "r", F.explode(_targets(F.col("c"), F.col("columns"), half)).alias("c"))
-    return near.join(movie.select("r", "c", "t"), ["r", "c", "t"], "left_semi").groupBy("r", "c", "t").agg(F.percentile("v", F.lit(0.5)).alias("v"))
+    return frames.mapInArrow(run, f"r int, c int, t {kind}, v double")
 
 
 def _spread(pixels: DataFrame) -> DataFrame:
@@ -72,7 +78,7 @@ def acutance(image: DataFrame) -> DataFrame:
 
 def display_limits(movie: DataFrame, lo: float, hi: float, border: int) -> DataFrame:
     """Two quantiles of the movie inside a border; the border stays if nothing would be left inside."""
-    extent = F.broadcast(movie.agg((F.max("r") + 1).alias("rows"), (F.max("c") + 1).alias("columns")))
+    size = extent(movie)
     all_in = (F.col("rows") <= 2 * border) | (F.col("columns") <= 2 * border)
     inner = (F.col("r") >= border) & (F.col("r") < F.col("rows") - border) & (F.col("c") >= border) & (F.col("c") < F.col("columns") - border)
-    return movie.sparkSession.createDataFrame([tuple(quantiles(movie.join(extent).where(all_in | inner), "v", [lo, hi]))], "lo double, hi double")
+    return movie.sparkSession.createDataFrame([tuple(quantiles(movie.join(size).where(all_in | inner), "v", [lo, hi]))], "lo double, hi double")

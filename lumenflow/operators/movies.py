@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenflow.functions.scalars import to_range
 
 
+#: Steps to the neighbours of a pixel, each pair once, and the side of a tile of pixels that meet in a task.
+NEIGHBOURS, TILE = ((0, 1), (1, -1), (1, 0), (1, 1)), 8
 #: Steps of a range, and values that are simply sorted, in looking for a quantile.
 STEPS, FEW = 1024, 10_000
 
@@ -111,12 +115,37 @@ def deinterleave(pages: DataFrame, planes: int) -> DataFrame:
     return pages.withColumn("plane", (F.col("page") % planes).cast("int")).withColumn("frame", F.floor(F.col("page") / planes).cast("long"))
 
 
+def packed(movie: DataFrame) -> DataFrame:
+    """r, c, x: each pixel's values in order of frame."""
+    series = F.transform(F.sort_array(F.collect_list(F.struct("t", "v"))), lambda s: s["v"])
+    return movie.groupBy("r", "c").agg(series.alias("x"))
+
+
+def tiled(pixels: DataFrame, steps: tuple[tuple[int, int], ...], size: int = TILE) -> DataFrame:
+    """Packed pixels with the tiles (tr, tc) of ``size`` pixels that need them: their own, and those of pixels that a step leads from."""
+    tile = lambda dr, dc: F.struct(F.floor((F.col("r") - dr) / size).cast("int").alias("tr"), F.floor((F.col("c") - dc) / size).cast("int").alias("tc"))
+    return pixels.select("*", F.inline(F.array_distinct(F.array(*(tile(*s) for s in ((0, 0), *steps))))))
+
+
 def neighbour_correlation(movie: DataFrame) -> DataFrame:
-    """Pearson correlation over time of pixels that touch, each pair once: r0, c0, r1, c1, pearson."""
-    steps = F.array(*[F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a, b in ((0, 1), (1, -1), (1, 0), (1, 1))])
-    moved = movie.select("r", "c", "t", "v", F.explode(steps).alias("s")).select(F.col("r").alias("r0"), F.col("c").alias("c0"), (F.col("r") + F.col("s.dr")).alias("r"), (F.col("c") + F.col("s.dc")).alias("c"), "t", F.col("v").alias("v0"))
-    both = moved.join(movie, ["r", "c", "t"])
-    return both.groupBy("r0", "c0", F.col("r").alias("r1"), F.col("c").alias("c1")).agg(F.corr("v0", "v").alias("pearson"))
+    """Pearson correlation over time of pixels that touch, each pair once: r0, c0, r1, c1, pearson. Null without spread, with a
+    missing value, or where two pixels differ in their number of frames. Pixels are packed and meet in tiles, so that only those at
+    a tile's edge are sent twice."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        at = {p: i for i, p in enumerate(zip(rows["r"].tolist(), rows["c"].tolist()))}
+        first = [p for p in at if (p[0] // TILE, p[1] // TILE) == key]
+        pairs = [(p, q) for p in first for q in ((p[0] + dr, p[1] + dc) for dr, dc in NEIGHBOURS) if q in at]
+        series = [np.asarray(x, float) for x in rows["x"]]
+        unit = []
+        for x in series:
+            x = x - x.mean() if len(x) else x
+            size = np.sqrt(x @ x)
+            unit.append(x / size if size > 0 else np.full(len(x), np.nan))
+        out = [float(unit[at[p]] @ unit[at[q]]) if len(unit[at[p]]) == len(unit[at[q]]) else np.nan for p, q in pairs]
+        return pd.DataFrame([(*p, *q, None if np.isnan(v) else v) for (p, q), v in zip(pairs, out)], columns=["r0", "c0", "r1", "c1", "pearson"])
+
+    return tiled(packed(movie), NEIGHBOURS).groupBy("tr", "tc").applyInPandas(run, "r0 int, c0 int, r1 int, c1 int, pearson double")
 
 
 def graph_image(edges: DataFrame, value: str) -> DataFrame:

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import warnings
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenflow.functions import kernels
+from lumenflow.operators import sliding
+
 
 def _held(df: DataFrame, keys: list[str], before: int, after: int) -> DataFrame:
     """Rows at p from -before to n - 1 + after, the edge values held; p equals k for the rows themselves."""
@@ -25,10 +32,21 @@ def boxcar(movie: DataFrame, size: int, keys: list[str], value: str = "v") -> Da
 
 
 def held_median(trace: DataFrame, size: int, value: str = "f") -> DataFrame:
-    """Median over an odd window, edges held, as column ``q``."""
-    half = size // 2
-    middle = F.percentile(value, F.lit(0.5)).over(_around(["roi"], half, half))
-    return _held(trace.select("roi", "t", value), ["roi"], half, half).withColumn("q", middle).where("p = k").select("roi", "t", value, "q")
+    """roi, t, the value and ``q``: the median over an odd window, edges held, of the values that are there."""
+    def rule(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        f = sliding.values(table)
+        if size <= kernels._SHORT or np.isnan(f).any():
+            padded, at = kernels.padded_all(f, starts, size // 2, held=True)
+            gaps = np.isnan(f).any()
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")  # a window without values has none
+                q = kernels.windows_at(padded, at, size, lambda w: np.nanmedian(w, axis=1) if gaps else np.median(w, axis=1))
+        else:
+            q = kernels.rank_filter_all(f, starts, size, size // 2, held=True)
+        return sliding.with_columns(table, q=q).add_column(2, value, table.column("f"))
+
+    kinds = dict(trace.dtypes)
+    return sliding.through_regions(trace, rule, f"roi {kinds['roi']}, t {kinds['t']}, {value} double, q double", value)
 
 
 def clip_outliers(trace: DataFrame, size: int, most: float) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenflow.functions import kernels
+from lumenflow.operators import sliding
 
 #: A side of a join with up to this many rows is broadcast.
 BROADCAST_ROWS = 500_000
@@ -57,38 +59,63 @@ def _frame(half: int):
     return Window.partitionBy("roi").orderBy("t").rowsBetween(-half, half)
 
 
+def _whole(table: pa.Table, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values (0 in traces with gaps), the number of each row's trace, and which traces have no gaps."""
+    f = sliding.values(table)
+    trace = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(f))))
+    whole = np.bincount(trace[np.isnan(f)], minlength=len(starts)) == 0
+    return np.where(whole[trace], f, 0.0), trace, whole
+
+
 def rolling_quantile(trace: DataFrame, size: int, rank: int) -> DataFrame:
-    """The value of the given rank (from 0) in each window of odd ``size``, edges reflected. A region's trace is one group,
-    through which a sorted window slides; a trace with gaps has none."""
+    """roi, t, f, and q: the value of the given rank (from 0) in each window of odd ``size``, edges mirrored; null in a trace with gaps.
+    A window slides through the traces of a task one after the other."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("t")
-        f = rows["f"].to_numpy(float)
-        return rows.assign(q=None if pd.isna(f).any() else kernels.rank_filter(f, size, rank))
+    def rule(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        f, own, whole = _whole(table, starts)
+        q = np.where(whole[own], kernels.rank_filter_all(f, starts, size, rank), np.nan)
+        return sliding.with_columns(table, q=q).add_column(2, "f", table.column("f"))
 
     kinds = dict(trace.dtypes)
-    return trace.select("roi", "t", "f").groupBy("roi").applyInPandas(run, f"roi {kinds['roi']}, t {kinds['t']}, f double, q double")
+    return sliding.through_regions(trace, rule, f"roi {kinds['roi']}, t {kinds['t']}, f double, q double")
 
 
 def rolling_median(trace: DataFrame, size: int) -> DataFrame:
     return rolling_quantile(trace, size, size // 2)
 
 
+def _noise(f: np.ndarray, starts: np.ndarray, whole: np.ndarray, size: int) -> np.ndarray:
+    """Each trace's noise; NaN for those with gaps."""
+    left = np.split(f - kernels.rank_filter_all(f, starts, size, size // 2), starts[1:])
+    return np.array([kernels.deviation_left(x) if ok else np.nan for x, ok in zip(left, whole)])
+
+
 def noise_std(trace: DataFrame, size: int) -> DataFrame:
     """Robust deviation of what a rolling median leaves, without large and negative outliers: roi, noise; null for
     traces with gaps and where no value is left."""
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"roi": [key[0]], "noise": [kernels.noise_std(rows.sort_values("t")["f"].to_numpy(float), size)]})
+    def rule(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        f, _, whole = _whole(table, starts)
+        return pa.table({"roi": table.column("roi").take(pa.array(starts)), "noise": pa.array(_noise(f, starts, whole, size), from_pandas=True)})
 
-    out = trace.select("roi", "t", "f").groupBy("roi").applyInPandas(run, f"roi {dict(trace.dtypes)['roi']}, noise double")
-    return out.withColumn("noise", F.nanvl("noise", F.lit(None).cast("double")))
+    return sliding.through_regions(trace, rule, f"roi {dict(trace.dtypes)['roi']}, noise double")
 
 
 def dff(trace: DataFrame, short: int, long: int) -> DataFrame:
-    """(F - baseline) / max(baseline, noise), the baseline a rolling median: roi, t, dff, small_baseline."""
-    base = rolling_median(trace, long).join(noise_std(trace, short), "roi")
-    return base.select("roi", "t", ((F.col("f") - F.col("q")) / F.greatest("q", "noise")).alias("dff"), (F.col("q") <= F.col("noise")).alias("small_baseline"))
+    """(F - baseline) / max(baseline, noise), the baseline a rolling median: roi, t, dff, small_baseline. Nulls in traces with gaps."""
+
+    def rule(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        f, own, whole = _whole(table, starts)
+        base, noise = kernels.rank_filter_all(f, starts, long, long // 2), _noise(f, starts, whole, short)[own]
+        # without a noise the baseline counts alone, as the greater of the two
+        scale = np.fmax(base, noise)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out = np.where(whole[own] & (scale != 0), (f - base) / scale, np.nan)
+        small = pa.array(base <= noise, mask=~whole[own] | np.isnan(noise))
+        return sliding.with_columns(table, dff=out).append_column("small_baseline", small)
+
+    kinds = dict(trace.dtypes)
+    return sliding.through_regions(trace, rule, f"roi {kinds['roi']}, t {kinds['t']}, dff double, small_baseline boolean")
 
 
 def dilate(flags: DataFrame, reach: int) -> DataFrame:

@@ -415,12 +415,12 @@ def filtered_correlation(spark: SparkSession, d: str) -> DataFrame:
     return _round(graphs.filtered_correlation(views.movie(spark, d), 0.2))
 
 
-@_query(f""", s AS (SELECT * FROM movie WHERE r < 6 AND c < 8), e AS (SELECT DISTINCT a.r AS r0, a.c AS c0, b.r AS r1, b.c AS c1 FROM s a JOIN s b ON a.t = b.t AND {_TOUCH}),
+@_query(f""", s AS (SELECT * FROM movie), e AS (SELECT DISTINCT a.r AS r0, a.c AS c0, b.r AS r1, b.c AS c1 FROM s a JOIN s b ON a.t = b.t AND {_TOUCH}),
 p AS (SELECT r0, c0, r1, c1, n.r, n.c FROM e JOIN (SELECT DISTINCT r, c FROM s) n ON sqrt((n.r - (r0 + r1) / 2) ** 2 + (n.c - (c0 + c1) / 2) ** 2) <= 1.6),
 g AS (SELECT r0, c0, r1, c1, p.r, p.c, corr(a.v, x.v) - corr(b.v, x.v) AS g FROM p JOIN s a ON a.r = r0 AND a.c = c0 JOIN s b ON b.r = r1 AND b.c = c1 AND b.t = a.t JOIN s x ON x.r = p.r AND x.c = p.c AND x.t = a.t GROUP BY ALL)
 SELECT r0, c0, r1, c1, round(exp(-sum(g * g)), 6) AS hnc FROM g GROUP BY ALL""")
 def hnc_gaussian(spark: SparkSession, d: str) -> DataFrame:
-    return _round(graphs.hnc_gaussian(views.movie(spark, d).where("r < 6 AND c < 8"), 1.6))
+    return _round(graphs.hnc_gaussian(views.movie(spark, d), 1.6))
 
 
 @_query(None)
