@@ -221,16 +221,28 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _likely(points: DataFrame, pivots: int, per_pivot: int) -> DataFrame:
+    """Rows that a hash picks, about ``64 + 4 * wanted`` of each length, where ``wanted`` pivots are to be had."""
+    wanted = F.least(F.lit(pivots), F.ceil(F.col("count") / per_pivot))
+    sizes = points.groupBy("width").count().select("width", wanted.alias("wanted"), ((64 + 4 * wanted) / F.col("count")).alias("share"))
+    place = F.xxhash64("row") / 2.0**64 + 0.5  # rows are numbered, so copies are picked one by one
+    return points.join(sizes, "width").where(place < F.col("share"))
+
+
+def _picked(points: DataFrame, pivots: int, per_pivot: int) -> DataFrame:
+    """The pivots: one for ``per_pivot`` vectors of a length, up to ``pivots``. Only rows that a hash picks are put in order, so
+    no task sees all vectors of a length; should it pick too few, which with 64 to spare hardly happens, there are fewer pivots."""
+    order = Window.partitionBy("width").orderBy(F.xxhash64("row"), "row")
+    return _likely(points, pivots, per_pivot).withColumn("r", F.row_number().over(order)).where(F.col("r") <= F.col("wanted"))
+
+
 class Search:
     """The steps of a search, so that what each sends can be looked at."""
 
     def __init__(self, vectors: DataFrame, k: int = K, every: int = 20, scale: int = SCALE, pivots: int = PIVOTS, per_pivot: int = PER_PIVOT):
         spark, self.k = session(vectors), k
         self.points = materialize(scaled(vectors, scale).withColumn("width", F.size("x")))
-        order = Window.partitionBy("width").orderBy(F.xxhash64("vec_id", "x"), "row")
-        sizes = self.points.groupBy("width").count()
-        sample = self.points.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots).join(sizes, "width")
-        picked = sample.where((F.col("r") - 1) * per_pivot < F.col("count")).select("width", "x").toPandas()  # at most ``pivots`` of a length
+        picked = _picked(self.points, pivots, per_pivot).select("width", "x").toPandas()  # at most ``pivots`` of a length
         index = Index(picked)
         held = spark.sparkContext.broadcast(index)  # its size is bounded by the pivots
         assigned = self.points.mapInPandas(_assign(held), "vec_id long, x array<double>, row long, width int, cell int, angle double, norm double, step int")

@@ -328,6 +328,16 @@ def test_topk(spark):
     assert sorted(topk.top_k(mixed).collect(), key=str) == sorted([(0, 1, None, 64 * 64 * 15), (0, 2, 1, 64 * 64 * 3), (0, 3, 3, 0), (20, 1, 2, 64 * 64 * 6)], key=str)
 
 
+def test_topk_pivots_come_from_a_few_rows(spark):
+    """A third of all rows are copies of one vector; what is put in order doesn't grow with the rows."""
+    rows = spark.range(30_000).select(F.col("id").alias("row"), F.array(F.when(F.col("id") % 3 == 0, F.lit(1.0)).otherwise(F.rand(1)), F.lit(2.0)).alias("x")).withColumn("width", F.when(F.col("row") < 5, F.lit(3)).otherwise(F.lit(2)))
+    rows = rows.cache()
+    likely = {r["width"]: r["count"] for r in topk._likely(rows, 16, 1000).groupBy("width").count().collect()}
+    assert likely[3] == 5 and 60 < likely[2] < 220
+    picked = {r["width"]: r["count"] for r in topk._picked(rows, 16, 1000).groupBy("width").count().collect()}
+    assert picked == {3: 1, 2: 16}
+
+
 def test_topk_bounds_leave_out_most_of_clustered_vectors(spark, monkeypatch):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(40, 16))
