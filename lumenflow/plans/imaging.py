@@ -18,7 +18,9 @@ def _query(sql: str | None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            SQL[f.__name__] = f"WITH {views.SQL}{sql if sql.startswith(',') else ' ' + sql}"
+            # a recursive table is marked as one; the mark belongs in front of the first
+            head = "RECURSIVE " if "RECURSIVE" in sql else ""
+            SQL[f.__name__] = f"WITH {head}{views.SQL}{sql.replace('RECURSIVE ', '') if sql.startswith(',') else ' ' + sql}"
         return f
 
     return add
@@ -376,7 +378,9 @@ def clipped_negatives(spark: SparkSession, d: str) -> DataFrame:
     return _round(analysis.clip_negative(t, t.select("roi", "t", (F.col("f") > 60).alias("active")), 10))
 
 
-@_query(None)
+@_query(""", h AS RECURSIVE (SELECT roi, list(f ORDER BY f) AS l FROM trace GROUP BY roi
+  UNION ALL SELECT roi, l[j:j + n - 1] FROM (SELECT roi, l, n, list_position(w, list_min(w)) AS j FROM (SELECT roi, l, n, list_transform(range(1, n + 1), lambda i: l[i + n - 1] - l[i]) AS w FROM (SELECT roi, l, (len(l) + 1) // 2 AS n FROM h WHERE len(l) > 3))))
+SELECT roi, round(CASE len(l) WHEN 3 THEN CASE WHEN l[2] - l[1] < l[3] - l[2] THEN (l[1] + l[2]) / 2 ELSE l[2] END WHEN 2 THEN (l[1] + l[2]) / 2 ELSE l[1] END, 6) AS mode FROM h WHERE len(l) <= 3""")
 def trace_modes(spark: SparkSession, d: str) -> DataFrame:
     return _round(analysis.modes(views.trace(spark, d)))
 
@@ -423,9 +427,14 @@ def hnc_gaussian(spark: SparkSession, d: str) -> DataFrame:
     return _round(graphs.hnc_gaussian(views.movie(spark, d), 1.6))
 
 
-@_query(None)
+@_query(f""", e AS (SELECT r0, c0, r1, c1, 1 + pearson AS pearson FROM ({_EDGES})), img AS (SELECT r, c, avg(p) AS v FROM (SELECT r0 AS r, c0 AS c, pearson AS p FROM e UNION ALL SELECT r1, c1, pearson FROM e) GROUP BY r, c),
+w AS (SELECT k, exp(-0.5 * (k / 1.5) ** 2) AS w FROM range(-6, 7) x(k)), n AS (SELECT k, w / (SELECT sum(w) FROM w) AS w FROM w),
+one AS (SELECT a.r, a.c, sum(n.w * b.v) AS v FROM (SELECT *, max(r) OVER (PARTITION BY c) AS top FROM img) a, n JOIN img b ON b.c = a.c AND b.r = greatest(0, least(a.top, a.r + n.k)) GROUP BY a.r, a.c),
+two AS (SELECT a.r, a.c, sum(n.w * b.v) AS v FROM (SELECT *, max(c) OVER (PARTITION BY r) AS top FROM one) a, n JOIN one b ON b.r = a.r AND b.c = greatest(0, least(a.top, a.c + n.k)) GROUP BY a.r, a.c)
+SELECT r0, c0, r1, c1, round(pearson / ((x.v + y.v) / 2), 6) AS normalized FROM e JOIN two x ON x.r = r0 AND x.c = c0 JOIN two y ON y.r = r1 AND y.c = c1""")
 def normalized_graph(spark: SparkSession, d: str) -> DataFrame:
-    return _round(graphs.normalized(movies.neighbour_correlation(views.movie(spark, d)), "pearson", 1.5))
+    positive = movies.neighbour_correlation(views.movie(spark, d)).withColumn("pearson", 1 + F.col("pearson"))
+    return _round(graphs.normalized(positive, "pearson", 1.5))
 
 
 @_query("SELECT DISTINCT a.roi, c.roi AS other FROM roi_pixels a JOIN roi_pixels m USING (r, c) JOIN roi_pixels n ON n.roi = m.roi JOIN roi_pixels c ON c.r = n.r AND c.c = n.c")
@@ -460,7 +469,10 @@ def best_frames(spark: SparkSession, d: str) -> DataFrame:
     return _round(selection.best_frames(selection.frame_means(views.movie(spark, d)).withColumnRenamed("m", "score"), 9))
 
 
-@_query(None)
+@_query(""", m AS (SELECT t, avg(v) AS m FROM movie GROUP BY t),
+cut AS RECURSIVE (SELECT 0 AS i, CAST('-inf' AS DOUBLE) AS lo, CAST('inf' AS DOUBLE) AS hi
+  UNION ALL SELECT i + 1, greatest(any_value(lo), avg(m) - 1.5 * stddev_pop(m)), least(any_value(hi), avg(m) + 1.5 * stddev_pop(m)) FROM cut JOIN m ON m BETWEEN lo AND hi WHERE i < 40 GROUP BY i)
+SELECT t, round(m, 6) AS m FROM m, (SELECT * FROM cut WHERE i = 40) WHERE m BETWEEN lo AND hi""")
 def usual_frames(spark: SparkSession, d: str) -> DataFrame:
     return _round(selection.usual_frames(views.movie(spark, d), 1.5))
 
@@ -506,9 +518,12 @@ def paired_traces(spark: SparkSession, d: str) -> DataFrame:
     return _round(_two_traces(spark, d))
 
 
-@_query(None)
+@_query(""", planes AS (SELECT r, c, t, v, 0 AS plane FROM movie UNION ALL SELECT r, c, t, v * v + t / 64, 1 FROM movie),
+p AS (SELECT roi, t, avg(v) FILTER (b.plane = p.roi % 2) AS x, avg(v) FILTER (b.plane <> p.roi % 2) AS y FROM planes b JOIN roi_pixels p USING (r, c) GROUP BY roi, t),
+k AS (SELECT roi, avg(x) AS a, avg(y) AS b, var_pop(x) AS p, covar_pop(x, y) AS q, var_pop(y) AS s FROM p GROUP BY roi), e AS (SELECT *, sqrt(greatest(p * s - q * q, 0)) AS d FROM k)
+SELECT roi, t, round(((s + d) * (x - a) - q * (y - b)) / (d * sqrt(p + s + 2 * d)), 6) AS x0, round(((e.p + d) * (y - b) - q * (x - a)) / (d * sqrt(e.p + s + 2 * d)), 6) AS x1 FROM p JOIN e USING (roi)""".replace("sqrt(p + s", "sqrt(e.p + s"))
 def whitened_traces(spark: SparkSession, d: str) -> DataFrame:
-    return decrosstalk.whitened(_two_traces(spark, d))
+    return _round(decrosstalk.whitened(_two_traces(spark, d)))
 
 
 @_query(None)

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import time
+import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumenflow.operators import rois as rois_
+from lumenflow.sources import digests
+
 #: A region record of the extraction and classification steps.
 ROI = "id long, x int, y int, width int, height int, valid boolean, mask array<array<boolean>>, mask_page int, exclusion_labels array<string>"
 #: Names that a model may not have: they stand for the environments.
@@ -90,3 +94,84 @@ def active_model(registry: DataFrame, environment: str) -> DataFrame:
     """The last row that was activated in an environment."""
     order = Window.partitionBy("model_name").orderBy(F.desc("ts"))
     return registry.where(F.col("model_name") == environment).withColumn("k", F.row_number().over(order)).where("k = 1").drop("k")
+
+
+def write_masks(pixels: DataFrame, path: str) -> None:
+    """Masks of surroundings (roi, r, c) as JSON records: id, box, and mask as rows of flags, cropped to the box."""
+    rois_.to_dense(pixels).select(F.col("roi").alias("id"), "x", "y", "width", "height", F.lit(True).alias("valid"), "mask").write.json(path)
+
+
+def encoded(df: DataFrame, name: str = "json") -> DataFrame:
+    """The rows as JSON text in one column, numbers that JSON lacks as text."""
+    return df.select(F.to_json(F.struct(*(sane(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields))).alias(name))
+
+
+def _as_text(kind: T.DataType) -> T.DataType:
+    """The type with text in place of fractional numbers, at any depth."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return T.StringType()
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.MapType):
+        return T.MapType(kind.keyType, _as_text(kind.valueType))
+    return kind
+
+
+def _as_numbers(value: Column, kind: T.DataType) -> Column:
+    """What ``sane`` made text as numbers again."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        named = F.when(value == "_NaN_", "NaN").when(value == "_Inf_", "Infinity").when(value == "_-Inf_", "-Infinity")
+        return F.coalesce(named, value).cast(kind)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _as_numbers(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*(_as_numbers(value[f.name], f.dataType).alias(f.name) for f in kind.fields)))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, v: _as_numbers(v, kind.valueType))
+    return value
+
+
+def decoded(df: DataFrame, schema: str, name: str = "json") -> DataFrame:
+    """The rows behind JSON text; numbers may be text there, and those that JSON lacks are named as ``sane`` does."""
+    kind = T.StructType.fromDDL(schema)
+    read = df.select(F.from_json(F.col(name), _as_text(kind)).alias("row"))
+    return read.select(*(_as_numbers(F.col("row")[f.name], f.dataType).alias(f.name) for f in kind.fields))
+
+
+def segmentation_masks(spark: SparkSession, path: str) -> DataFrame:
+    """roi, r, c, w of a segmentation's ``stat.npy``: a pickled list of masks with ypix, xpix and lam, numbered in order. Pickles run code
+    as they are read, so the file must be one's own."""
+    import io
+
+    import numpy as np
+    import pandas as pd
+
+    def run(frames):
+        for files in frames:
+            for content in files["content"]:
+                for k, mask in enumerate(np.load(io.BytesIO(content), allow_pickle=True)):
+                    yield pd.DataFrame({"roi": k, "r": mask["ypix"], "c": mask["xpix"], "w": np.asarray(mask["lam"], float)})
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "roi int, r int, c int, w double")
+
+
+def image(spark: SparkSession, path: str) -> DataFrame:
+    """r, c, v of an image file: the mean of its colours, from Spark's image reader."""
+    found = spark.read.format("image").load(path).select("image.*").where("height > 0")
+    at = F.posexplode(F.expr("transform(sequence(0, height * width - 1), k -> aggregate(sequence(0, least(nChannels, 3) - 1), 0D, (s, j) -> s + conv(hex(substring(data, k * nChannels + j + 1, 1)), 16, 10)) / least(nChannels, 3))")).alias("k", "v")
+    return found.select("width", at).select(F.floor(F.col("k") / F.col("width")).cast("int").alias("r"), (F.col("k") % F.col("width")).cast("int").alias("c"), "v")
+
+
+def first_existing(folders: list[str], name: str) -> str | None:
+    """The path of a file in the first of the folders that has it; None with a warning if none does."""
+    for folder in folders:
+        path = f"{folder.rstrip('/')}/{name}"
+        try:
+            digests.listed(path)
+            return path
+        except FileNotFoundError:
+            pass
+    warnings.warn(f"{name} is in none of {folders}", stacklevel=2)
+    return None
