@@ -101,9 +101,9 @@ def cut_outs(layers: dict[str, DataFrame], pixels: DataFrame, size: int) -> Data
     Windows of all regions and images come from one join: a region's window goes to the tiles of ``size`` pixels that it meets,
     and there takes the pixels of all images.
     """
-    boxes = rois.bounds(pixels)
-    low = lambda lo, extent: F.floor(F.col(lo) + F.col(extent) / 2).cast("int") - size // 2
-    windows = boxes.select("roi", low("y", "height").alias("r0"), low("x", "width").alias("c0"))
+    boxes = rois.centres(pixels)
+    low = lambda middle: F.col(middle) - size // 2
+    windows = boxes.select("roi", low("middle_y").alias("r0"), low("middle_x").alias("c0"))
     tile = lambda c: F.floor(F.col(c) / size).cast("int")
     near = windows.withColumn("tr", F.explode(F.array(tile("r0"), tile("r0") + 1))).withColumn("tc", F.explode(F.array(tile("c0"), tile("c0") + 1)))
     stacked = None

@@ -24,6 +24,23 @@ def bounds(pixels: DataFrame) -> DataFrame:
     )
 
 
+def middles(box: DataFrame) -> DataFrame:
+    """The boxes (roi, x, y, width, height) with middle_x and middle_y, halves to even."""
+    at = lambda lo, size: F.rint(F.col(lo) + F.col(size) / 2).cast("int")
+    return box.withColumn("middle_x", at("x", "width")).withColumn("middle_y", at("y", "height"))
+
+
+def centres(pixels: DataFrame) -> DataFrame:
+    """roi, middle_x, middle_y of each region's box."""
+    return middles(bounds(pixels)).select("roi", "middle_x", "middle_y")
+
+
+def shared_pixels(a: DataFrame, b: DataFrame) -> DataFrame:
+    """roi_a, roi_b, r, c: the pixels that a region of one set has in common with a region of the other."""
+    one, two = (x.select(F.col("roi").alias(n), "r", "c").distinct() for x, n in ((a, "roi_a"), (b, "roi_b")))
+    return one.join(two, ["r", "c"]).select("roi_a", "roi_b", "r", "c")
+
+
 def keep_round(pixels: DataFrame, least_aspect: float = 0.2) -> DataFrame:
     """Regions that aren't too long in one direction."""
     box = bounds(pixels)
@@ -60,9 +77,12 @@ def abutting(pixels: DataFrame, distance: float = 2**0.5) -> DataFrame:
 
 
 def motion_border(shift: DataFrame, most: float = 30.0) -> DataFrame:
-    """Largest shifts in each direction, outliers beyond ``most`` left out, and the border they leave."""
-    ok = shift.agg(*(f(F.when(F.abs(c) <= most, F.col(c))).alias(n) for f, c, n in ((F.max, "x", "hi_x"), (F.min, "x", "lo_x"), (F.max, "y", "hi_y"), (F.min, "y", "lo_y"))))
+    """Largest shifts in each direction, outliers beyond ``most`` left out, and the border they leave. NaN is an error."""
+    gap = F.coalesce(F.max(F.isnan(F.col("x").cast("double")) | F.isnan(F.col("y").cast("double"))), F.lit(False))
+    refuse = F.raise_error(F.lit("a shift is NaN")).cast("double")
+    ok = shift.agg(gap.alias("gap"), *(f(F.when(F.abs(c) <= most, F.col(c))).alias(n) for f, c, n in ((F.max, "x", "hi_x"), (F.min, "x", "lo_x"), (F.max, "y", "hi_y"), (F.min, "y", "lo_y"))))
     up = lambda c: F.greatest(c, F.lit(0.0))
+    ok = ok.withColumn("hi_x", F.when(F.col("gap"), refuse).otherwise(F.col("hi_x")))
     return ok.select(F.col("hi_x").alias("left"), (-F.col("lo_x")).alias("right"), F.col("hi_y").alias("up"), (-F.col("lo_y")).alias("down"), up(F.col("hi_y")).alias("bottom"), up(-F.col("lo_y")).alias("top"), up(-F.col("lo_x")).alias("left_side"), up(F.col("hi_x")).alias("right_side"))
 
 

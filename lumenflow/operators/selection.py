@@ -171,7 +171,7 @@ def thumbnail(x: Column, y: Column, width: Column, height: Column, columns: int,
 def centred_image(image: DataFrame, box: DataFrame, width: int) -> DataFrame:
     """roi, r, c, v: a window of the image around each region's middle (roi, x, y, width, height), zero outside."""
     steps = F.sequence(F.lit(0), F.lit(width - 1))
-    low = lambda lo, size: F.floor(F.col(lo) + F.col(size) / 2).cast("int") - width // 2
+    low = lambda lo, size: F.rint(F.col(lo) + F.col(size) / 2).cast("int") - width // 2
     grid = box.select("roi", low("y", "height").alias("r0"), low("x", "width").alias("c0"), F.explode(steps).alias("r")).select("*", F.explode(steps).alias("c"))
     held = image.select(F.col("r").alias("ir"), F.col("c").alias("ic"), "v")
     met = grid.join(held, (F.col("r0") + F.col("r") == F.col("ir")) & (F.col("c0") + F.col("c") == F.col("ic")), "left")

@@ -32,6 +32,15 @@ def masked_mean(movie: DataFrame, pixels: DataFrame) -> DataFrame:
     return movie.join(if_small(pixels), ["r", "c"]).groupBy("roi", "t").agg(F.avg("v").alias("f"))
 
 
+def regions_and_surroundings(movie: DataFrame, pixels: DataFrame, reach: int, extent: DataFrame, border: tuple[float, float, float, float] = (0, 0, 0, 0)) -> DataFrame:
+    """roi, t, f, np: the mean of each region's pixels and of those around it, null without any. Masks of both kinds meet the movie in
+    one join, so it is read once."""
+    own = pixels.select("roi", "r", "c").withColumn("around", F.lit(False))
+    both = own.unionByName(neuropil_mask(pixels, reach, extent, border).withColumn("around", F.lit(True)))
+    mean = lambda around, name: F.avg(F.when(F.col("around") == around, F.col("v"))).alias(name)
+    return movie.join(if_small(both), ["r", "c"]).groupBy("roi", "t").agg(mean(False, "f"), mean(True, "np"))
+
+
 def weighted_trace(movie: DataFrame, pixels: DataFrame, by_size: bool = True) -> DataFrame:
     """Weighted sum of a region's pixels, divided by their number if asked for."""
     total = F.sum(F.col("v") * F.col("w"))

@@ -212,7 +212,7 @@ def plane_averages(spark: SparkSession, d: str) -> DataFrame:
     return _round(tiff.pixels(splitting.by_plane(pages, 3)).groupBy("place", "r", "c").agg(F.avg("v").alias("v")))
 
 
-@_query(""", b AS (SELECT roi, CAST(floor(min(r) + (max(r) - min(r) + 1) / 2) AS INT) - 4 AS r0, CAST(floor(min(c) + (max(c) - min(c) + 1) / 2) AS INT) - 4 AS c0 FROM roi_pixels GROUP BY roi),
+@_query(""", b AS (SELECT roi, CAST(round_even(min(r) + (max(r) - min(r) + 1) / 2, 0) AS INT) - 4 AS r0, CAST(round_even(min(c) + (max(c) - min(c) + 1) / 2, 0) AS INT) - 4 AS c0 FROM roi_pixels GROUP BY roi),
 img AS (SELECT 'max' AS image, r, c, CAST(floor((max(v) + 1) * 100) AS INT) AS v FROM movie GROUP BY r, c UNION ALL SELECT 'avg', r, c, CAST(floor(round((avg(v) + 1) * 1000, 6)) AS INT) FROM movie GROUP BY r, c),
 g AS (SELECT roi, r0, c0, image, CAST(r AS INT) AS r, CAST(c AS INT) AS c FROM b, (VALUES ('max'), ('avg'), ('mask')) n(image), range(8) x(r), range(8) y(c))
 SELECT g.roi, g.image, g.r, g.c, CASE WHEN g.image = 'mask' THEN CASE WHEN p.roi IS NULL THEN 0 ELSE 255 END ELSE coalesce(i.v, 0) END AS v FROM g

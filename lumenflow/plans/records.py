@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lumenflow.operators import decrosstalk, graphs, movies, planes, reports, rois, seeding, selection
+from lumenflow.operators import decrosstalk, graphs, movies, planes, reports, rois, seeding, selection, traces
 from lumenflow.plans.recordings import _round
 from lumenflow.sources import adapters as views
 from lumenflow.sources import files
@@ -309,3 +309,24 @@ def experiment_metadata(spark: SparkSession, d: str) -> DataFrame:
     orders = views._table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("experiment"))
     customers = views._table(spark, d, "customer").select(F.col("c_custkey").alias("experiment"), F.col("c_name").alias("name"))
     return reports.with_metadata(orders, customers)
+
+
+@_query("SELECT roi, CAST(round_even(min(c) + (max(c) - min(c) + 1) / 2, 0) AS INT) AS middle_x, CAST(round_even(min(r) + (max(r) - min(r) + 1) / 2, 0) AS INT) AS middle_y FROM roi_pixels GROUP BY roi")
+def region_middles(spark: SparkSession, d: str) -> DataFrame:
+    return rois.centres(views.roi_pixels(spark, d))
+
+
+@_query("SELECT DISTINCT a.roi AS roi_a, b.roi AS roi_b, a.r, a.c FROM roi_pixels a JOIN roi_pixels b USING (r, c) WHERE a.roi % 3 = 0 AND b.roi % 3 > 0")
+def shared_pixels(spark: SparkSession, d: str) -> DataFrame:
+    pixels = views.roi_pixels(spark, d)
+    return rois.shared_pixels(pixels.where("roi % 3 = 0"), pixels.where("roi % 3 > 0"))
+
+
+@_query(""", near AS (SELECT DISTINCT roi, r + dr AS r, c + dc AS c FROM roi_pixels, range(-2, 3) a(dr), range(-2, 3) b(dc)),
+rim AS (SELECT n.* FROM near n WHERE r BETWEEN 1 AND (SELECT max(r) FROM movie) - 1 AND c BETWEEN 3 AND 31 AND NOT EXISTS (SELECT 1 FROM roi_pixels p WHERE p.r = n.r AND p.c = n.c)),
+o AS (SELECT roi, t, avg(v) AS f FROM movie JOIN (SELECT roi, r, c FROM roi_pixels) USING (r, c) GROUP BY roi, t), n AS (SELECT roi, t, avg(v) AS np FROM movie JOIN rim USING (r, c) GROUP BY roi, t)
+SELECT roi, t, round(f, 6) AS f, round(np, 6) AS np FROM o FULL JOIN n USING (roi, t)""")
+def regions_and_surroundings(spark: SparkSession, d: str) -> DataFrame:
+    """Traces of regions and their surroundings in one pass."""
+    movie = views.movie(spark, d)
+    return _round(traces.regions_and_surroundings(movie, views.roi_pixels(spark, d), 2, movies.extent(movie), (3, 0, 1, 1)))

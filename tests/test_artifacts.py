@@ -102,7 +102,7 @@ def test_cut_outs_of_all_regions(spark, tmp_path, inputs):
     for k in (1, 7, 9):
         x, y, m = MASKS[k]
         m = np.array(m)
-        r0, c0 = (y + m.shape[0] / 2) // 1 - 3, (x + m.shape[1] / 2) // 1 - 3
+        r0, c0 = round(y + m.shape[0] / 2) - 3, round(x + m.shape[1] / 2) - 3
         wide, mask = np.zeros((60, 60)), np.zeros((60, 60))
         wide[20:40, 20:44] = scaled
         mask[20 + y : 20 + y + m.shape[0], 20 + x : 20 + x + m.shape[1]] = m * 255

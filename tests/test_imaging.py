@@ -8,23 +8,25 @@ import pytest
 
 from lumenflow.functions import scalars
 from lumenflow.operators import checks, images, movies, rois, signals, traces
-from lumenflow.plans import imaging
+from lumenflow.plans import imaging, recordings, records
 from lumenflow.sources import adapters
 
 DATA = "/root/testdata/sf0.001"
+SQL = imaging.SQL | recordings.SQL | records.SQL
+QUERIES = imaging.QUERIES | recordings.QUERIES | records.QUERIES
 
 
 def _plain(v):
     return round(v, 6) + 0.0 if isinstance(v, float) else v
 
 
-@pytest.mark.parametrize("name", sorted(imaging.SQL))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in "supplier orders events embeddings customer".split():
+    for t in "supplier orders events embeddings customer nation".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
-    df = imaging.QUERIES[name](spark, DATA)
-    cur = con.execute(imaging.SQL[name])
+    df = QUERIES[name](spark, DATA)
+    cur = con.execute(SQL[name])
     names = [d[0] for d in cur.description]
     assert sorted(names) == sorted(df.columns)
     want = sorted(repr(tuple(_plain(r[names.index(c)]) for c in df.columns)) for r in cur.fetchall())
@@ -143,3 +145,12 @@ def test_entry(spark):
 
     assert e.entry(spark).columns == ["roi", "t", "f"]
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_no_name_is_taken_twice():
+    assert len(QUERIES) == len(imaging.QUERIES) + len(recordings.QUERIES) + len(records.QUERIES)
+
+
+def test_a_missing_shift_is_an_error(spark):
+    with pytest.raises(Exception, match="a shift is NaN"):
+        rois.motion_border(spark.createDataFrame([(0, 1.0, float("nan"))], "t int, x double, y double")).collect()
