@@ -1,6 +1,11 @@
 """License scans: Dice coefficient of word bigrams against licence templates, in DataFrame functions only.
 
-Candidate texts are a document's lines, its paragraphs (between blank lines) and its whole text.
+Candidate texts are a document's lines, its paragraphs (between blank lines), its whole text and, for headers
+with other lines directly around them, windows of lines. A window begins at a line and holds two lines at
+least: for each template both the shortest run of lines with as many words as the template and the longest
+with fewer, up to (2 - t) / t times its words. Lines without words (comment marks, blank lines) don't count. Windows
+are formed only in documents that share enough bigrams with the template, and only at lines after which, within
+reach, enough of them lie.
 Both sides are normalised to lower-case words of letters and digits. A template with n bigrams can
 only reach the threshold t with texts of n * t / (2 - t) to n * (2 - t) / t bigrams, and shares at
 least that lower number of its own; so every match holds one of the template's first
@@ -10,7 +15,8 @@ templates whose sizes allow it.
 
 Defined cases: null and empty texts match nothing; equal texts of one document count once each
 time they occur; rows that repeat doc_id are one document, in which a place (line or paragraph
-number) counts once; a null doc_id is a group of its own; an empty table gives no rows; extra
+number) counts once; windows that begin at consecutive lines are one match; work grows linearly with a text's
+length; a null doc_id is a group of its own; an empty table gives no rows; extra
 columns are ignored.
 """
 
@@ -71,10 +77,50 @@ def _normal(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.regexp_replace(text, r"[^A-Za-z0-9]+", " ")), " "), "")
 
 
+def _split(joined: str) -> Column:
+    """An array of words or bigrams as one literal."""
+    return F.split(F.lit(joined), "\\|")
+
+
+def _let(value: Column, body) -> Column:
+    """The body over a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _windows(texts: dict[str, list[str]], lengths: dict[str, int], threshold: float) -> Column:
+    """Windows of lines for all templates whose bigrams the whole text shares often enough.
+
+    Takes the columns w (words), g (their bigrams), starts and stops (of lines, in words).
+    """
+    reach = {k: math.floor(lengths[k] * (2 - threshold) / threshold + 1e-9) for k in texts}
+    known = F.array(*[
+        F.struct(F.lit(k).alias("id"), F.lit(lengths[k]).alias("n"), F.lit(_least(len(b), threshold)).alias("least"), F.lit(reach[k]).alias("reach"), F.lit(anchors(b, threshold)[0]).alias("key"), _split("|".join(b)).alias("grams"))
+        for k, b in texts.items()
+    ])
+    shared = F.array_intersect("g", _split("|".join(sorted({x for b in texts.values() for x in b}))))
+    lines = F.transform("starts", lambda s, k: F.struct(s.alias("s"), k.alias("k")))
+
+    def of_template(t: Column) -> Column:
+        near = lambda flags: F.filter(lines, lambda x: F.size(F.filter(F.slice(flags, x["s"] + 1, t["reach"] - 1), lambda f: f)) >= t["least"])
+        begins = _let(F.transform("g", lambda x: F.array_contains(t["grams"], x)), near)
+        return F.flatten(F.transform(begins, lambda x: ends(x, t)))
+
+    def ends(x: Column, t: Column) -> Column:
+        full = lambda e: e >= x["s"] + t["n"]
+        both = _let(F.slice("stops", x["k"] + 2, t["n"]), lambda e: F.array(F.array_max(F.filter(e, lambda y: ~full(y))), F.get(F.filter(e, full), 0)))
+        fits = F.filter(both, lambda e: e.isNotNull() & (e - x["s"] <= t["reach"]))
+        own = lambda e: F.array_distinct(F.slice("g", x["s"] + 1, e - x["s"] - 1))
+        return F.transform(fits, lambda e: F.struct(F.lit("window").alias("scope"), x["k"].alias("k"), own(e).alias("own"), F.array(t["key"]).alias("anchors"), t["id"].alias("only")))
+
+    fitting = _let(shared, lambda h: F.when(F.size(h) >= min(_least(len(b), threshold) for b in texts.values()), F.filter(known, lambda t: F.size(F.array_intersect(h, t["grams"])) >= t["least"])))
+    return F.flatten(F.transform(fitting, of_template))
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, license_id, scope (line, paragraph or document), n_matches, best_dice (rounded to 6 places)."""
+    """doc_id, license_id, scope (line, paragraph, window or document), n_matches, best_dice (rounded to 6 places)."""
     spark = docs.sparkSession
-    texts = {k: b for k, v in (templates or TEMPLATES).items() if (b := _bigrams(_words(v)))}
+    split = {k: _words(v) for k, v in (templates or TEMPLATES).items()}
+    texts = {k: b for k, w in split.items() if (b := _bigrams(w))}
     rare = sorted({a for b in texts.values() for a in anchors(b, threshold)})
     most = max(math.floor(len(b) * (2 - threshold) / threshold + 1e-9) for b in texts.values())
     rows = [(k, len(b), _least(len(b), threshold), math.floor(len(b) * (2 - threshold) / threshold + 1e-9), b) for k, b in texts.items()]
@@ -82,35 +128,56 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     by_word = spark.createDataFrame([(w, k) for k, b in texts.items() for w in anchors(b, threshold)], "anchor string, license_id string").join(held, "license_id")
     # a document without any anchor word is left at once, by one pass over its text
     some = docs.select("doc_id", "text").where(F.lower("text").rlike(r"(?<![a-z0-9])(?:" + "|".join(rare) + r")(?![a-z0-9])"))
-    pieces = F.array(F.struct(F.lit("document").alias("scope"), F.lit(0).alias("k"), F.col("text").alias("t")))
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(F.lit("line").alias("scope"), i.alias("k"), x.alias("t")))
     blocks = F.when(F.col("text").rlike(r"\n[ \t]*\n"), F.transform(F.split("text", r"\n[ \t]*\n"), lambda x, i: F.struct(F.lit("paragraph").alias("scope"), i.alias("k"), x.alias("t")))).otherwise(F.slice(lines, 1, 0))
     # filters on arrays, before rows are made of them: pushed below a projection, a filter would
     # compute the words anew for every bigram
-    worded = F.transform(F.concat(pieces, lines, blocks), lambda p: F.struct(p["scope"].alias("scope"), p["k"].alias("k"), _normal(p["t"]).alias("w")))
-    cut = some.select("doc_id", F.explode(F.filter(worded, lambda p: (F.size(p["w"]) > 1) & F.arrays_overlap(p["w"], F.lit(rare)))).alias("p"))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("p.w") - 1), lambda i: F.concat_ws(" ", F.slice("p.w", i, 2))))
-    held_words = F.array_intersect("p.w", F.lit(rare))
-    sized = F.filter(F.array(F.struct(grams.alias("own"), held_words.alias("anchors"))), lambda x: F.size(x["own"]) <= most)
-    own = cut.select("doc_id", "p.scope", "p.k", F.explode(sized).alias("x")).select("doc_id", "scope", "k", "x.own", F.explode("x.anchors").alias("anchor"))
-    fits = F.size("own").between(F.col("least"), F.col("most"))
+    worded = some.select("doc_id", *[F.transform(x, lambda p: F.struct(p["scope"].alias("scope"), p["k"].alias("k"), _normal(p["t"]).alias("w"))).alias(n) for n, x in (("lines", lines), ("blocks", blocks))])
+    # the words of the lines, one after the other, are those of the text; each line's first is marked
+    marked = F.flatten(F.transform("lines", lambda p: F.transform(p["w"], lambda _, i: i == 0)))
+    none = F.array().cast("array<int>")
+    whole = F.array(F.struct(F.lit("document").alias("scope"), F.lit(0).alias("k"), F.flatten("lines.w").alias("w"), F.filter(F.transform(marked, lambda m, i: F.when(m, i)), lambda i: i.isNotNull()).alias("starts")))
+    other = F.transform(F.concat("lines", "blocks"), lambda p: F.struct(p["scope"].alias("scope"), p["k"].alias("k"), p["w"].alias("w"), none.alias("starts")))
+    cut = worded.select("doc_id", F.explode(F.filter(F.concat(whole, other), lambda p: (F.size(p["w"]) > 1) & F.arrays_overlap(p["w"], F.lit(rare)))).alias("p")).select("doc_id", "p.*")
+    grams = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.slice("w", i, 2)))
+    cut = cut.withColumn("g", grams).withColumn("stops", F.concat(F.slice("starts", F.lit(2), F.greatest(F.size("starts"), F.lit(1))), F.array(F.size("w"))))
+    itself = F.struct("scope", "k", F.array_distinct("g").alias("own"), F.array_intersect("w", F.lit(rare)).alias("anchors"), F.lit(None).cast("string").alias("only"))
+    sized = F.filter(F.array(itself), lambda x: F.size(x["own"]) <= most)
+    windows = F.when(F.size("starts") > 1, _windows(texts, {k: len(split[k]) for k in texts}, threshold))
+    own = cut.select("doc_id", F.explode(F.concat(sized, F.coalesce(windows, F.slice(sized, 1, 0)))).alias("x")).select("doc_id", "x.scope", "x.k", "x.own", "x.only", F.explode("x.anchors").alias("anchor"))
+    fits = F.size("own").between(F.col("least"), F.col("most")) & (F.col("only").isNull() | (F.col("only") == F.col("license_id")))
     met = own.join(F.broadcast(by_word), "anchor").where(fits)  # templates are a parameter, a few kilobytes
     dice = 2.0 * F.size(F.array_intersect("own", "grams")) / (F.size("own") + F.col("size"))
     found = met.withColumn("dice", dice).where(F.col("dice") >= threshold - 1e-9)
     # one row per text and template: several anchors may lead to the same comparison
-    return found.groupBy("doc_id", "license_id", "scope").agg(F.size(F.collect_set("k")).cast("long").alias("n_matches"), F.round(F.max("dice"), 6).alias("best_dice"))
+    done = found.groupBy("doc_id", "license_id", "scope").agg(F.array_sort(F.collect_set("k")).alias("at"), F.round(F.max("dice"), 6).alias("best_dice"))
+    runs = F.filter(F.transform("at", lambda k, i: (i == 0) | (F.col("scope") != "window") | (k - F.get("at", i - 1) > 1)), lambda first: first)
+    return done.select("doc_id", "license_id", "scope", F.size(runs).cast("long").alias("n_matches"), "best_dice")
 
 
 def sql(templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> str:
-    rows = ", ".join(f"('{k}', {b!r})" for k, v in (templates or TEMPLATES).items() for b in [_bigrams(_words(v))])
+    rows = ", ".join(f"('{k}', {b!r}, {len(w)})" for k, v in (templates or TEMPLATES).items() for w in [_words(v)] for b in [_bigrams(w)])
+    words = "list_filter(string_split(regexp_replace(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')"
     return rf"""
-WITH t AS (SELECT col0 AS license_id, col1 AS grams FROM (VALUES {rows})),
+WITH t AS (SELECT col0 AS license_id, col1 AS grams, col2 AS n FROM (VALUES {rows})),
 d AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL),
 c AS (SELECT doc_id, 'document' AS scope, 0 AS k, text AS t FROM d
   UNION ALL SELECT doc_id, 'line', unnest(range(len(l))), unnest(l) FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM d)
   UNION ALL SELECT doc_id, 'paragraph', unnest(range(len(l))), unnest(l) FROM (SELECT doc_id, string_split_regex(text, '\n[ \t]*\n') AS l FROM d) WHERE len(l) > 1),
-w AS (SELECT doc_id, scope, k, list_filter(string_split(regexp_replace(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM c),
+w AS (SELECT doc_id, scope, k, {words.format('t')} AS w FROM c),
 g AS (SELECT doc_id, scope, k, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS own FROM w WHERE len(w) > 1),
 m AS (SELECT doc_id, scope, k, license_id, 2.0 * len(list_intersect(own, grams)) / (len(own) + len(grams)) AS dice FROM g, t
-  WHERE len(own) * (2 - {threshold}) >= len(grams) * {threshold} - 1e-6 AND len(own) * {threshold} <= len(grams) * (2 - {threshold}) + 1e-6)
-SELECT doc_id, license_id, scope, count(DISTINCT k) AS n_matches, round(max(dice), 6) AS best_dice FROM m WHERE dice >= {threshold} - 1e-9 GROUP BY ALL"""
+  WHERE len(own) * (2 - {threshold}) >= len(grams) * {threshold} - 1e-6 AND len(own) * {threshold} <= len(grams) * (2 - {threshold}) + 1e-6),
+dl AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda y: {words.format('y')}), lambda x: len(x) > 0) AS l FROM d),
+dw AS (SELECT doc_id, flatten(l) AS w, list_transform(l, lambda x: len(x)) AS sizes FROM dl WHERE len(l) > 1),
+dg AS (SELECT *, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM dw),
+dt AS (SELECT * FROM dg, t WHERE len(list_intersect(list_distinct(g), grams)) * (2 - {threshold}) >= len(grams) * {threshold} - 1e-6),
+st AS (SELECT *, unnest(range(len(sizes))) AS k FROM dt),
+pr AS (SELECT *, coalesce(list_sum(sizes[1:k]), 0) AS b, unnest(range(k + 2, least(len(sizes), k + n + 1) + 1)) AS j FROM st),
+en AS (SELECT doc_id, license_id, k, b, g, grams, n, list_sum(sizes[1:j]) AS e FROM pr),
+wn AS (SELECT doc_id, license_id, k, b, any_value(g) AS g, any_value(grams) AS grams, any_value(n) AS n, unnest([max(e) FILTER (e < b + n), min(e) FILTER (e >= b + n)]) AS e FROM en GROUP BY doc_id, license_id, k, b),
+wd AS (SELECT doc_id, license_id, k, list_distinct(g[b + 1:e - 1]) AS own, grams FROM wn WHERE e IS NOT NULL AND (e - b) * {threshold} <= n * (2 - {threshold}) + 1e-6),
+wm AS (SELECT doc_id, license_id, k, max(2.0 * len(list_intersect(own, grams)) / (len(own) + len(grams))) AS dice FROM wd GROUP BY ALL HAVING dice >= {threshold} - 1e-9),
+wr AS (SELECT *, lag(k) OVER (PARTITION BY doc_id, license_id ORDER BY k) AS before FROM wm)
+SELECT doc_id, license_id, scope, count(DISTINCT k) AS n_matches, round(max(dice), 6) AS best_dice FROM m WHERE dice >= {threshold} - 1e-9 GROUP BY ALL
+UNION ALL SELECT doc_id, license_id, 'window', count(*) FILTER (before IS NULL OR k - before > 1), round(max(dice), 6) FROM wr GROUP BY ALL"""

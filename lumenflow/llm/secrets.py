@@ -112,9 +112,13 @@ def scan(docs: DataFrame, samples: tuple[list[str], list[str]] | None = None, th
             base = [_listed(s) for s in found]
             owner, tokens, places = [], [], []
             for k, t in enumerate(batch.column("text").to_pylist()):
-                taken = found[k]
+                taken, at, reach = found[k], 0, 0
                 for m in _TOKEN.finditer(t or ""):
-                    if not any(a < m.end() and m.start() < b for a, _, b in taken):
+                    # both lists ascend by start: the furthest end of all spans that begin before the token's end
+                    while at < len(taken) and taken[at][0] < m.end():
+                        reach = max(reach, taken[at][2])
+                        at += 1
+                    if reach <= m.start():
                         owner.append(k)
                         tokens.append(m.group())
                         places.append((m.start(), 3, m.end()))
