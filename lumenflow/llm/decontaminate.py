@@ -10,11 +10,12 @@ are fewer of them than words in a window) is fingerprinted with a smaller k and
 
 Before the join, documents keep only fingerprints that fall on a set bit of a map of the
 benchmark's fingerprints; the map's size follows their number, up to 1 MB, and it only spares
-work. The benchmark side is broadcast if its fingerprints and their bytes, which are counted, are few; else the join is salted by
+work. Benchmarks too large for such a map are joined by the hashes alone first, and words are
+attached to the places that are met. The benchmark side is broadcast if its fingerprints and their bytes, which are counted, are few; else the join is salted by
 document, as a benchmark passage may occur in a large part of the corpus.
 
 Defined cases: null and empty texts have no words; rows that repeat doc_id and text are one
-document; a null doc_id is a document of its own text; items without id count as hits but not
+document; a null doc_id is a document of its own text; work grows linearly with a text's length; items without id count as hits but not
 as items; empty tables give no hits; extra columns are ignored.
 """
 
@@ -53,24 +54,43 @@ def _gram(length: int) -> tuple[int, int]:
     return k, length - k + 1
 
 
-def _kgrams(w: Column, length: int) -> Column:
-    """Hashes of all k-grams of texts that hold a window."""
-    k, _ = _gram(length)
-    return F.when(F.size(w) >= length, F.transform(F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i: F.xxhash64(F.slice(w, i, k)))).otherwise(F.array().cast("array<bigint>"))
+def _kgrams(w: Column, k: int) -> Column:
+    """Hashes of all k-grams."""
+    return F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i: F.xxhash64(F.slice(w, i, k)))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _minima(h: Column, run: int) -> Column:
+    """The least hash of each run."""
+    if run == 1:
+        return h
+    return F.when(F.size(h) >= run, F.transform(F.sequence(F.lit(1), F.size(h) - (run - 1)), lambda i: F.array_min(F.slice(h, i, run)))).otherwise(F.array().cast("array<bigint>"))
 
 
-def _winnow(h: Column, length: int) -> Column:
-    """The distinct least hashes of all runs."""
-    _, run = _gram(length)
-    return F.when(F.size(h) >= run, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(h) - (run - 1)), lambda i: F.array_min(F.slice(h, i, run))))).otherwise(F.array().cast("array<bigint>"))
+def _marked(h: Column, m: Column, run: int) -> Column:
+    """h and at of every place whose hash is the least of a run around it: no such run's least hash is above
+    its own, so the greatest of them is the hash itself. The work is that of ``run`` steps a place."""
+    at = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("at")))
+    if run == 1:
+        return at
+    own = lambda x: F.array_max(F.slice(m, F.greatest(x["at"] - (run - 2), F.lit(1)), F.least(x["at"] + 1, F.lit(run)))) == x["h"]
+    return F.when(F.size(m) > 0, F.filter(at, own)).otherwise(F.slice(at, 1, 0))
 
 
-def _places(w: Column, h: Column, chosen: Column, length: int) -> Column:
-    """Positions of the chosen hashes, each with the words around it that a shared window may cover."""
+def _with_words(w: Column, places: Column, length: int) -> Column:
+    """The places, each with the words around it that a shared window may cover."""
     k, _ = _gram(length)
-    all_at = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("at")))
     around = lambda i: F.transform(F.sequence(F.lit(k - length), F.lit(length - 1)), lambda o: F.get(w, i + o))
-    return F.transform(F.filter(all_at, lambda x: F.array_contains(chosen, x["h"])), lambda x: F.struct(F.lit(length).alias("length"), x["h"].alias("h"), x["at"].alias("at"), around(x["at"]).alias("around")))
+    return F.transform(places, lambda x: F.struct(F.lit(length).alias("length"), x["h"].alias("h"), x["at"].alias("at"), around(x["at"]).alias("around")))
+
+
+def _fingerprints(cut: DataFrame, lengths: list[int]) -> DataFrame:
+    """Adds p{length}, the marked places, for each length. k-grams are hashed once for each k."""
+    for k in sorted({_gram(n)[0] for n in lengths}):
+        cut = cut.withColumn(f"h{k}", _kgrams(F.col("w"), k))
+    for n in lengths:
+        k, run = _gram(n)
+        cut = cut.withColumn(f"m{n}", _minima(F.col(f"h{k}"), run)).withColumn(f"p{n}", _marked(F.col(f"h{k}"), F.col(f"m{n}"), run))
+    return cut
 
 
 def map_bits(fingerprints: int) -> int:
@@ -83,9 +103,8 @@ def benchmark_prints(items: DataFrame, window: int = WINDOW) -> DataFrame:
     cut = items.select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0).withColumn("length", F.least(F.size("w"), F.lit(window)))
     prints = None
     for length in range(1, window + 1):
-        h = F.col("hashes")
-        own = cut.where(F.col("length") == length).withColumn("hashes", _kgrams(F.col("w"), length)).withColumn("chosen", _winnow(h, length))
-        own = own.select("item_id", F.explode(_places(F.col("w"), h, F.col("chosen"), length)).alias("p")).select("item_id", "p.length", "p.h", "p.at", "p.around")
+        own = _fingerprints(cut.where(F.col("length") == length), [length])
+        own = own.select("item_id", F.explode(_with_words(F.col("w"), F.col(f"p{length}"), length)).alias("p")).select("item_id", "p.length", "p.h", "p.at", "p.around")
         prints = own if prints is None else prints.unionByName(own)
     return prints
 
@@ -101,6 +120,31 @@ def _may_hit(prints: DataFrame, length: int, bits: int):
     return lambda h: F.get(table, F.shiftright(place(h), 6)).bitwiseAND(one(h)) != 0
 
 
+_PLACE = "array<struct<length:int,h:bigint,at:int,around:array<string>>>"
+
+
+def _all_with_words(lengths: list[int]) -> Column:
+    if not lengths:
+        return F.array().cast(_PLACE)
+    return F.flatten(F.array(*[F.when(F.size(f"p{n}") > 0, _with_words(F.col("w"), F.col(f"p{n}"), n)).otherwise(F.array().cast(_PLACE)) for n in lengths]))
+
+
+def _met_places(marked: DataFrame, prints: DataFrame, lengths: list[int]) -> DataFrame:
+    """Places whose hash the benchmark holds, for benchmarks that would fill a map: hashes alone are
+    joined first, and only places that are met go back to their document for the words around them.
+    Rows that repeat doc_id and text are one document in this."""
+    thin = F.flatten(F.array(*[F.transform(f"p{n}", lambda x: F.struct(F.lit(n).alias("length"), x["h"].alias("h"), x["at"].alias("at"))) for n in lengths]))
+    rows = marked.select("doc_id", "text_key", F.explode(thin).alias("p")).select("doc_id", "text_key", "p.*")
+    met = rows.join(prints.select("length", "h").distinct(), ["length", "h"], "left_semi")
+    places = F.collect_set(F.struct("length", "h", "at"))
+    back = met.groupBy(F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key")).agg(places.alias("places"))
+    texts = marked.select("doc_id", "text_key", "w").dropDuplicates(["doc_id", "text_key"])
+    both = texts.join(back, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key")))
+    for n in lengths:
+        both = both.withColumn(f"p{n}", F.filter("places", lambda x: x["length"] == n))
+    return materialize(both.select("doc_id", "text_key", F.explode(_all_with_words(lengths)).alias("p")).select("doc_id", "text_key", "p.*"))
+
+
 def _run(flags: Column) -> Column:
     """Length of the run of true values at the end."""
     return F.aggregate(flags, F.lit(0), lambda n, x: F.when(x, n + 1).otherwise(F.lit(0)))
@@ -112,15 +156,17 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     of_words = F.octet_length(F.concat_ws(" ", "around"))
     found = {r["length"]: r for r in prints.groupBy("length").agg(F.count("*").alias("n"), F.sum(of_words).alias("bytes")).collect()}  # at most ``window`` rows
     cut = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), words(F.col("text")).alias("w"))
-    hits = []
-    for length in sorted(found):
-        cut = cut.withColumn(f"h{length}", _kgrams(F.col("w"), length))
-        cut = cut.withColumn(f"c{length}", F.filter(_winnow(F.col(f"h{length}"), length), _may_hit(prints, length, map_bits(found[length]["n"]))))
-        hits.append(F.when(F.size(f"c{length}") > 0, _places(F.col("w"), F.col(f"h{length}"), F.col(f"c{length}"), length)))
-    none = F.array().cast("array<struct<length:int,h:bigint,at:int,around:array<string>>>")
-    flat = F.flatten(F.array(*[F.coalesce(x, none) for x in hits])) if hits else none
-    base = materialize(cut.select("doc_id", "text_key", F.size("w").cast("long").alias("n_words"), flat.alias("hits")))
-    asked = base.select("doc_id", "text_key", F.explode("hits").alias("p")).select("doc_id", "text_key", "p.*")
+    lengths = sorted(found)
+    marked = _fingerprints(cut, lengths)
+    if any(BITS_EACH * found[n]["n"] > MOST_BITS for n in lengths):
+        base = materialize(cut.select("doc_id", "text_key", F.size("w").cast("long").alias("n_words")))
+        asked = _met_places(marked, prints, lengths)
+    else:
+        for n in lengths:
+            may = _may_hit(prints, n, map_bits(found[n]["n"]))
+            marked = marked.withColumn(f"p{n}", F.filter(f"p{n}", lambda x: may(x["h"])))  # noqa: B023
+        base = materialize(marked.select("doc_id", "text_key", F.size("w").cast("long").alias("n_words"), _all_with_words(lengths).alias("hits")))
+        asked = base.select("doc_id", "text_key", F.explode("hits").alias("p")).select("doc_id", "text_key", "p.*")
     held = prints.select("length", "h", F.col("around").alias("item_around"), "item_id")
     if sum(r["n"] for r in found.values()) <= BROADCAST_ROWS and sum(r["bytes"] for r in found.values()) <= BROADCAST_BYTES:
         met = asked.join(F.broadcast(held), ["length", "h"])
