@@ -7,6 +7,33 @@ from pyspark.sql import functions as F
 
 from lumenflow.sources.scratch import written
 
+#: Regions of one mask that a row holds where pairs of masks become pairs of regions.
+BLOCK = 1024
+
+
+def same_masks(pixels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """mask, roi of all regions, and mask, r, c: regions of the same pixels have one mask, named by the least of them, so that what
+    depends on the pixels is worked out once for all copies. A region's pixels are one row."""
+    whole = written(pixels.groupBy("roi").agg(F.sort_array(F.collect_list(F.struct("r", "c"))).alias("on")))
+    named = written(whole.groupBy("on").agg(F.min("roi").alias("mask")))
+    return written(whole.join(named, "on").select("mask", "roi")), named.select("mask", F.inline("on"))
+
+
+def _in_blocks(members: DataFrame, end: str) -> DataFrame:
+    """The regions of each mask in rows of about ``BLOCK``: mask_a and rois_a, or those of the other end."""
+    parts = members.groupBy("mask").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    dealt = members.join(parts, "mask").groupBy("mask", F.pmod(F.xxhash64("roi"), F.col("parts")).alias("part"))
+    return dealt.agg(F.collect_list("roi").alias(f"rois_{end}")).select(F.col("mask").alias(f"mask_{end}"), f"rois_{end}")
+
+
+def pairs_of_regions(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """Pairs of masks (mask_a, mask_b and more) as pairs of their regions, roi_a and roi_b beside the rest. Blocks of regions meet and
+    are dealt over all tasks before they are spread out, so no key is large and no task holds a mask's regions."""
+    met = pairs.join(_in_blocks(a, "a"), "mask_a").join(_in_blocks(b, "b"), "mask_b").repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rest = [c for c in pairs.columns if c not in ("mask_a", "mask_b")]
+    one = met.select("mask_a", "mask_b", *rest, "rois_b", F.explode("rois_a").alias("roi_a"))
+    return one.select("mask_a", "mask_b", *rest, "roi_a", F.explode("rois_b").alias("roi_b"))
+
 
 def binarize(pixels: DataFrame, quantile: float = 0.1, threshold: float | None = None) -> DataFrame:
     """Pixels of at least the region's weight quantile (interpolated), or above an absolute threshold."""
@@ -128,10 +155,12 @@ def at_border(pixels: DataFrame, border: tuple[float, float, float, float], exte
 
 
 def overlap_groups(pixels: DataFrame) -> DataFrame:
-    """roi, other: regions that share pixels with a region, or with one that does (itself included)."""
-    mask = pixels.select("roi", "r", "c").distinct()
-    near = mask.join(mask.withColumnRenamed("roi", "other"), ["r", "c"]).select("roi", "other").distinct()
-    return near.select("roi", F.col("other").alias("mid")).join(near.select(F.col("roi").alias("mid"), "other"), "mid").select("roi", "other").distinct()
+    """roi, other: regions that share pixels with a region, or with one that does (itself included). Masks are compared, and the pairs
+    of masks spread to their regions."""
+    members, shapes = same_masks(pixels.select("roi", "r", "c").distinct())
+    near = written(shapes.join(shapes.withColumnRenamed("mask", "mid"), ["r", "c"]).select("mask", "mid").distinct())
+    pairs = near.select(F.col("mask").alias("mask_a"), "mid").join(near.select(F.col("mask").alias("mask_b"), "mid"), "mid").select("mask_a", "mask_b").distinct()
+    return pairs_of_regions(pairs, members, members).select(F.col("roi_a").alias("roi"), F.col("roi_b").alias("other"))
 
 
 def in_label_order(regions: DataFrame) -> DataFrame:
