@@ -95,12 +95,16 @@ def overlaps(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def abutting(pixels: DataFrame, distance: float = 2**0.5) -> DataFrame:
-    """Pairs of regions with two pixels within the distance: roi_a < roi_b. An equi-join on shifted pixels."""
+    """Pairs of regions with two pixels within the distance: roi_a < roi_b. An equi-join on shifted pixels of the masks."""
     reach = int(distance)
     steps = [(dr, dc) for dr in range(-reach, reach + 1) for dc in range(-reach, reach + 1) if dr * dr + dc * dc <= distance * distance + 1e-9]
-    moved = pixels.select(F.col("roi").alias("roi_a"), "r", "c", F.explode(F.array(*[F.struct(F.lit(x).alias("dr"), F.lit(y).alias("dc")) for x, y in steps])).alias("s"))
-    moved = moved.select("roi_a", (F.col("r") + F.col("s.dr")).alias("r"), (F.col("c") + F.col("s.dc")).alias("c"))
-    return moved.join(pixels.select(F.col("roi").alias("roi_b"), "r", "c"), ["r", "c"]).where("roi_a < roi_b").select("roi_a", "roi_b").distinct()
+    members, shapes = same_masks(pixels)
+    moved = shapes.select(F.col("mask").alias("mask_a"), "r", "c", F.explode(F.array(*[F.struct(F.lit(x).alias("dr"), F.lit(y).alias("dc")) for x, y in steps])).alias("s"))
+    moved = moved.select("mask_a", (F.col("r") + F.col("s.dr")).alias("r"), (F.col("c") + F.col("s.dc")).alias("c"))
+    near = moved.join(shapes.select(F.col("mask").alias("mask_b"), "r", "c"), ["r", "c"]).where("mask_a <= mask_b").select("mask_a", "mask_b").distinct()
+    # of one mask each pair is met from both sides, of two masks once
+    met = pairs_of_regions(near, members, members).where("mask_a < mask_b or roi_a < roi_b")
+    return met.select(F.least("roi_a", "roi_b").alias("roi_a"), F.greatest("roi_a", "roi_b").alias("roi_b"))
 
 
 def motion_border(shift: DataFrame, most: float = 30.0) -> DataFrame:

@@ -31,3 +31,19 @@ def test_many_copies_are_one_mask(spark):
     pixels = spark.range(3000).selectExpr("cast(id as int) as roi", "explode(array(1, 2)) as r", "3 as c")
     assert rois.same_masks(pixels)[1].count() == 2
     assert rois.overlap_groups(pixels).count() == 9_000_000
+
+
+@pytest.mark.parametrize("block", [1024, 2])
+def test_abutting_copies(spark, monkeypatch, block):
+    monkeypatch.setattr(rois, "BLOCK", block)
+    pixels, boxes = _boxes(spark, CORNERS)
+    for distance in (0, 2**0.5, 2):
+        near = lambda a, b: any((r - y) ** 2 + (c - x) ** 2 <= distance**2 + 1e-9 for r, c in boxes[a] for y, x in boxes[b])  # noqa: B023, E731
+        want = [(a, b) for a, b in itertools.combinations(boxes, 2) if near(a, b)]
+        assert sorted(map(tuple, rois.abutting(pixels, distance).collect())) == want
+
+
+def test_many_abutting_copies(spark):
+    """Through pairs of pixels this would take 324 million rows to remove the repeats from."""
+    pixels = spark.range(3000).selectExpr("cast(id as int) as roi", "explode(sequence(1, 4)) as r").selectExpr("roi", "r", "explode(array(3, 4)) as c")
+    assert rois.abutting(pixels).count() == 3000 * 2999 // 2
