@@ -87,11 +87,13 @@ def exclusion_labels(pixels: DataFrame, border: dict[str, float], extent: DataFr
 
 
 def overlaps(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Pairs of regions that share pixels: how many, and their share of either."""
-    area = lambda x: x.groupBy("roi").agg(F.count("*").alias("n"))
-    shared = a.select("r", "c", F.col("roi").alias("roi_a")).join(b.select("r", "c", F.col("roi").alias("roi_b")), ["r", "c"]).groupBy("roi_a", "roi_b").agg(F.count("*").alias("n"))
-    sized = shared.join(area(a).select(F.col("roi").alias("roi_a"), F.col("n").alias("n_a")), "roi_a").join(area(b).select(F.col("roi").alias("roi_b"), F.col("n").alias("n_b")), "roi_b")
-    return sized.select("roi_a", "roi_b", "n", (F.col("n") / F.col("n_a")).alias("share_a"), (F.col("n") / F.col("n_b")).alias("share_b"))
+    """Pairs of regions that share pixels: how many, and their share of either. Masks are compared, and pairs of masks spread to regions."""
+    (own, shapes), (other, shapes_b) = same_masks(a), same_masks(b)
+    area = lambda x, end: x.groupBy("mask").agg(F.count("*").alias(f"n_{end}")).withColumnRenamed("mask", f"mask_{end}")
+    shared = shapes.withColumnRenamed("mask", "mask_a").join(shapes_b.withColumnRenamed("mask", "mask_b"), ["r", "c"]).groupBy("mask_a", "mask_b").agg(F.count("*").alias("n"))
+    sized = shared.join(area(shapes, "a"), "mask_a").join(area(shapes_b, "b"), "mask_b")
+    pairs = sized.select("mask_a", "mask_b", "n", (F.col("n") / F.col("n_a")).alias("share_a"), (F.col("n") / F.col("n_b")).alias("share_b"))
+    return pairs_of_regions(pairs, own, other).select("roi_a", "roi_b", "n", "share_a", "share_b")
 
 
 def abutting(pixels: DataFrame, distance: float = 2**0.5) -> DataFrame:

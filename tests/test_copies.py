@@ -47,3 +47,19 @@ def test_many_abutting_copies(spark):
     """Through pairs of pixels this would take 324 million rows to remove the repeats from."""
     pixels = spark.range(3000).selectExpr("cast(id as int) as roi", "explode(sequence(1, 4)) as r").selectExpr("roi", "r", "explode(array(3, 4)) as c")
     assert rois.abutting(pixels).count() == 3000 * 2999 // 2
+
+
+@pytest.mark.parametrize("block", [1024, 2])
+def test_overlaps_of_copies(spark, monkeypatch, block):
+    monkeypatch.setattr(rois, "BLOCK", block)
+    pixels, boxes = _boxes(spark, CORNERS)
+    double = pixels.where("roi = 4 and r = 1")  # a pixel that is listed twice counts twice
+    listed = {k: sorted(b) + (sorted(p for p in b if p[0] == 1) if k == 4 else []) for k, b in boxes.items()}
+    pixels = pixels.union(double)
+    got = sorted(map(tuple, rois.overlaps(pixels.where("roi % 2 = 0"), pixels.where("roi % 2 = 1")).collect()))
+    want = []
+    for a, b in itertools.product(list(boxes)[::2], list(boxes)[1::2]):
+        n = sum(p == q for p in listed[a] for q in listed[b])
+        if n:
+            want.append((a, b, n, n / len(listed[a]), n / len(listed[b])))
+    assert got == sorted(want)
