@@ -62,15 +62,18 @@ def gap_median(trace: DataFrame, size: int) -> DataFrame:
 
 def _solve(t: int, rows: pd.DataFrame) -> pd.DataFrame:
     own = rows[rows["a"] == rows["b"]].sort_values("a")
-    ids, signal, pixels = own["a"].to_numpy(), own["f"].to_numpy(), own["n"].to_numpy()
+    ids, signal, pixels, copies = own["a"].to_numpy(), own["f"].to_numpy(), own["n"].to_numpy(), own["copies"].to_numpy()
     empty = bool((signal == 0).any())
     out = np.zeros(len(ids))
     if not empty:
         shared = np.zeros((len(ids), len(ids)))
         i, j = np.searchsorted(ids, rows["a"]), np.searchsorted(ids, rows["b"])
         shared[i, j] = rows["s"] / signal[j]
-        out = np.linalg.lstsq(shared, signal * pixels, rcond=None)[0]
-    return pd.DataFrame({"roi": ids, "t": t, "f": out, "dropped": empty})
+        # copies get equal traces in the least solution; scaled by the root of their number, the system has the singular values of
+        # that of all regions, whose number sets the bound below which they count as zero
+        root = np.sqrt(copies)
+        out = np.linalg.lstsq(root[:, None] * shared * root, root * signal * pixels, rcond=np.finfo(float).eps * copies.sum())[0] / root
+    return pd.DataFrame({"mask": ids, "t": t, "f": out, "dropped": empty})
 
 
 def _solve_frames(rows: pd.DataFrame) -> pd.DataFrame:
@@ -82,11 +85,14 @@ def demix(movie: DataFrame, pixels: DataFrame) -> DataFrame:
 
     For each frame the light that two regions have in common, over the later one's mean, times the
     unknown traces gives the summed signal; a singular system is solved by least squares. A frame in
-    which a region has no signal is dropped: zeros for all. Light is summed in Spark per pair that
-    shares pixels; a task gets ``SOLVED_TOGETHER`` frames and solves one at a time, its system as large
-    as the number of regions.
+    which a region has no signal is dropped: zeros for all. Regions of the same pixels are one unknown, with
+    the weight of their number. Light is summed in Spark per pair of masks that shares pixels; a task gets
+    ``SOLVED_TOGETHER`` frames and solves one at a time, its system as large as the number of masks.
     """
-    mask = pixels.select("roi", "r", "c").distinct()
-    pairs = mask.select(F.col("roi").alias("a"), "r", "c").join(mask.select(F.col("roi").alias("b"), "r", "c"), ["r", "c"])
+    members, shapes = rois.same_masks(pixels.select("roi", "r", "c").distinct())
+    pairs = shapes.select(F.col("mask").alias("a"), "r", "c").join(shapes.select(F.col("mask").alias("b"), "r", "c"), ["r", "c"])
     light = movie.join(traces.if_small(pairs), ["r", "c"]).groupBy("t", "a", "b").agg(F.sum("v").alias("s"), F.avg("v").alias("f"), F.count("*").alias("n"))
-    return light.groupBy(F.floor(F.col("t") / SOLVED_TOGETHER)).applyInPandas(_solve_frames, "roi int, t int, f double, dropped boolean")
+    light = light.join(members.groupBy(F.col("mask").alias("a")).agg(F.count("*").alias("copies")), "a")
+    kinds = dict(members.dtypes)
+    solved = light.groupBy(F.floor(F.col("t") / SOLVED_TOGETHER)).applyInPandas(_solve_frames, f"mask {kinds['mask']}, t int, f double, dropped boolean")
+    return solved.join(traces.if_small(members), "mask").select(F.col("roi").cast("int").alias("roi"), "t", "f", "dropped")

@@ -2,9 +2,10 @@
 
 import itertools
 
+import numpy as np
 import pytest
 
-from lumenflow.operators import rois
+from lumenflow.operators import checks, rois
 
 
 def _boxes(spark, corners, size=2):
@@ -63,3 +64,34 @@ def test_overlaps_of_copies(spark, monkeypatch, block):
         if n:
             want.append((a, b, n, n / len(listed[a]), n / len(listed[b])))
     assert got == sorted(want)
+
+
+def test_demixing_copies(spark):
+    """The system of masks gives the least solution of that of all regions."""
+    pixels, boxes = _boxes(spark, CORNERS)
+    frames = np.random.default_rng(3).uniform(1, 2, (3, 24, 24))
+    frames[1, 20:22, 20:22] = 0  # a frame in which a region has no light
+    solve = np.linalg.lstsq
+    table = spark.createDataFrame([(r, c, t, float(frames[t, r, c])) for t in range(3) for r in range(24) for c in range(24)], "r int, c int, t int, v double")
+    got = {(x.roi, x.t): (x.f, x.dropped) for x in checks.demix(table, pixels).collect()}
+    masks = np.zeros((len(boxes), 24, 24))
+    for k, box in boxes.items():
+        for p in box:
+            masks[k][p] = 1
+    for t, frame in enumerate(frames):
+        mean = (masks * frame).sum(axis=(1, 2)) / 4
+        if t != 1:
+            shared = np.einsum("aij,bij->ab", masks, masks * frame) / mean
+            x = solve(shared, 4 * mean, rcond=None)[0]
+        for k in boxes:
+            assert got[k, t] == ((0.0, True) if t == 1 else (pytest.approx(x[k], abs=1e-9), False))
+    assert len(got) == 3 * len(boxes)
+
+
+def test_many_copies_are_one_unknown(spark):
+    """As many unknowns would take a system of 3.2 GB a frame."""
+    pixels = spark.range(20_000).selectExpr("cast(id as int) as roi", "explode(array(1, 2)) as r", "3 as c")
+    movie = spark.range(8).selectExpr("cast(id % 4 as int) as r", "3 as c", "cast(id div 4 as int) as t", "1.0D + id as v")
+    rows = checks.demix(movie, pixels).groupBy("t").agg({"roi": "count", "f": "max"}).orderBy("t").collect()
+    # all light of a frame, 2 pixels of mean m, goes in equal shares to the copies
+    assert [(x.t, x["count(roi)"]) for x in rows] == [(0, 20_000), (1, 20_000)] and rows[0]["max(f)"] == pytest.approx(2.5 / 20_000)
