@@ -175,8 +175,7 @@ def demix_job(movie: DataFrame, pixels: DataFrame, labels: DataFrame, path: str,
     def listed() -> DataFrame:
         flags = traces.baseline_flags(own)
         negative = flags.where("negative_baseline").select("roi")
-        spread = rois.overlap_groups(inside).join(if_small(negative), "roi").select(F.col("other").alias("roi"))
-        bad = spread.union(flags.where("zero_baseline").select("roi")).distinct()
+        bad = rois.overlapping(inside, negative).union(flags.where("zero_baseline").select("roi")).distinct()
         parts = {"excluded": labels.select("roi").distinct().join(allowed, "roi", "left_anti"), "negative_transient": traces.negative_transients(own, window, run, sigmas), "negative_baseline": bad}
         out = None
         for reason, rows in parts.items():

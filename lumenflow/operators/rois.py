@@ -169,6 +169,15 @@ def overlap_groups(pixels: DataFrame) -> DataFrame:
     return pairs_of_regions(pairs, members, members).select(F.col("roi_a").alias("roi"), F.col("roi_b").alias("other"))
 
 
+def overlapping(pixels: DataFrame, chosen: DataFrame) -> DataFrame:
+    """roi: the regions that share pixels with one of ``chosen`` (roi), or with one that does. No pairs are made."""
+    mask, out = pixels.select("roi", "r", "c").distinct(), chosen.select("roi").distinct()
+    for _ in range(2):
+        lit = mask.join(out, "roi", "left_semi").select("r", "c").distinct()
+        out = mask.join(lit, ["r", "c"], "left_semi").select("roi").distinct()
+    return out
+
+
 def in_label_order(regions: DataFrame) -> DataFrame:
     """Regions by their label as text."""
     return regions.orderBy(F.col("roi").cast("string"))

@@ -66,6 +66,14 @@ def test_overlaps_of_copies(spark, monkeypatch, block):
     assert got == sorted(want)
 
 
+def test_regions_around_chosen_ones(spark):
+    pixels, boxes = _boxes(spark, CORNERS)
+    near = {(a, b) for a, b in itertools.product(boxes, boxes) if boxes[a] & boxes[b]}
+    for chosen in ([0], [9, 22], list(boxes), []):
+        want = sorted({d for a, b in near for c, d in near if a in chosen and b == c})
+        assert sorted(x.roi for x in rois.overlapping(pixels, spark.createDataFrame([(k,) for k in chosen], "roi int")).collect()) == want
+
+
 def test_demixing_copies(spark):
     """The system of masks gives the least solution of that of all regions."""
     pixels, boxes = _boxes(spark, CORNERS)
