@@ -277,21 +277,67 @@ def whitened(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _orthonormal(w: np.ndarray) -> np.ndarray:
-    spread, axes = np.linalg.eigh(w @ w.T)
-    return axes / np.sqrt(spread) @ axes.T @ w
-
-
-def independent_rows(x: np.ndarray, rng: np.random.RandomState, steps: int = 10_000, close: float = 1e-4) -> np.ndarray:
-    """The rotation of whitened rows towards independence: Hyvarinen's fixed point with tanh, all rows at a time."""
-    w = _orthonormal(rng.normal(size=(len(x), len(x))))
-    for _ in range(steps):
-        g = np.tanh(w @ x)
-        new = _orthonormal(g @ x.T / x.shape[1] - (1 - g * g).mean(axis=1)[:, None] * w)
-        moved = np.abs(np.abs((new * w).sum(axis=1)) - 1).max()
-        w = new
-        if moved < close:
+    """The closest turns (or mirrored ones) to 2 by 2 matrices in closed form: (w w')^(-1/2) w."""
+    (a, b), (c, d) = w[..., 0, :].T, w[..., 1, :].T
+    sign = np.where(a * d - b * c < 0, -1.0, 1.0)
+    p, q = a + sign * d, b - sign * c
+    with np.errstate(divide="ignore", invalid="ignore"):
+        p, q = p / np.hypot(p, q), q / np.hypot(p, q)
+    return np.stack([np.stack([p, q], -1), np.stack([-sign * q, sign * p], -1)], -2)
+
+
+def independent_pairs(pairs: list[np.ndarray], starts: np.ndarray, steps: int = 10_000, close: float = 1e-4) -> np.ndarray:
+    """The rotations of whitened pairs of rows towards independence, from the matrices ``starts``: Hyvarinen's fixed point with
+    tanh, both rows of all pairs at a time. Pairs of about a length go side by side, and leave once they have come to rest."""
+    out = _orthonormal(starts)
+    size = np.array([x.shape[1] for x in pairs])
+    order = np.argsort(size, kind="stable")
+    while len(order):
+        # as many as fill the cells when all are as long as the longest of them, one at least
+        fit = size[order] * np.arange(1, len(order) + 1) <= _CELLS // 4
+        some, order = np.split(order, [max(1, int(np.argmin(fit)) if not fit.all() else len(order))])
+        x = np.zeros((2, len(some), int(size[some].max())))
+        for k, i in enumerate(some):
+            x[:, k, : size[i]] = pairs[i]  # zeros behind the end add nothing
+        n, w = size[some].astype(float), out[some]
+        for _ in range(steps):
+            g = [np.tanh(w[:, i, 0, None] * x[0] + w[:, i, 1, None] * x[1]) for i in (0, 1)]
+            new = np.stack([np.stack([np.einsum("kn,kn->k", g[i], x[j]) / n - (1 - np.einsum("kn,kn->k", g[i], g[i]) / n) * w[:, i, j] for j in (0, 1)], -1) for i in (0, 1)], -2)
+            new = _orthonormal(new)
+            rest = np.abs(np.abs((new * w).sum(axis=2)) - 1).max(axis=1) < close
+            w = new
+            if rest.any():
+                out[some[rest]] = w[rest]
+                some, n, w, x = some[~rest], n[~rest], w[~rest], x[:, ~rest]
+                if not len(some):
+                    break
+        out[some] = w
+    return out
+
+
+def unmixed_all(pairs: list[np.ndarray], tries: int, seeds) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+    """``unmixed`` of many pairs of traces, each with its seed."""
+    out, held = [(x, np.eye(2), False) for x in pairs], {}
+    for i, x in enumerate(pairs):
+        if x.shape[1] >= 3 and np.linalg.matrix_rank(x - x.mean(axis=1, keepdims=True)) == 2:
+            held[i] = (*whitened(x), np.random.RandomState(int(seeds[i])))
+    for k in range(tries + 1):
+        if not held:
             break
-    return w
+        turns = independent_pairs([white for white, _, _ in held.values()], np.array([rng.normal(size=(2, 2)) for _, _, rng in held.values()]))
+        for (i, (_, root, _)), turn in zip(list(held.items()), turns):
+            raw = np.linalg.inv(root) @ np.linalg.pinv(turn)
+            mixing = raw * np.linalg.solve(raw, np.ones(2))
+            done = k < tries and bool(((0 <= mixing[[0, 1], [1, 0]]) & (mixing[[0, 1], [1, 0]] <= 0.3)).all())
+            if not done and k < tries:
+                continue
+            sources = np.linalg.solve(mixing, pairs[i])
+            like = np.abs(np.corrcoef(np.vstack([sources[:1], pairs[i]]))[0, 1:])
+            if like[0] <= like[1]:
+                sources, mixing = sources[::-1], mixing[:, ::-1]
+            out[i] = sources, mixing, done
+            del held[i]
+    return out
 
 
 def unmixed(x: np.ndarray, tries: int, seed: int) -> tuple[np.ndarray, np.ndarray, bool]:
@@ -300,18 +346,4 @@ def unmixed(x: np.ndarray, tries: int, seed: int) -> tuple[np.ndarray, np.ndarra
     Up to ``tries`` fits from one random stream are judged; if none is good, the one after them counts. The source that is
     closest to the first trace comes first; where the order is turned, so are the matrix's columns.
     """
-    if x.shape[1] < 3 or np.linalg.matrix_rank(x - x.mean(axis=1, keepdims=True)) < 2:
-        return x, np.eye(2), False
-    white, root = whitened(x)
-    rng = np.random.RandomState(seed)
-    for k in range(tries + 1):
-        raw = np.linalg.inv(root) @ np.linalg.pinv(independent_rows(white, rng))
-        mixing = raw * np.linalg.solve(raw, np.ones(2))
-        done = k < tries and bool(((0 <= mixing[[0, 1], [1, 0]]) & (mixing[[0, 1], [1, 0]] <= 0.3)).all())
-        if done:
-            break
-    out = np.linalg.solve(mixing, x)
-    like = np.abs(np.corrcoef(np.vstack([out[:1], x]))[0, 1:])
-    if like[0] <= like[1]:
-        out, mixing = out[::-1], mixing[:, ::-1]
-    return out, mixing, done
+    return unmixed_all([x], tries, [seed])[0]

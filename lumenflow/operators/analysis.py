@@ -26,6 +26,10 @@ def _by_region(df: DataFrame, rule, schema: str) -> DataFrame:
     return df.groupBy("roi").applyInPandas(run, f"roi long, {schema}")
 
 
+def _long(trace: DataFrame) -> DataFrame:
+    return trace.select(F.col("roi").cast("long").alias("roi"), F.col("t").cast("long").alias("t"), "f")
+
+
 def dff(trace: DataFrame, short: int, long: int, percentile: float = 10) -> DataFrame:
     """roi, t, dff, and for the whole region sigma_dff and n_small_baseline. A trace without values passes through."""
 
@@ -91,10 +95,11 @@ def modes(trace: DataFrame) -> DataFrame:
 def active_frames(trace: DataFrame, threshold: float = 14.0, frames: int = 5) -> DataFrame:
     """roi, t, active: the last ``frames`` frames together are too high for chance."""
 
-    def rule(rows):
-        return {"t": rows["t"].to_numpy(), "active": -kernels.activity(rows["f"].to_numpy(float), frames) >= threshold}
+    def rule(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        sums = np.concatenate([kernels.activity(x, frames) for x in np.split(sliding.values(table), starts[1:])])
+        return pa.table({"roi": table.column("roi"), "t": table.column("t"), "active": -sums >= threshold})
 
-    return _by_region(trace, rule, "t long, active boolean")
+    return sliding.through_regions(_long(trace), rule, "roi long, t long, active boolean")
 
 
 def masked_rolling(trace: DataFrame, size: int, used: Column | None = None) -> DataFrame:

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenflow.functions import kernels
+from lumenflow.operators import sliding
+
+#: Rows of the traces that are fitted together.
+FITTED_TOGETHER = 2**18
 
 #: The stages in which a region can fail.
 STAGES = ("raw", "raw_active", "unmixed", "unmixed_active")
@@ -24,29 +28,42 @@ def paired_traces(movies: DataFrame, pixels: DataFrame) -> DataFrame:
 
 def unmixed(pairs: DataFrame, tries: int = 10, seed: int = 0) -> DataFrame:
     """roi, t, signal, crosstalk, the mixing matrix m00 to m11 and whether its off-diagonal parts came to lie within 0 and
-    0.3, by independent components of each region's two traces (roi, t, signal, crosstalk: no gaps). A region's traces are
-    one group, so its size is that of a recording. Two frames or fewer, or traces in proportion, stay as they are, unmixed
+    0.3, by independent components of each region's two traces (roi, t, signal, crosstalk: no gaps). A task holds the whole
+    traces of many regions. Two frames or fewer, or traces in proportion, stay as they are, unmixed
     by the identity and not marked as done."""
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("t")
-        out, mixing, done = kernels.unmixed(rows[["signal", "crosstalk"]].to_numpy(float).T, tries, seed)
-        m = {f"m{i}{j}": mixing[i, j] for i in (0, 1) for j in (0, 1)}
-        return pd.DataFrame({"roi": key[0], "t": rows["t"].to_numpy(), "signal": out[0], "crosstalk": out[1], **m, "done": done})
+    def rule(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        fits = kernels.unmixed_all(_pairs(table, starts), tries, np.full(len(starts), seed))
+        size = np.diff(np.append(starts, table.num_rows))
+        out = {"roi": table.column("roi"), "t": table.column("t"), "signal": np.concatenate([x[0] for x, _, _ in fits]), "crosstalk": np.concatenate([x[1] for x, _, _ in fits])}
+        return pa.table(out | {k: np.repeat(v, size) for k, v in _columns(fits, "done").items()})
 
-    return pairs.groupBy("roi").applyInPandas(run, "roi long, t long, signal double, crosstalk double, m00 double, m01 double, m10 double, m11 double, done boolean")
+    return _through_pairs(pairs, rule, "roi long, t long, signal double, crosstalk double, m00 double, m01 double, m10 double, m11 double, done boolean")
 
 
 def mixings(pairs: DataFrame, tries: int = 10) -> DataFrame:
     """roi, m00 to m11 and converged: each region's mixing matrix as ``unmixed`` finds it, with the random stream of the region's
     ``seed`` (roi, t, signal, crosstalk, seed: no gaps)."""
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        x = rows.sort_values("t")[["signal", "crosstalk"]].to_numpy(float).T
-        _, mixing, done = kernels.unmixed(x, tries, int(rows["seed"].iloc[0]))
-        return pd.DataFrame({"roi": [key[0]], **{f"m{i}{j}": [mixing[i, j]] for i in (0, 1) for j in (0, 1)}, "converged": [done]})
+    def rule(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        fits = kernels.unmixed_all(_pairs(table, starts), tries, table.column("seed").to_numpy()[starts])
+        return pa.table({"roi": table.column("roi").take(pa.array(starts)), **_columns(fits, "converged")})
+
+    return _through_pairs(pairs, rule, "roi long, m00 double, m01 double, m10 double, m11 double, converged boolean", "seed")
+
+
+def _through_pairs(pairs: DataFrame, rule, schema: str, *more: str) -> DataFrame:
+    """``rule`` on both traces of many regions at a time, as fits of one region alone are mostly calls."""
+    rows = pairs.select(F.col("roi").cast("long").alias("roi"), F.col("t").cast("long").alias("t"), F.col("signal"), F.col("crosstalk").cast("double").alias("crosstalk"), *more)
+    return sliding.through_regions(rows, rule, schema, "signal", ("crosstalk", *more), FITTED_TOGETHER)
+
+
+def _pairs(table: pa.Table, starts: np.ndarray) -> list[np.ndarray]:
+    return np.split(np.vstack([table.column(c).to_numpy().astype(float) for c in ("f", "crosstalk")]), starts[1:], axis=1)
+
 
-    return pairs.select("roi", "t", "signal", "crosstalk", "seed").groupBy("roi").applyInPandas(run, "roi long, m00 double, m01 double, m10 double, m11 double, converged boolean")
+def _columns(fits: list, name: str) -> dict[str, np.ndarray]:
+    return {f"m{i}{j}": np.array([m[i, j] for _, m, _ in fits]) for i in (0, 1) for j in (0, 1)} | {name: np.array([done for _, _, done in fits])}
 
 
 def whitened(pairs: DataFrame) -> DataFrame:

@@ -22,16 +22,21 @@ def _starts(table: pa.Table) -> np.ndarray:
     return np.concatenate([[0], ends[:-1]])
 
 
-def through_regions(trace: DataFrame, rule: Callable[[pa.Table, np.ndarray], pa.Table], schema: str, value: str = "f") -> DataFrame:
-    """``rule`` gets rows roi, t, f (a double) of whole regions in order and the first row of each, and gives rows of the schema."""
+def through_regions(trace: DataFrame, rule: Callable[[pa.Table, np.ndarray], pa.Table], schema: str, value: str = "f", more: tuple[str, ...] = (), rows_at_once: int = 1) -> DataFrame:
+    """``rule`` gets rows roi, t, f (a double) and ``more`` of whole regions in order and the first row of each, and gives rows of the
+    schema. A call gets the regions of so many rows, or of an Arrow batch if that is more."""
 
     def run(batches):
         held = None
+        waiting: list[pa.Table] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = pa.Table.from_batches([batch])
-            held = new if held is None else pa.concat_tables([held, new])
+            waiting.append(pa.Table.from_batches([batch]))
+            if sum(x.num_rows for x in waiting) < rows_at_once:
+                continue
+            held = pa.concat_tables([*([] if held is None else [held]), *waiting])
+            waiting = []
             last = held.column("roi")[-1]
             # rows are sorted, so it is enough to look where the last region begins if the batch isn't all of it
             if held.column("roi")[0].equals(last):
@@ -39,11 +44,11 @@ def through_regions(trace: DataFrame, rule: Callable[[pa.Table, np.ndarray], pa.
             starts = _starts(held)
             yield from rule(held.slice(0, starts[-1]).combine_chunks(), starts[:-1]).to_batches()
             held = held.slice(starts[-1])
-        if held is not None:
-            held = held.combine_chunks()
+        if held is not None or waiting:
+            held = pa.concat_tables([*([] if held is None else [held]), *waiting]).combine_chunks()
             yield from rule(held, _starts(held)).to_batches()
 
-    rows = trace.select("roi", "t", F.col(value).cast("double").alias("f"))
+    rows = trace.select("roi", "t", F.col(value).cast("double").alias("f"), *more)
     return rows.repartition("roi").sortWithinPartitions("roi", "t").mapInArrow(run, schema)
 
 

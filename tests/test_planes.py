@@ -143,3 +143,14 @@ def test_edge_metrics_by_name(spark):
     for name, metric in planes.METRICS.items():
         rows = metric(movie, share=0.5, radius=2.0).collect()
         assert len(rows) == 20, name
+
+
+def test_pairs_fitted_together_are_those_fitted_alone():
+    rng = np.random.default_rng(8)
+    pairs = [np.array([[0.9, 0.1], [0.2, 0.8]]) @ rng.laplace(size=(2, n)) for n in (40, 2, 300, 55, 41)] + [np.ones((2, 30)), np.vstack([np.arange(9.0)] * 2)]
+    together = kernels.unmixed_all(pairs, 3, range(len(pairs)))
+    for k, (x, got) in enumerate(zip(pairs, together)):
+        want = kernels.unmixed(x, 3, k)
+        assert got[2] == want[2] and np.allclose(got[0], want[0]) and np.allclose(got[1], want[1]) and got[0].shape == x.shape
+    spread, axes = np.linalg.eigh((w := rng.normal(size=(2, 2))) @ w.T)
+    assert np.allclose(kernels._orthonormal(w), axes / np.sqrt(spread) @ axes.T @ w) and np.allclose(kernels._orthonormal(w[::-1]), kernels._orthonormal(w)[::-1])
