@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,9 @@ from lumenflow.operators.graphs import dilated_pixels
 from lumenflow.operators.traces import if_small
 from lumenflow.sources.scratch import written
 
+#: Seeds that one job puts into batches where nothing is grown in between.
+BLOCK = 16_384
+
 NEVER, BY_REGION, BY_SHARE, PROVIDED = "never considered", "excluded by ROI", "excluded by fraction", "provided"
 
 
@@ -124,13 +128,55 @@ class Seeds:
         return out
 
 
+def _placing(samples: int, distance: float, begun: int):
+    """A rule that gives batch, k and room (of its batch, in the end) to a block of seeds in order of rank; those that have a batch
+    are the earlier members of batches with room. New batches are numbered from ``begun``."""
+    size = max(1, math.ceil(distance))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("rank")
+        seeds = list(zip(rows["r"].tolist(), rows["c"].tolist()))
+        batch = [-1 if x != x else int(x) for x in rows["batch"].astype(float)]
+        place = [-1 if x != x else int(x) for x in rows["k"].astype(float)]
+        count, cells, following = dict.fromkeys(sorted({b for b in batch if b >= 0}), 0), {}, begun
+        for i, (r, c) in enumerate(seeds):
+            x, y = r // size, c // size
+            if batch[i] < 0:
+                around = [p for dx in (-1, 0, 1) for dy in (-1, 0, 1) for p in cells.get((x + dx, y + dy), ())] if distance > 0 else []
+                near = {b for r1, c1, b in around if math.hypot(r - r1, c - c1) < distance}
+                batch[i] = next((b for b in count if b not in near), following)
+                following = max(following, batch[i] + 1)
+                place[i] = count.get(batch[i], 0)
+            count[batch[i]] = count.get(batch[i], 0) + 1
+            if count[batch[i]] == samples:
+                del count[batch[i]]
+            cells.setdefault((x, y), []).append((r, c, batch[i]))
+        return rows.assign(batch=batch, k=place, room=[b in count for b in batch])
+
+    return run
+
+
 def seed_batches(candidates: DataFrame, excluded: DataFrame, samples: int = 10, distance: float = 20.0) -> DataFrame:
-    """batch, k, r, c: all seeds (r, c, v) in batches whose members are at least ``distance`` apart. Seeds on excluded pixels have none."""
-    seeds = Seeds(candidates.join(if_small(excluded.select("r", "c").distinct()), ["r", "c"], "left_anti"), samples, distance)
-    out = candidates.sparkSession.createDataFrame([], "batch int, k int, r int, c int")
-    while (batch := seeds.next()) is not None:
-        out = out.unionByName(batch.select("batch", "k", "r", "c"))
-    return out
+    """batch, k, r, c: all seeds (r, c, v) in batches whose members are at least ``distance`` apart. Seeds on excluded pixels have none.
+
+    As no region is grown in between, each seed goes to the first batch with room and no seed near it. Blocks of ``BLOCK`` seeds go
+    through in order, each a job of its own; a block hands the members of the batches that have room on to the next. A batch is
+    begun only if all of these hold a seed near the new one, so they are at most one more than the seeds within ``distance`` of a pixel.
+    """
+    spark = candidates.sparkSession
+    kinds = dict(candidates.dtypes)
+    seeds = _ranked(candidates.join(if_small(excluded.select("r", "c").distinct()), ["r", "c"], "left_anti").select("r", "c", "v"))
+    seeds = written(seeds.select("rank", "r", "c"))
+    schema = f"rank long, r {kinds['r']}, c {kinds['c']}, batch int, k int, room boolean"
+    out, held, begun = spark.createDataFrame([], schema), None, 0
+    for first in range(0, seeds.count(), BLOCK):
+        block = seeds.where(F.col("rank").between(first, first + BLOCK - 1)).select("*", *(F.lit(None).cast("int").alias(c) for c in ("batch", "k")))
+        rows = block if held is None else block.unionByName(held.select("rank", "r", "c", "batch", "k"))
+        placed = written(rows.groupBy(F.col("rank") < 0).applyInPandas(_placing(samples, distance, begun), schema))
+        begun = max(begun, placed.agg(F.max("batch")).first()[0] + 1)
+        out = out.unionAll(placed.where(F.col("rank") >= first))
+        held = placed.where("room")
+    return out.select("batch", "k", "r", "c")
 
 
 def grown(seeds: Seeds, grow) -> DataFrame:

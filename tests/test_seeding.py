@@ -110,3 +110,17 @@ def test_every_pixel_and_no_pixel(spark):
     assert {(x.r, x.c) for x in first} == {(3, 3), (2, 3), (3, 2)}
     none = seeding.Seeds(_pixels(spark, image).where("v > 9"), 3, 2.0)
     assert none.next() is None and none.log().count() == 0
+
+
+@pytest.mark.parametrize("block", [16_384, 7])
+def test_all_batches_are_those_handed_out_one_by_one(spark, monkeypatch, block):
+    monkeypatch.setattr(seeding, "BLOCK", block)
+    image = _image(6)
+    for samples, distance in ((3, 4.0), (2, 0.0), (5, 9.5), (1, 2.0)):
+        kept, _ = _order(image, 3, 0.9)
+        want, _ = _batches(kept, samples, distance)
+        candidates = seeding.image_candidates(_pixels(spark, image), 0.9, 3).where("kept")
+        got = {}
+        for x in sorted(seeding.seed_batches(candidates, candidates.select("r", "c").where("false"), samples, distance).collect(), key=lambda x: (x.batch, x.k)):
+            got.setdefault(x.batch, []).append((x.r, x.c))
+        assert [got[b] for b in range(len(got))] == want
