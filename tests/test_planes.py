@@ -154,3 +154,12 @@ def test_pairs_fitted_together_are_those_fitted_alone():
         assert got[2] == want[2] and np.allclose(got[0], want[0]) and np.allclose(got[1], want[1]) and got[0].shape == x.shape
     spread, axes = np.linalg.eigh((w := rng.normal(size=(2, 2))) @ w.T)
     assert np.allclose(kernels._orthonormal(w), axes / np.sqrt(spread) @ axes.T @ w) and np.allclose(kernels._orthonormal(w[::-1]), kernels._orthonormal(w)[::-1])
+
+
+def test_whole_deviations_are_not_cut(spark):
+    """Orders in which running means end below a deviation of just 1."""
+    values = {0: [1.0, 0, -2, 0, 0, -1, 0, -2], 1: [0.0, -2, -2, 1, -1, 0, 0, 0], 2: [65535.0, 65533, 65535, 65533], 3: [1.0, 2, 4]}
+    for order in (1, -1):
+        rows = [(r, 0, 8 * k, float(v)) for r, own in values.items() for k, v in enumerate(own[::order])]
+        got = {x.r: (x.mean, x.deviation) for x in planes.pixel_figures(spark.createDataFrame(rows, "r int, c int, t int, v double").coalesce(1)).collect()}
+        assert got == {0: (0, 1), 1: (0, 1), 2: (65534, 1), 3: (2, 1)}
