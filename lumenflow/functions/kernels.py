@@ -256,18 +256,40 @@ def decaying_steps(y: np.ndarray, gamma: float, penalty: float) -> np.ndarray:
 def events(x: np.ndarray, gamma: float, least: float, finest: float = 1e-4) -> tuple[np.ndarray, float]:
     """Events under the least penalty (to ``finest``) with which none is smaller than ``least``; where no penalty
     leaves any such event, under the highest penalty tried that leaves some. The bracket is doubled, then halved."""
-    lo, hi, kept, found = 0.0, 0.1, None, None
+    lo, hi, kept, found, below = 0.0, 0.1, None, None, None
     while found is None or hi - lo > finest:
         penalty = hi if found is None else (lo + hi) / 2
+        # the least cost is a line for each number of jumps: of two that differ by one, the other holds up to where both cost the same
+        if found is not None and below is not None and below[1] == len(found[0].nonzero()[0]) + 1:
+            turn = _cost(x, found[0], gamma) - below[2]
+            if abs(penalty - turn) > 1e-9 * max(1.0, abs(turn)):
+                if penalty < turn:
+                    lo, kept = penalty, (below[0], penalty)
+                else:
+                    hi, found = penalty, (found[0], penalty)
+                continue
         sizes = decaying_steps(x, gamma, penalty)
         some = sizes[sizes > 0]
         if len(some) and some.min() < least:
             lo, kept, hi = penalty, (sizes, penalty), (2 * hi if found is None else hi)
+            below = sizes, len(some), _cost(x, sizes, gamma)
         else:
             hi, found = penalty, (sizes, penalty)
     return found if found[0].any() or kept is None else kept
 
 
+def _cost(y: np.ndarray, sizes: np.ndarray, gamma: float) -> float:
+    """Half the squared distance from ``y`` of the decaying signal with these jumps, its first value the best (0 at least)."""
+    n = len(y)
+    own, made, level = gamma ** np.arange(n), np.zeros(n), 0.0
+    for t in range(n):
+        level = gamma * level + sizes[t]
+        made[t] = level
+    left = y - made
+    left = left - max(0.0, float(own @ left) / float(own @ own)) * own
+    return 0.5 * float(left @ left)
+
+
 def whitened(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows of ``x`` without mean and correlation, and the symmetric matrix that does it (the inverse root of the covariance)."""
     x = x - x.mean(axis=1, keepdims=True)
