@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenflow.operators.movies import NEIGHBOURS, extent, graph_image, packed
-from lumenflow.operators.traces import if_small
+from lumenflow.operators.movies import NEIGHBOURS, TILE, extent, graph_image, packed, tiled
 
 def _with(value: Column, f) -> Column:
     """f(value), with the value worked out once however often f uses it."""
@@ -63,22 +65,99 @@ def _quantile(x: Column, q: float) -> Column:
     return _with(F.array_sort(x), lambda order: F.get(order, lo) + (at - lo) * (F.get(order, F.ceil(at).cast("int")) - F.get(order, lo)))
 
 
+_EDGE = pa.schema([*((k, pa.int32()) for k in ("r0", "c0", "r1", "c1")), ("far", pa.float64())])
+
+
+def _units(x: np.ndarray) -> np.ndarray:
+    """Rows centred and of length one, so that products are correlations; NaN without spread."""
+    with np.errstate(all="ignore"):
+        y = x - x.mean(axis=1, keepdims=True)
+        y /= np.sqrt((y * y).sum(axis=1, keepdims=True))
+    y[x.min(axis=1) == x.max(axis=1)] = np.nan
+    return y
+
+
+def _joint_gap(a: dict, b: dict, x: dict) -> float | None:
+    """Correlation of a and x less that of b and x over the frames that all three have; each is t -> [(value, counts)]. A pair with a
+    missing value is left out; None without pairs."""
+    met = [(u, v, w) for t in sorted(a.keys() & b.keys() & x.keys()) for (u, p), (v, q), (w, _) in itertools.product(a[t], b[t], x[t]) if p or q]
+    both = []
+    for k in (0, 1):
+        pairs = [(m[k], m[2]) for m in met if m[k] is not None and m[2] is not None]
+        if not pairs:
+            return None
+        u = _units(np.array(pairs).T)
+        both.append(u[0] @ u[1])
+    return both[0] - both[1]
+
+
 def hnc_gaussian(movie: DataFrame, radius: float, share: float | None = None) -> DataFrame:
     """exp(-d ** 2) of touching pixels, d the distance of their correlations with all pixels within ``radius`` of the
-    edge's middle; with a share only frames in which either pixel is at or above its quantile."""
-    pixels = packed(movie)
+    edge's middle; with a share only frames in which either pixel is at or above its quantile. NaN if one of these pixels has no
+    spread. Pixels are packed and meet in tiles, which grow with the radius, so that a series is sent to a few tiles at most."""
     reach = int(radius + 0.5)
-    pairs = edges(pixels)
+    box = list(itertools.product(range(-reach, reach + 1), repeat=2))
+    around = {s: [(dr, dc) for dr, dc in box if math.hypot(dr - s[0] / 2, dc - s[1] / 2) <= radius] for s in NEIGHBOURS}
+    size, pad = max(TILE, 2 * reach), reach + 1
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        top, left = (size * k.as_py() for k in key)
+        grid = np.full((size + 2 * pad, size + 2 * pad), -1)
+        grid[rows["r"].to_numpy() - top + pad, rows["c"].to_numpy() - left + pad] = np.arange(len(rows))
+        at = lambda dr, dc: grid[pad + dr : pad + dr + size, pad + dc : pad + dc + size].ravel()
+        lists = rows["x"].chunk(0)
+        values, n = lists.flatten(), lists.value_lengths().to_numpy()
+        whole = values.null_count == 0 and n.min() == n.max()  # and all pixels have the same frames, each once
+        if whole and rows["t"].null_count < len(rows):
+            frames = rows["t"].chunk(0).flatten().to_numpy()
+            whole = rows["t"].null_count == 0 and bool((frames.reshape(len(rows), -1) == frames[: n[0]]).all() and (np.diff(frames[: n[0]]) > 0).all())
+        if whole:
+            x = values.to_numpy().reshape(len(rows), -1)
+            on = None if share is None else rows["on"].chunk(0).flatten().to_numpy(zero_copy_only=False).reshape(x.shape)
+            near = None if share is not None else (u := _units(x)) @ u.T
+        else:  # t -> [(value, counts)] of each pixel
+            pixels = []
+            for k, own in enumerate(lists.to_pylist()):
+                flags = [True] * len(own) if share is None else rows["on"][k].as_py()
+                pixels.append({})
+                for t, *v in zip(rows["t"][k].as_py() or range(len(own)), own, flags):
+                    pixels[k].setdefault(t, []).append(v)
+        out = [_EDGE.empty_table()]
+        for step in (s for s in NEIGHBOURS if around[s]):
+            a, b = at(0, 0), at(*step)
+            edge = (a >= 0) & (b >= 0)
+            a, b, others = a[edge], b[edge], np.stack([at(*s)[edge] for s in around[step]])
+            if whole and share is None:
+                gaps = np.where(others >= 0, near[a, others] - near[b, others], 0.0)
+                far = (gaps * gaps).sum(axis=0).tolist()
+            else:
+                far = []
+                for i, j, ks in zip(a, b, others.T):
+                    if whole:
+                        u = _units(x[np.ix_([i, j, *ks[ks >= 0]], on[i] | on[j])])
+                        gaps = (u[0] - u[1]) @ u[2:].T
+                    else:
+                        gaps = np.array([g for k in ks[ks >= 0] if (g := _joint_gap(pixels[i], pixels[j], pixels[k])) is not None])
+                    far.append(float(gaps @ gaps) if len(gaps) else None)
+            if not whole:  # pixels that have no frame in common don't make an edge
+                shared = [bool(pixels[i].keys() & pixels[j].keys()) for i, j in zip(a, b)]
+                a, b, far = a[shared], b[shared], list(itertools.compress(far, shared))
+            ends = [rows[c].to_numpy()[k] for k in (a, b) for c in "rc"]
+            out.append(pa.table([*ends, pa.array(far, pa.float64())], schema=_EDGE))
+        return pa.concat_tables(out)
+
+    series = movie.where("r IS NOT NULL AND c IS NOT NULL").groupBy("r", "c").agg(F.sort_array(F.collect_list(F.struct("t", "v"))).alias("s"))
+    frames = F.col("s.t").cast("array<bigint>")  # sent only where they aren't 0, 1, 2 ...
+    gapless = frames == F.sequence(F.lit(0).cast("bigint"), F.size("s").cast("bigint") - 1)
+    pixels = series.select(F.col("r").cast("int"), F.col("c").cast("int"), F.col("s.v").cast("array<double>").alias("x"), F.when(~gapless, frames).alias("t"))
     if share is not None:
-        bright = lambda x: _with(_quantile(x, 1 - share), lambda least: F.transform(x, lambda v: v >= least))
-        pairs = pairs.withColumn("on", either(bright(F.col("x0")), bright(F.col("x1"))))
-    steps = F.array(*[F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a in range(-reach, reach + 2) for b in range(-reach - 1, reach + 2)])
-    around = pairs.withColumn("s", F.explode(steps)).withColumn("r", F.col("r0") + F.col("s.dr")).withColumn("c", F.col("c0") + F.col("s.dc"))
-    middle = F.hypot(F.col("r") - (F.col("r0") + F.col("r1")) / 2, F.col("c") - (F.col("c0") + F.col("c1")) / 2)
-    met = around.where(middle <= radius).join(if_small(pixels, 20_000), ["r", "c"])
-    used = None if share is None else F.col("on")
-    gap = correlation(F.col("x0"), F.col("x"), used) - correlation(F.col("x1"), F.col("x"), used)
-    return met.groupBy("r0", "c0", "r1", "c1").agg(F.exp(-F.sum(gap * gap)).alias("hnc"))
+        bright = lambda least: F.transform("x", lambda v: F.coalesce(v >= least, F.lit(False)))
+        pixels = pixels.withColumn("on", _with(_quantile(F.col("x"), 1 - share), bright))
+    steps = tuple({s for step in NEIGHBOURS for s in (step, *around[step])})
+    met = tiled(pixels, steps, size).groupBy("tr", "tc").applyInArrow(run, "r0 int, c0 int, r1 int, c1 int, far double")
+    kinds = dict(movie.dtypes)
+    return met.select(*(F.col(k).cast(kinds[k[0]]) for k in ("r0", "c0", "r1", "c1")), F.exp(-F.col("far")).alias("hnc"))
 
 
 def _blurred(image: DataFrame, along: str, across: str, sigma: float) -> DataFrame:
